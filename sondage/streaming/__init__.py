@@ -1,0 +1,5 @@
+"""Nothing to add for streams: every input of the study is a bounded table.
+
+The expressions in ``sondage.functions`` hold no state and need no shuffle, so they
+also apply to a streaming DataFrame as they are.
+"""
