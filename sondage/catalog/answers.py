@@ -140,12 +140,16 @@ def multi_parse_targets(spark, d):
 _OPTION_ROWS = "(SELECT unnest([" + sql_list(PART_OPTIONS) + "]) AS option, unnest(range(0, 8)) AS idx)"
 
 
-@query(f"SELECT option, idx FROM {_OPTION_ROWS} WHERE (SELECT count(*) FROM part) > 0")
+@query(f"WITH {SQL_PARTS}, s AS (SELECT unnest({sql_by_part('q1')}) AS option FROM p) "
+       f"SELECT option, idx, count(s.option) AS n FROM {_OPTION_ROWS} LEFT JOIN s USING (option) GROUP BY option, idx")
 def multi_option_vocabulary(spark, d):
-    """The listed options do not depend on the answers; one row each."""
-    rows = part_answers(spark, d).limit(1)
-    return rows.select(F.posexplode(F.array(*[F.lit(o) for o in PART_OPTIONS])).alias("idx", "option")).select(
-        "option", F.col("idx").cast("long").alias("idx"))
+    """Every listed option in its fixed place, with the number of answers that chose it."""
+    hot = op.multi_hot(op.options_by_part("q1", PART_RULES), PART_OPTIONS)
+    sums = part_answers(spark, d).select(hot.alias("h")).agg(
+        *[F.sum(F.get("h", F.lit(i))).alias(f"n{i}") for i in range(len(PART_OPTIONS))])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(o).alias("option"), F.lit(i).cast("long").alias("idx"), F.col(f"n{i}").alias("n"))
+        for i, o in enumerate(PART_OPTIONS)])))
 
 
 @query(f"WITH {SQL_PARTS}, s AS (SELECT p_partkey, 0 AS base, {sql_by_part('q1')} AS sel FROM p UNION ALL "
