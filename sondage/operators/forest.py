@@ -27,16 +27,17 @@ def nodes_of_model(spark: SparkSession, model_path: str) -> DataFrame:
         n["impurityStats"].alias("value"))
 
 
-def nodes_of_json(spark: SparkSession, path: str) -> DataFrame:
+def nodes_of_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Node table of an exported forest.
 
     Reads one JSON document with parallel arrays per tree, or, as written by
-    ``write_forest_json``, one tree per line with its ``tree_id``.
+    ``write_forest_json``, one tree per line with its ``tree_id``. An indented
+    document needs ``multiline``.
     """
     arrays = ("children_left array<int>, children_right array<int>, feature array<int>, "
               "threshold array<double>, value array<array<double>>")
     line = spark.read.schema(f"tree_id int, {arrays}, trees array<struct<{arrays}>>").option(
-        "multiLine", True).json(path)
+        "multiLine", multiline).json(path)
     names = ("children_left", "children_right", "feature", "threshold", "value")
     listed = line.filter(F.col("trees").isNotNull()).select(F.posexplode("trees").alias("tree_id", "t"))
     single = line.filter(F.col("trees").isNull()).select("tree_id", F.struct(*names).alias("t"))

@@ -33,6 +33,15 @@ def vocabulary_of_json(spark: SparkSession, path: str) -> DataFrame:
         F.explode(F.from_json("value", "map<string,bigint>")).alias("term", "idx"))
 
 
+def vocabulary_to_json(vocabulary: DataFrame, path: str) -> None:
+    """The JSON form of a top-k vocabulary, one object in one file. For a vocabulary
+    without a size limit use ``save_table``."""
+    entries = F.array_sort(F.collect_list(F.struct("idx", "term")))
+    words = vocabulary.agg(entries.alias("e")).select(
+        F.map_from_arrays("e.term", "e.idx").alias("m"))
+    words.select(F.to_json("m").alias("value")).write.mode("overwrite").text(path)
+
+
 def save_settings(spark: SparkSession, settings: dict, path: str) -> None:
     spark.createDataFrame([(json.dumps(settings, ensure_ascii=False),)], "settings string").coalesce(
         1).write.mode("overwrite").parquet(path)
