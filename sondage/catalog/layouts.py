@@ -242,7 +242,7 @@ def assemble_baseline(spark, d):
        "SELECT doc_id, CAST(idx AS BIGINT) AS idx, round(value / sd, 6) AS value FROM feats JOIN sc USING (idx) WHERE value <> 0")
 def scale_std(spark, d):
     rows, model = _pooled(spark, d)
-    features = model.transform(rows)
+    features = materialize(model.transform(rows))
     scales = materialize(feats.fit_scale(features, rows.count()))
     return feats.scale_features(features, scales).select(
         F.col("row_id").alias("doc_id"), "idx", F.round("value", 6).alias("value"))

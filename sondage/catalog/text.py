@@ -214,7 +214,7 @@ def avg_embedding(spark, d):
     vocabulary = tt.top_vocabulary(tt.count_terms(terms), vecs.count())
     words = materialize(vocabulary.join(vecs, vocabulary["idx"] == vecs["vec_id"]).select(
         F.col("term").alias("word"), F.col("embedding").alias("vec")))
-    means = vectors.zero_filled(docs, vectors.average_vectors(terms, words, 64), "doc_id", 1, 64)
+    means = vectors.zero_filled(docs, vectors.average_vectors(terms, words), "doc_id", 1, 64)
     return (means.select(F.col("row_id").alias("doc_id"), F.posexplode("vec").alias("pos", "v"))
             .select("doc_id", (F.col("pos") + 1).cast("long").alias("dim"), (F.round("v", 6) + 0.0).alias("x")))
 

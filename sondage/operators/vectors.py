@@ -10,24 +10,16 @@ from pyspark.sql import functions as F
 from .distribute import lookup_join
 
 
-def average_vectors(terms: DataFrame, embeddings: DataFrame, dim: int) -> DataFrame:
+def average_vectors(terms: DataFrame, embeddings: DataFrame) -> DataFrame:
     """Mean vector of the known words of each (row, text column), every occurrence
-    counted; the zero vector where no word is known.
+    counted. Rows without a known word are absent: ``zero_filled`` adds them.
 
-    ``terms`` is a term table, ``embeddings`` has unique ``word`` and ``vec``. Rows
-    without any word have no term rows: add them with ``zero_filled``.
+    ``terms`` is a term table, ``embeddings`` has unique ``word`` and ``vec``.
     """
     table = embeddings.select(F.col("word").alias("term"), F.col("vec").cast("array<double>").alias("vec"))
-    hits = lookup_join(terms, table, ["term"], "row_id", how="left")
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    known = F.col("vec").isNotNull()
-    tf = F.col("tf").cast("double")
-    sums = hits.groupBy("row_id", "ordinal").agg(
-        vector_to_array(Summarizer.metrics("sum").summary(
-            array_to_vector(F.coalesce("vec", zeros)), tf).getField("sum")).alias("total"),
-        F.sum(F.when(known, tf).otherwise(0.0)).alias("hits"))
-    mean = F.transform("total", lambda x: F.when(F.col("hits") > 0, x / F.col("hits")).otherwise(F.lit(0.0)))
-    return sums.select("row_id", "ordinal", mean.alias("vec"))
+    hits = lookup_join(terms, table, ["term"], "row_id")
+    mean = Summarizer.metrics("mean").summary(array_to_vector("vec"), F.col("tf").cast("double"))
+    return hits.groupBy("row_id", "ordinal").agg(vector_to_array(mean.getField("mean")).alias("vec"))
 
 
 def zero_filled(rows: DataFrame, averages: DataFrame, row_id: str, n_cols: int, dim: int) -> DataFrame:

@@ -139,19 +139,19 @@ def selected_layout(df: DataFrame, row_id: str, text: str, rating_cols: Sequence
     """
     stop = english_stop_words() if stop is None else stop
     rows = records.label_as_text(records.drop_unlabelled(df, label), label)
+    class_rows = dict(splits.class_sizes(rows, label))
+    n_rows = sum(class_rows.values())
     counts = tt.count_terms(tt.term_table(rows, row_id, [text], analyzer=lambda c: _clean_terms(c, stop)))
-    n_rows = rows.count()
     vocabulary = materialize(tt.add_idf(tt.document_vocabulary(counts, min_df), n_rows))
     n_words = vocabulary.count()
-    n_options = len({o for _, o in rules})
-    width = n_words + 5 * len(rating_cols) + n_options * len(multi_cols)
-    features = selected_features(rows, row_id, text, rating_cols, multi_cols, vocabulary, n_words, stop, rules,
-                                 keep=[label])
-    shares = feats.class_shares(rows, label)
+    width = n_words + 5 * len(rating_cols) + len({o for _, o in rules}) * len(multi_cols)
+    # Scored, masked, counted and cross-validated afterwards: computed once.
+    features = materialize(selected_features(rows, row_id, text, rating_cols, multi_cols, vocabulary, n_words,
+                                             stop, rules, keep=[label]))
+    shares = {c: n / n_rows for c, n in class_rows.items()}
     kept = feats.select_top(feats.chi2_scores(features, label, shares), k)
     chosen = feats.apply_mask(features, kept)
     n_kept = min(k, width)
-    class_rows = {c: round(s * n_rows) for c, s in shares.items()}
     model = SelectedModel(vocabulary, kept, bayes.fit_bayes(chosen, label, class_rows, n_kept, alpha), width,
                           n_kept, {"k": k, "alpha": alpha, "min_df": min_df})
     return chosen, rows.select(F.col(row_id).alias("row_id"), label), model

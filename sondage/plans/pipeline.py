@@ -147,7 +147,7 @@ class FeatureModel:
 
     def _averages(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         at = self.feature_map()[-1][1]
-        means = vectors.average_vectors(self._terms(df, ()), self.embeddings, self.dim)
+        means = vectors.average_vectors(self._terms(df, ()), self.embeddings)
         cells = F.transform("vec", lambda v, i: F.struct(
             (F.lit(at) + F.col("ordinal") * self.dim + i).cast("long").alias("idx"), v.alias("value")))
         long = means.select("row_id", F.inline(F.filter(cells, lambda p: p["value"] != 0)))
