@@ -44,7 +44,7 @@ def impute_ratings(df: DataFrame, cols: Sequence[str], modes: Mapping[str, int]
 
 def learned_options(df: DataFrame, selected: Column) -> list[str]:
     """Options that occur, sorted; the parse rules bound their number."""
-    rows = df.select(F.explode(selected).alias("o")).distinct().collect()
+    rows = df.select(F.explode_outer(selected).alias("o")).filter("o IS NOT NULL").distinct().collect()
     return sorted(r["o"] for r in rows)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import OPTIONS, SHORT_STOP
 from ..functions.ratings import rating
 from ..functions.text import tokens
+from .distribute import materialize
 from .records import keep_labels, quoted
 
 
@@ -74,12 +75,13 @@ def keyword_contrast(terms: DataFrame, label: str, a, b, min_count: int = 5) ->
     def tf_if(value) -> Column:
         return F.coalesce(F.sum(F.when(F.col(label) == value, F.col("tf"))), F.lit(0))
 
-    counts = (keep_labels(terms, (a, b), label).groupBy("term")
-              .agg(tf_if(a).alias("n_a"), tf_if(b).alias("n_b")))
-    totals = counts.agg(F.coalesce(F.sum("n_a"), F.lit(0)).alias("a"), F.coalesce(F.sum("n_b"), F.lit(0)).alias("b"))
+    # One row per word; read twice, for the totals and for the shares.
+    counts = materialize(keep_labels(terms, (a, b), label).groupBy("term")
+                         .agg(tf_if(a).alias("n_a"), tf_if(b).alias("n_b")))
+    totals = counts.agg(F.sum("n_a").alias("a"), F.sum("n_b").alias("b")).first()
 
     def share(n: str, total: str) -> Column:
-        whole = totals.select(F.col(total).cast("double")).scalar()
+        whole = F.lit(float(totals[total] or 0))
         return F.coalesce(F.try_divide(F.col(n).cast("double"), whole), F.lit(0.0))
 
     return (counts.filter(F.col("n_a") + F.col("n_b") >= min_count)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 2000
 ROWS_PER_SALT = 2_000_000
+BUCKET_DIGITS = 4
 _ROW_BITS = 33
 
 
@@ -123,13 +124,13 @@ def hash_cutoffs(df: DataFrame, hashed: str, wanted: dict, by: str | None = None
 
     ``wanted`` maps a group value (``None`` without ``by``) to a list of ranks;
     the result maps ``(group, rank)`` to the digest at this rank. Digests are
-    uniform, so 4,096 prefix buckets are balanced: a count per bucket finds the
+    uniform, so their 65,536 prefix buckets are balanced: a count per bucket finds the
     bucket that holds a rank, and only this bucket is ranked row by row.
     """
     spark = df.sparkSession
     group = F.col(by).cast("string") if by else F.lit("")
     rows = df.select(group.alias("g"), F.col(hashed).alias("h"),
-                     F.substring(hashed, 1, 3).alias("bucket"))
+                     F.substring(hashed, 1, BUCKET_DIGITS).alias("bucket"))
     asked = [("" if by is None else str(g), int(r)) for g, ranks in wanted.items()
              for r in sorted(set(ranks)) if r >= 1]
     if not asked:

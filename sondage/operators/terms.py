@@ -84,8 +84,9 @@ def pooled_vocabulary(df: DataFrame, text_cols: Sequence[str], top_k: int | None
                       stop: Sequence[str] | None = None) -> DataFrame:
     """One vocabulary over all text columns. ``top_k`` of ``None`` or 0: all terms."""
     words = F.flatten(F.array(*[tokens(c, stop) for c in text_cols]))
-    counts = (df.select(F.explode(words).alias("term")).groupBy("term")
-              .agg(F.count(F.lit(1)).alias("n")))
+    # The plain explode would evaluate ``words`` twice, first to skip empty rows.
+    counts = (df.select(F.explode_outer(words).alias("term")).filter(F.col("term").isNotNull())
+              .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     return top_vocabulary(counts, top_k) if top_k else full_vocabulary(counts)
 
 

@@ -124,7 +124,7 @@ def selected_features(df: DataFrame, row_id: str, text: str, rating_cols: Sequen
     levels = [one_hot(rating(F.col(quoted(c)), DEFAULT_RATING)) for c in rating_cols]
     chosen = [multi_hot(options_anywhere(F.col(quoted(c)), rules), options) for c in multi_cols]
     cells = feats.places(F.concat(*levels, *[F.transform(m, lambda v: v.cast("double")) for m in chosen]), n_words)
-    rest = df.select(F.col(row_id).alias("row_id"), *keep, F.inline(cells))
+    rest = df.select(F.col(row_id).alias("row_id"), *keep, F.inline_outer(cells)).filter(F.col("idx").isNotNull())
     return words.unionByName(rest)
 
 

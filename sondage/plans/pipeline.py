@@ -143,14 +143,17 @@ class FeatureModel:
         if not blocks:
             return df.select(F.col(c.row_id).alias("row_id"), *keep).limit(0).select(
                 "row_id", *keep, F.lit(0).cast("long").alias("idx"), F.lit(0.0).alias("value"))
-        return rows.select("row_id", *keep, F.inline(F.concat(*blocks)))
+        # The plain inline would evaluate the blocks twice, first to skip empty rows.
+        long = rows.select("row_id", *keep, F.inline_outer(F.concat(*blocks)))
+        return long.filter(F.col("idx").isNotNull())
 
     def _averages(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         at = self.feature_map()[-1][1]
         means = vectors.average_vectors(self._terms(df, ()), self.embeddings)
         cells = F.transform("vec", lambda v, i: F.struct(
             (F.lit(at) + F.col("ordinal") * self.dim + i).cast("long").alias("idx"), v.alias("value")))
-        long = means.select("row_id", F.inline(F.filter(cells, lambda p: p["value"] != 0)))
+        long = means.select("row_id", F.inline_outer(F.filter(cells, lambda p: p["value"] != 0)))
+        long = long.filter(F.col("idx").isNotNull())
         if keep:
             long = long.join(df.select(F.col(self.config.row_id).alias("row_id"), *keep), "row_id")
         return long.select("row_id", *keep, "idx", "value")
