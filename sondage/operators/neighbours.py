@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import let
 from .distribute import BROADCAST_BYTES, materialize
@@ -108,7 +109,8 @@ def _search_broadcast(queries: DataFrame, refs: DataFrame, k: int, dim: int) ->
 def _assign(df: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
     """Nearest pivot of each row and the distance to it."""
     shared = df.sparkSession.sparkContext.broadcast(pivots)
-    schema = df.schema.add("cell", "int").add("gap", "double")
+    schema = T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType()),
+                           T.StructField("gap", T.DoubleType())])
 
     def assign(batches):
         for batch in batches:
