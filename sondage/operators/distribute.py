@@ -90,28 +90,28 @@ def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], spread: s
     """Join large ``facts`` with a fitted ``table`` that has unique ``on`` keys.
 
     A table within ``limit_bytes`` is broadcast. A larger one is shuffled; keys
-    whose ``weight`` (number of fact rows) exceeds ``rows_per_salt`` are
-    spread over several tasks by a salt taken from column ``spread``. At most
-    ``HOT_KEYS`` keys can hold more than one part in ``HOT_KEYS`` of all rows,
-    which bounds the broadcast list of hot keys.
+    with more than ``rows_per_salt`` fact rows are spread over several tasks by
+    a salt taken from column ``spread``. The rows per key are column ``weight``
+    of the table or, without it, counted. At most ``HOT_KEYS`` keys can hold
+    more than one part in ``HOT_KEYS`` of all rows, which bounds the broadcast
+    list of hot keys.
     """
     on = list(on)
     if table_bytes(table) <= limit_bytes:
         return facts.join(F.broadcast(table), on, how)
-    if weight is None:
-        return facts.join(table, on, how)
-    total = table.agg(F.sum(weight).alias("w")).first()["w"] or 0
-    floor = max(rows_per_salt, total / HOT_KEYS)
-    n_salts = F.ceil(F.col(weight) / F.lit(float(rows_per_salt))).cast("int")
-    hot = table.filter(F.col(weight) > F.lit(floor)).select(*on, n_salts.alias("_salts"))
-    salted_facts = (facts.join(F.broadcast(hot), on, "left")
-                    .withColumn("_salt", F.coalesce(
-                        F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int"), F.lit(0)))
-                    .drop("_salts"))
-    copies = F.when(F.col(weight) > F.lit(floor), n_salts).otherwise(F.lit(1))
-    salted_table = table.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
-    return salted_facts.join(salted_table, [*on, "_salt"], how).drop("_salt")
+    if weight is not None:
+        sizes = table.select(*on, F.col(weight).alias("_rows"))
+    else:
+        sizes = materialize(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")))
+    total = sizes.agg(F.sum("_rows").alias("n")).first()["n"] or 0
+    hot = sizes.filter(F.col("_rows") > max(rows_per_salt, total // HOT_KEYS)).select(
+        *on, F.ceil(F.col("_rows") / F.lit(float(rows_per_salt))).cast("int").alias("_salts"))
+    hot = F.broadcast(materialize(hot))
+    salt = F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int")
+    salted_facts = facts.join(hot, on, "left").withColumn("_salt", F.coalesce(salt, F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    salted_table = table.join(hot, on, "left").withColumn("_salt", F.explode(copies))
+    return salted_facts.drop("_salts").join(salted_table.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
 def hash_order(key: str, seed: int | str):

@@ -53,7 +53,7 @@ class FeatureConfig:
 def pooled_layout(row_id: str, text_cols: Sequence[str], rating_cols: Sequence[str],
                   multi_cols: Sequence[str], dict_len: int | None = 100, **more) -> FeatureConfig:
     """Word counts of a pooled vocabulary per text column, raw ratings, multi-hot."""
-    return FeatureConfig(row_id, text_cols, rating_cols, multi_cols, text="counts", dict_len=dict_len, **more)
+    return replace(FeatureConfig(row_id, text_cols, rating_cols, multi_cols, dict_len=dict_len), **more)
 
 
 def tfidf_layout(row_id: str, text_cols: Sequence[str], rating_cols: Sequence[str],

@@ -26,18 +26,18 @@ def test_dense_index_within_a_hot_group(spark):
     assert {(r["g"], r["t"]): r["idx"] for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_join_salts_hot_keys(spark, how):
+@pytest.mark.parametrize("how,weight", [("inner", "n"), ("left", "n"), ("left", None)])
+def test_lookup_join_salts_hot_keys(spark, how, weight):
     """A third of all rows share one key; the join is shuffled and salted."""
     facts = spark.range(3000).select(
         F.col("id").alias("row_id"),
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("term"))
     table = facts.filter("term <> 'k7'").groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.first("term").alias("v"))
     table = materialize(table)
-    joined = lookup_join(facts, table, ["term"], "row_id", "n", how, limit_bytes=0, rows_per_salt=100)
+    joined = lookup_join(facts, table, ["term"], "row_id", weight, how, limit_bytes=0, rows_per_salt=100)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan
-    want = lookup_join(facts, table, ["term"], "row_id", "n", how)
+    want = lookup_join(facts, table, ["term"], "row_id", weight, how)
     assert sorted(map(str, joined.select("row_id", "term", "n", "v").collect())) == \
         sorted(map(str, want.select("row_id", "term", "n", "v").collect()))
 
