@@ -26,7 +26,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_table(spark, f"{folder}/{name}.parquet", heavy=name in ("documents", "conversations"))
+    return read_table(spark, f"{folder}/{name}.parquet", heavy=name in ("documents", "conversations", "embeddings"))
 
 
 def scratch(spark: SparkSession) -> str:

@@ -200,6 +200,14 @@ def _search_blocks(queries: DataFrame, refs: DataFrame, k: int, dim: int, n_refs
             .select("query_id", F.col("s.x").alias("neighbours")))
 
 
+def _without_spare_copies(refs: DataFrame, k: int) -> DataFrame:
+    """Of equal vectors only the ``k`` smallest ids can be among the ``k`` nearest, as
+    ties go to the smaller id. Spark applies the limit before the shuffle, too, so a
+    large group of copies does not meet in one task."""
+    copies = Window.partitionBy("vec").orderBy("ref_id")
+    return refs.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k).drop("copy")
+
+
 def nearest(queries: DataFrame, refs: DataFrame, k: int, *, query_id: str, ref_id: str, vec: str,
             label: str, limit_bytes: int = BROADCAST_BYTES, n_pivots: int = PIVOTS,
             block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -207,6 +215,7 @@ def nearest(queries: DataFrame, refs: DataFrame, k: int, *, query_id: str, ref_i
     q = queries.select(F.col(query_id).alias("query_id"), F.col(vec).cast("array<double>").alias("vec"))
     r = refs.select(F.col(ref_id).alias("ref_id"), F.col(vec).cast("array<double>").alias("vec"),
                     F.col(label).alias("label"))
+    r = materialize(_without_spare_copies(r, k))
     size = r.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim"),
                  F.min(F.size("vec")).alias("low")).first()
     if not size["n"]:

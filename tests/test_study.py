@@ -53,7 +53,7 @@ def test_idf_and_weight(spark):
 def test_average_vectors(spark):
     df = spark.createDataFrame([(0, "a a b zz"), (1, "zz"), (2, None)], "row_id long, t string")
     words = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [4.0, 8.0])], "word string, vec array<float>")
-    means = vectors.average_vectors(tt.term_table(df, "row_id", ["t"]), words)
+    means = vectors.average_vectors(tt.term_table(df, "row_id", ["t"]), words, 2)
     got = {r["row_id"]: r["vec"] for r in vectors.zero_filled(df, means, "row_id", 1, 2).collect()}
     assert got == {0: [2.0, 4.0], 1: [0.0, 0.0], 2: [0.0, 0.0]}
 
