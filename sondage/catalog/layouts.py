@@ -9,7 +9,7 @@ from ..functions.fixed import ENGLISH_STOP, SHORT_STOP
 from ..functions.options import options_by_part
 from ..operators import contrast, features as feats, splits, terms as tt
 from ..operators.distribute import materialize
-from ..plans import layouts
+from ..plans import layouts, prepare
 from ..plans.pipeline import FeatureModel, FeaturePipeline, pooled_layout, tfidf_layout
 from .answers import PART_OPTIONS, PART_RULES, PART_TARGETS, sql_among, sql_anywhere, sql_by_part, sql_mode, sql_rating
 from .registry import query, scratch, sql_list, sql_tokens, table
@@ -144,22 +144,54 @@ def saved_layout(spark, d):
     return back.select(F.col("row_id").alias("doc_id"), "idx", F.round("value", 6).alias("value"))
 
 
+def _sql_prepared(cut: str) -> str:
+    """Pooled layout with vocabulary and modes of the first part of the split ``g``."""
+    train = "(SELECT s.* FROM s JOIN g USING (doc_id) WHERE split = 'train')"
+    return (
+        f"{SQL_RESPONSES}, g AS (SELECT doc_id, CASE WHEN rn <= 576 THEN 'train' WHEN rn <= 702 THEN 'val' ELSE 'test' END "
+        f"AS split FROM (SELECT doc_id, row_number() OVER (ORDER BY {cut}) AS rn FROM s)), t AS {train}, "
+        "x AS (SELECT doc_id, 0 AS ord, unnest(" + sql_tokens("t1") + ") AS term FROM s UNION ALL "
+        "SELECT doc_id, 1, unnest(" + sql_tokens("t2") + ") FROM s), "
+        "v AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) - 1 AS vi FROM x JOIN t USING (doc_id) GROUP BY term), "
+        "feats AS (SELECT doc_id, ord * 100 + vi AS idx, CAST(count(*) AS DOUBLE) AS value FROM x JOIN v USING (term) "
+        f"WHERE vi < 100 GROUP BY doc_id, ord, vi UNION ALL {_sql_ratings('200', rows='t')} UNION ALL {_sql_multi('202')})")
+
+
+@query("WITH " + _sql_prepared("doc_id") + " SELECT doc_id, split, label, CAST(idx AS BIGINT) AS idx, value "
+       "FROM feats JOIN g USING (doc_id) JOIN (SELECT doc_id, label FROM s) USING (doc_id) WHERE value <> 0")
+def prepare_training(spark, d):
+    """Cut by position, fit on the first part, features of all parts."""
+    features, _ = prepare.prepare_training(
+        responses(spark, d), pooled_layout("doc_id", *COLUMNS, dict_len=100, **RULES), "label",
+        lambda rows: splits.split_by_position(rows, "doc_id"))
+    return features.withColumnRenamed("row_id", "doc_id")
+
+
+@query("WITH " + _sql_prepared("md5('42:' || doc_id)") + " SELECT doc_id, CAST(idx AS BIGINT) AS idx, value "
+       "FROM feats JOIN g USING (doc_id) WHERE value <> 0 AND split = 'test'")
+def prepare_shuffled_test(spark, d):
+    """Shuffle, cut, fit on the first part, features of the last part."""
+    features, _ = prepare.prepare_shuffled_test(
+        responses(spark, d), pooled_layout("doc_id", *COLUMNS, dict_len=100, **RULES))
+    return features.withColumnRenamed("row_id", "doc_id")
+
+
 # --- one document per response ---------------------------------------------------
 
-_SQL_DOCUMENTS = (
+SQL_DOCUMENTS = (
     f"{SQL_RESPONSES}, docs AS (SELECT doc_id, coalesce(label, '') AS label, concat_ws(' ', coalesce(lang, ''), t1, "
     "coalesce(r1, ''), coalesce(t2, ''), coalesce(r2, ''), coalesce(m1, ''), coalesce(m2, '')) AS text FROM s), "
     "x AS (SELECT doc_id, unnest(" + sql_tokens("text", ENGLISH_STOP, 2) + ") AS term FROM docs), "
     "tf AS (SELECT doc_id, term, count(*) AS tf FROM x GROUP BY ALL), "
     "c AS (SELECT term, CAST(sum(tf) AS BIGINT) AS n, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 3 "
     "ORDER BY n DESC, term LIMIT 400), "
-    "v AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, "
+    "v AS (SELECT term, n, df, row_number() OVER (ORDER BY term) - 1 AS idx, "
     "ln(((SELECT count(*) FROM docs) + 1.0e0) / (df + 1.0e0)) + 1.0e0 AS idf FROM c), "
     "w AS (SELECT doc_id, idx, (1.0e0 + ln(tf)) * idf AS w FROM tf JOIN v USING (term)), "
     "feats AS (SELECT doc_id, idx, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS value FROM w)")
 
 
-@query(f"WITH {_SQL_DOCUMENTS} SELECT doc_id, idx, round(value, 6) AS value FROM feats")
+@query(f"WITH {SQL_DOCUMENTS} SELECT doc_id, idx, round(value, 6) AS value FROM feats")
 def assemble_document(spark, d):
     features, _, _ = layouts.document_layout(responses(spark, d), "doc_id", stop=ENGLISH_STOP)
     return features.select(F.col("row_id").alias("doc_id"), "idx", F.round("value", 6).alias("value"))

@@ -10,7 +10,7 @@ from ..operators.distribute import materialize
 from ..plans import layouts, predict, reports
 from ..plans.pipeline import FeaturePipeline, pooled_layout
 from ..sources import artifacts, survey
-from .layouts import COLUMNS, RULES, SQL_SELECTED, responses, selected
+from .layouts import COLUMNS, RULES, SQL_DOCUMENTS, SQL_SELECTED, responses, selected
 from .registry import query, scratch, sql_tokens, table
 from .text import two_text_columns
 
@@ -389,6 +389,28 @@ def rf_cv(spark, d):
     return out
 
 
+@query()
+def rf_tuned(spark, d):
+    """Grid search on the training rows, scored on the validation rows."""
+    vectors = _vectors(spark, d)
+    train = splits.kfold_stratified(vectors.filter("split = 'train'"), "vec_id", "label")
+    score, setting, val = reports.tuned_forest(
+        reports.ml_rows(train, "embedding", "label", DIGITS, ["fold"]).persist(),
+        reports.ml_rows(vectors.filter("split = 'val'"), "embedding", "label", DIGITS), DIGITS,
+        trees=(10,), depths=(5, 8), min_leaf=(2,))
+    row = (float(score), setting["trees"], setting["depth"], setting["min_leaf"],
+           float(val["accuracy"]), float(val["f1_macro"]), float(val["f1_weighted"]))
+    return spark.createDataFrame([row], "cv_accuracy double, trees int, depth int, min_leaf int, "
+                                 "val_accuracy double, val_f1_macro double, val_f1_weighted double")
+
+
+@query()
+def rf_errors(spark, d):
+    """Most frequent mistakes of the forest on the test rows."""
+    train, _, test = _parts(spark, d)
+    return reports.forest_errors(train, test, DIGITS, trees=30)[1]
+
+
 @query()
 def model_compare(spark, d):
     return reports.compare_defaults(_vectors(spark, d), "vec_id", "embedding", "label", DIGITS, trees=20, depth=10)
@@ -441,7 +463,20 @@ def vocabulary_json_round_trip(spark, d):
     return artifacts.vocabulary_of_json(spark, path)
 
 
-@query()
+_SIZES_BY_LABEL = (
+    "lab AS (SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || doc_id)) AS rn FROM docs), "
+    "cnt AS (SELECT label, count(*) AS n, CAST(count(*) AS DOUBLE) * (t - ceil(round(t * 0.2e0, 9))) / t AS e, "
+    "CAST(t - ceil(round(t * 0.2e0, 9)) AS BIGINT) AS n_train FROM docs, (SELECT count(*) AS t FROM docs) GROUP BY label, t), "
+    "siz AS (SELECT label, n, CAST(floor(e) AS BIGINT) + CASE WHEN row_number() OVER "
+    "(ORDER BY round(e - floor(e), 9) DESC, label) <= n_train - sum(CAST(floor(e) AS BIGINT)) OVER () THEN 1 ELSE 0 END AS n_tr "
+    "FROM cnt), "
+    "tr AS (SELECT doc_id FROM lab JOIN siz USING (label) WHERE rn > n - n_tr), nt AS (SELECT count(*) AS nt FROM tr), "
+    "sc AS (SELECT idx, sum(value) / any_value(nt) AS mean, sqrt(greatest(sum(value * value) / any_value(nt) - "
+    "(sum(value) / any_value(nt)) ** 2, 0)) AS sd FROM feats JOIN tr USING (doc_id), nt GROUP BY idx)")
+
+
+@query(f"WITH {SQL_DOCUMENTS}, {_SIZES_BY_LABEL} SELECT term, idx, n, df AS doc_freq, round(idf, 6) AS idf, "
+       "round(mean, 6) AS mean, round(CASE WHEN sd > 1e-9 THEN sd ELSE 1 END, 6) AS scale FROM v LEFT JOIN sc USING (idx)")
 def document_layout_saved(spark, d):
     """Scaled one-document layout, saved and loaded: vocabulary with weights and scales."""
     _, _, model = layouts.document_layout(responses(spark, d), "doc_id", scale=True, stop=ENGLISH_STOP)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.distribute import _ensure_checkpoint_dir
+from ..operators.distribute import shared_folder
 from ..sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +29,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder beside the checkpoints, which all executors share."""
-    _ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
+    """A new folder that all executors share."""
+    return shared_folder(spark)
 
 
 def sql_list(words) -> str:

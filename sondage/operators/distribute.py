@@ -1,7 +1,8 @@
 """Building blocks that keep large inputs distributed.
 
-* ``materialize``    cut lineage through the shared checkpoint folder
+* ``materialize``    cut lineage through a table in the shared checkpoint folder
 * ``dense_index``    position in a global sort order, without a one-task sort
+* ``first_ranked``   the first rows of an order with their rank
 * ``lookup_join``    join with a fitted table: broadcast only under a checked
                      size, otherwise a shuffle join with salted hot keys
 * ``hash_cutoffs``   exact order statistics of a hash, by histogram
@@ -10,37 +11,56 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 2000
 ROWS_PER_SALT = 2_000_000
+TOP_AT_ONCE = 100_000
 BUCKET_DIGITS = 4
 _ROW_BITS = 33
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def _checkpoint_folder(spark: SparkSession) -> str:
+    """The folder the session names; in local runs without one, a new one."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="sondage-checkpoint-")
-    context.setCheckpointDir(shared)
+    if context.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            shared = tempfile.mkdtemp(prefix="sondage-checkpoint-")
+        context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and read it from reliable storage afterwards."""
-    _ensure_checkpoint_dir(df.sparkSession)
+def shared_folder(spark: SparkSession) -> str:
+    """Name of a new folder below the checkpoint folder, which all executors share."""
+    return f"{_checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Compute a table of bounded size once (``materialize`` for any other)."""
+    _checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into a table in the shared folder and read that afterwards.
+
+    Cuts the lineage, survives lost executors, and later reads take only the
+    columns they need."""
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table_bytes(df: DataFrame) -> int:
     """Estimated size of a fitted table: its text and array payload plus 16 bytes a cell."""
     size = F.lit(16 * max(len(df.columns), 1)).cast("long")
@@ -52,6 +72,11 @@ def table_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
 
 
+def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a fitted table within ``limit_bytes``; no hint for a larger one."""
+    return F.broadcast(df) if table_bytes(df) <= limit_bytes else df
+
+
 def dense_index(df: DataFrame, order: Sequence[str], within: str | None = None,
                 name: str = "idx") -> DataFrame:
     """Add the 0-based position of each row in the order of ``order``.
@@ -70,20 +95,34 @@ def dense_index(df: DataFrame, order: Sequence[str], within: str | None = None,
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     run = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     before = (F.sum("_n").over(run.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = blocks.select("_part", *group, (F.coalesce(before, F.lit(0)) - F.col("_first"))
-                            .alias("_shift"))
+    offsets = pin(blocks.select("_part", *group, (F.coalesce(before, F.lit(0)) - F.col("_first"))
+                                .alias("_shift")))
     if within:
         offsets = offsets.withColumnRenamed(within, "_group")
         on = (F.col("_part") == F.col("_part_r")) & F.col(within).eqNullSafe(F.col("_group"))
     else:
         on = F.col("_part") == F.col("_part_r")
     offsets = offsets.withColumnRenamed("_part", "_part_r")
-    # One row per partition and group: far below any broadcast limit.
-    return (ordered.join(F.broadcast(offsets), on)
+    return (ordered.join(broadcast_if_small(offsets), on)
             .withColumn(name, (F.col("_pos") + F.col("_shift")).cast("long"))
             .drop("_pos", "_part", "_part_r", "_shift", "_group"))
 
 
+def first_ranked(df: DataFrame, order: Sequence[Column], k: int, name: str = "idx",
+                 at_once: int = TOP_AT_ONCE) -> DataFrame:
+    """The first ``k`` rows in ascending ``order`` with their 0-based rank.
+
+    Up to ``at_once`` rows are merged from the best of each partition; more are
+    ranked by the parallel sort of ``dense_index``."""
+    keys = [f"_o{i}" for i in range(len(order))]
+    keyed = df.withColumns(dict(zip(keys, order)))
+    if k > at_once:
+        return dense_index(keyed, keys, name=name).filter(F.col(name) < k).drop(*keys)
+    rank = Window.partitionBy(F.lit(0)).orderBy(*keys)  # k rows
+    best = keyed.orderBy(*keys).limit(k)
+    return pin(best.withColumn(name, F.row_number().over(rank).cast("long") - 1).drop(*keys))
+
+
 def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], spread: str,
                 weight: str | None = None, how: str = "inner",
                 limit_bytes: int = BROADCAST_BYTES, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
@@ -106,7 +145,7 @@ def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], spread: s
     total = sizes.agg(F.sum("_rows").alias("n")).first()["n"] or 0
     hot = sizes.filter(F.col("_rows") > max(rows_per_salt, total // HOT_KEYS)).select(
         *on, F.ceil(F.col("_rows") / F.lit(float(rows_per_salt))).cast("int").alias("_salts"))
-    hot = F.broadcast(materialize(hot))
+    hot = F.broadcast(pin(hot))
     salt = F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int")
     salted_facts = facts.join(hot, on, "left").withColumn("_salt", F.coalesce(salt, F.lit(0)))
     copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
@@ -114,7 +153,7 @@ def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], spread: s
     return salted_facts.drop("_salts").join(salted_table.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
-def hash_order(key: str, seed: int | str):
+def hash_order(key: str, seed: int | str) -> Column:
     """Hex digest that orders rows like a seeded shuffle of their keys."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 

@@ -10,10 +10,10 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .distribute import lookup_join, materialize
+from .distribute import first_ranked, lookup_join
 
 
 def places(values: Column, offset: int) -> Column:
@@ -104,9 +104,9 @@ def select_top(scores: DataFrame, k: int, score: str = "chi2", digits: int = 9)
     Scores are compared after rounding, so that the order of a sum cannot
     decide; ties go to the smaller index. Features without a score come last.
     """
-    best = (scores.orderBy(F.round(score, digits).desc_nulls_last(), "idx").limit(k))
-    rank = Window.partitionBy(F.lit(0)).orderBy("idx")  # k rows
-    return materialize(best.withColumn("new_idx", F.row_number().over(rank).cast("long") - 1))
+    worst = F.lit(float("inf"))
+    best = first_ranked(scores, [F.coalesce(-F.round(score, digits), worst), F.col("idx")], k, "_rank")
+    return first_ranked(best.drop("_rank"), [F.col("idx")], k, "new_idx")
 
 
 def apply_mask(features: DataFrame, kept: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .distribute import materialize
+from .distribute import pin
 
 
 def pair_counts(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -56,7 +56,7 @@ def weighted_f1(df: DataFrame, y: str, p: str) -> DataFrame:
 
 def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
     """One row per class, then accuracy, macro and weighted averages."""
-    scores = class_scores(materialize(pair_counts(df, y, p)))
+    scores = class_scores(pin(pair_counts(df, y, p)))
     rows = scores.select("class", "precision", "recall", "f1", "support")
     total = F.sum("support")
 
@@ -87,7 +87,7 @@ def confusion_matrix(df: DataFrame, y: str, p: str, true_labels_only: bool = Fal
 
     The class list is one array, so the grid has classes x classes rows.
     """
-    pairs = materialize(pair_counts(df, y, p))
+    pairs = pin(pair_counts(df, y, p))
     listed = [F.col("y")] if true_labels_only else [F.col("y"), F.col("p")]
     classes = (pairs.select(F.explode(F.array(*listed)).alias("c"))
                .agg(F.array_sort(F.collect_set("c")).alias("all")))
@@ -103,7 +103,7 @@ def error_pairs(df: DataFrame, y: str, p: str, top: int = 10) -> DataFrame:
 
 def usual_confusion(df: DataFrame, y: str, p: str) -> DataFrame:
     """Most frequent wrong prediction of each true label; labels without error are listed."""
-    pairs = materialize(pair_counts(df, y, p))
+    pairs = pin(pair_counts(df, y, p))
     wrong = (pairs.filter(F.col("y") != F.col("p"))
              .withColumn("rk", F.row_number().over(Window.partitionBy("y").orderBy(F.desc("n"), "p")))
              .filter(F.col("rk") == 1).select("y", "p", "n"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ngrams, let, term_counts, tokens
-from .distribute import dense_index, lookup_join, materialize
+from .distribute import dense_index, first_ranked, lookup_join
 
 
 def term_table(df: DataFrame, row_id: str, text_cols: Sequence[str], *,
@@ -41,9 +41,7 @@ def count_terms(terms: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def top_vocabulary(counts: DataFrame, top_k: int) -> DataFrame:
     """The ``top_k`` most frequent terms, indexed by rank (ties: by term)."""
-    best = counts.orderBy(F.desc("n"), "term").limit(top_k)
-    rank = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "term")  # top_k rows
-    return materialize(best.withColumn("idx", F.row_number().over(rank).cast("long") - 1))
+    return first_ranked(counts, [-F.col("n"), F.col("term")], top_k)
 
 
 def first_seen_vocabulary(df: DataFrame, order_key: str, text_cols: Sequence[str], top_k: int,
@@ -56,10 +54,7 @@ def first_seen_vocabulary(df: DataFrame, order_key: str, text_cols: Sequence[str
             .select("row_id", "cell.ordinal", F.posexplode("cell.words").alias("pos", "term")))
     counts = seen.groupBy("term").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("ordinal", "row_id", "pos")).alias("first"))
-    order = [F.desc("n"), F.col("first")]
-    rank = Window.partitionBy(F.lit(0)).orderBy(*order)  # top_k rows
-    return materialize(counts.orderBy(*order).limit(top_k)
-                       .select("term", (F.row_number().over(rank).cast("long") - 1).alias("idx"), "n"))
+    return first_ranked(counts, [-F.col("n"), F.col("first")], top_k).select("term", "idx", "n")
 
 
 def full_vocabulary(counts: DataFrame, min_count: int = 1, by: str | None = None) -> DataFrame:
@@ -75,9 +70,8 @@ def document_vocabulary(counts: DataFrame, min_df: int, max_features: int | None
     kept = counts.filter(F.col("doc_freq") >= min_df)
     if max_features is None:
         return dense_index(kept, ["term"])
-    best = kept.orderBy(F.desc("n"), "term").limit(max_features)
-    rank = Window.partitionBy(F.lit(0)).orderBy("term")  # max_features rows
-    return materialize(best.withColumn("idx", F.row_number().over(rank).cast("long") - 1))
+    best = first_ranked(kept, [-F.col("n"), F.col("term")], max_features, "_rank").drop("_rank")
+    return first_ranked(best, [F.col("term")], max_features)
 
 
 def pooled_vocabulary(df: DataFrame, text_cols: Sequence[str], top_k: int | None = None,

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,37 @@ def compare_defaults(rows: DataFrame, row_id: str, vec: str, label: str, classes
     }, data.filter("split = 'train'"), data.filter("split = 'val'"))
 
 
+def _named(predicted: DataFrame, classes: Sequence[str]) -> DataFrame:
+    """``y, p`` as class names from the indexes of a fitted model."""
+    names = F.array(*[F.lit(c) for c in classes])
+    return predicted.select(F.element_at(names, F.col("label_idx").cast("int") + 1).alias("y"),
+                            F.element_at(names, F.col("prediction").cast("int") + 1).alias("p"))
+
+
+def evaluate(model: Model, rows: DataFrame, classes: Sequence[str]) -> tuple[dict[str, float], DataFrame]:
+    """Accuracy, macro and weighted F1, and the classification report of ML rows."""
+    named = _named(model.transform(rows), classes).persist()
+    return metrics.summary_metrics(named, "y", "p"), metrics.classification_report(named, "y", "p")
+
+
+def tuned_forest(train: DataFrame, val: DataFrame, classes: Sequence[str], fold: str = "fold",
+                 **grid) -> tuple[float, dict, dict[str, float]]:
+    """Cross-validated grid search: best score, its setting, metrics on validation rows."""
+    model, table = models.forest_cross_validation(train, fold, **grid)
+    best = metrics.best_setting(table, "accuracy", "position").first()
+    setting = {k: best[k] for k in ("trees", "depth", "min_leaf")}
+    return best["accuracy"], setting, evaluate(model, val, classes)[0]
+
+
+def forest_errors(train: DataFrame, test: DataFrame, classes: Sequence[str], trees: int = 300, depth: int = 10,
+                  min_leaf: int = 5, seed: int = 311) -> tuple[float, DataFrame, DataFrame]:
+    """Test accuracy of a forest, its ten most frequent mistakes, and the usual one per label."""
+    model = models.forest(trees, depth, min_leaf, seed).fit(train)
+    named = _named(model.transform(test), classes).persist()
+    return (metrics.accuracy_of(named, "y", "p"), metrics.error_pairs(named, "y", "p"),
+            metrics.usual_confusion(named, "y", "p"))
+
+
 @dataclass
 class Report:
     summary: DataFrame        # model, val_accuracy, test_accuracy, setting
@@ -79,19 +111,17 @@ def full_report(rows: DataFrame, row_id: str, vec: str, label: str, classes: Seq
     train, val, test = (data.filter(F.col("split") == s) for s in splits.SPLITS)
     both = splits.train_and_val(data)
     n_both = both.count()
-    back = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
-    truth = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("label_idx").cast("int") + 1)
     results: list[tuple[str, float, str, DataFrame]] = []
 
     c = _first_best(models.ridge_sweep(train, val, strengths, 200).orderBy("position").collect(), "val_accuracy")
     ridge = models.ridge_logistic(c["strength"], n_both).fit(both)
     results.append(("Logistic Regression", c["val_accuracy"], f"strength={c['strength']}",
-                    ridge.transform(test).select(truth.alias("y"), back.alias("p"))))
+                    _named(ridge.transform(test), classes)))
 
     f = _first_best(models.forest_sweep(train, val, sizes, depths).orderBy("position").collect(), "val_accuracy")
     grown = models.forest(f["trees"], f["depth"], 1, 311).fit(both)
     results.append(("Random Forest", f["val_accuracy"], f"trees={f['trees']} depth={f['depth']}",
-                    grown.transform(test).select(truth.alias("y"), back.alias("p"))))
+                    _named(grown.transform(test), classes)))
 
     def searched(refs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         moments = feats.dense_moments(refs, vec)

@@ -187,3 +187,27 @@ def test_bayes_scores_rows_without_known_features(spark):
     got = {r["row_id"]: (r["scores"], r["prediction"]) for r in bayes.score_bayes(new, rows, model).collect()}
     assert got[8][0] == pytest.approx([np.log(1 / 3), np.log(2 / 3)]) and got[8][1] == "b"
     assert got[7][0] == pytest.approx([np.log(1 / 3) + np.log(0.5 / 3.5), np.log(2 / 3) + np.log(0.5 / 3.5)])
+
+
+@pytest.mark.parametrize("at_once", [1000, 0])
+def test_first_ranked(spark, monkeypatch, at_once):
+    monkeypatch.setattr(distribute.first_ranked, "__defaults__", ("idx", at_once))
+    words = " ".join(f"w{i % 40}" for i in range(700)) + " a a a"
+    df = spark.createDataFrame([(0, words), (1, "b c")], "row_id long, t string")
+    got = tt.pooled_vocabulary(df, ["t"], 25).orderBy("idx").collect()
+    counts = {}
+    for w in (words + " b c").split():
+        counts[w] = counts.get(w, 0) + 1
+    want = sorted(counts, key=lambda w: (-counts[w], w))[:25]
+    assert [(r["term"], r["idx"]) for r in got] == [(w, i) for i, w in enumerate(want)]
+
+
+def test_nothing_is_lost_without_broadcast(spark, monkeypatch):
+    """The null group is a group like any other, also when offsets are not broadcast."""
+    rows = [(None if i % 4 == 0 else f"g{i % 3}", f"t{i:03d}") for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, t string")
+    for limit in (distribute.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(distribute.broadcast_if_small, "__defaults__", (limit,))
+        got = {(r["g"], r["t"]): r["idx"] for r in dense_index(df, ["t"], within="g").collect()}
+        assert len(got) == 200
+        assert [got[None, f"t{i:03d}"] for i in range(0, 200, 4)] == list(range(50))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sondage.functions.fixed import CLASSES, SHORT_STOP
 from sondage.operators import answers, features as feats, forest as forests, metrics, models, records, splits, terms as tt
 from sondage.operators import vectors
-from sondage.plans import layouts, predict, reports
+from sondage.plans import layouts, predict, prepare, reports
 from sondage.plans.pipeline import FeatureModel, FeaturePipeline, pooled_layout, tfidf_layout
 from sondage.sources import artifacts, survey, wordvectors
 
@@ -336,3 +336,32 @@ def test_vocabulary_size_sweep(spark, survey_rows):
     rows = records.drop_unlabelled(survey_rows)
     got = reports.vocabulary_size_sweep(rows, plan, "label", CLASSES, sizes=(5, 20), trees=(4,), depths=(3,), min_leaf=(1,))
     assert [r["dict_len"] for r in got.orderBy("position").collect()] == [5, 20]
+
+
+def test_prepare(spark, survey_rows):
+    names = [c for c in survey_rows.columns if c != "row_id"]
+    config = prepare.config_by_position(names, "row_id", dict_len=20)
+    assert (list(config.text_cols), list(config.rating_cols), list(config.multi_cols)) == (TEXTS, RATINGS, MULTI)
+    features, model = prepare.prepare_training(survey_rows, config, "label",
+                                               lambda r: splits.split_by_group(r, "student_id"))
+    assert {r["split"] for r in features.select("split").distinct().collect()} == {"train", "val", "test"}
+    train = splits.split_by_group(survey_rows, "student_id").filter("split = 'train'")
+    assert long_rows(features.filter("split = 'train'")) == long_rows(FeaturePipeline(config).fit(train).transform(train))
+    test, _ = prepare.prepare_shuffled_test(survey_rows, config, cuts=(60, 70))
+    assert test.select("row_id").distinct().count() == 20
+    whole, own = prepare.prepare_file(survey_rows.drop("label"), config)
+    assert own.width == 3 * 20 + 4 + 16 and whole.select("row_id").distinct().count() == 90
+
+
+def test_forest_reports(spark, blobs):
+    data = reports.ml_rows(blobs, "x", "label", CLASSES, ["row_id", "split"])
+    train, val, test = (data.filter(F.col("split") == s) for s in ("train", "val", "test"))
+    model = models.forest(5, 4, 2).fit(train)
+    scores, report = reports.evaluate(model, val, CLASSES)
+    assert scores["accuracy"] == pytest.approx(models.accuracy(model, val)) and report.count() == 6
+    acc, pairs, usual = reports.forest_errors(train, test, CLASSES, trees=5, depth=2)
+    assert usual.count() == 3
+    assert sum(r["n"] for r in pairs.collect()) == round((1 - acc) * test.count())
+    folds = splits.kfold_stratified(train, "row_id", "label_idx", 3)
+    best, setting, on_val = reports.tuned_forest(folds, val, CLASSES, n_folds=3, trees=(3,), depths=(1, 4), min_leaf=(1,))
+    assert setting["depth"] in (1, 4) and 0.5 < best <= 1 and 0.5 < on_val["accuracy"] <= 1
