@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.fixed import GROUP_COLUMN, LABEL_COLUMN
 
@@ -50,7 +51,14 @@ def one_document(df: DataFrame, label: str = LABEL_COLUMN, group: str = GROUP_CO
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
-    return df.dropna("any")
+    """Keep rows without any missing cell. (``dropna`` itself does not accept names with dots.)"""
+    complete = F.lit(True)
+    for f in df.schema.fields:
+        cell = F.col(quoted(f.name))
+        complete = complete & cell.isNotNull()
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            complete = complete & ~F.isnan(cell)
+    return df.filter(complete)
 
 
 def drop_unlabelled(df: DataFrame, label: str = LABEL_COLUMN) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ngrams, let, term_counts, tokens
 from .distribute import dense_index, first_ranked, lookup_join
+from .records import quoted
 
 
 def term_table(df: DataFrame, row_id: str, text_cols: Sequence[str], *,
@@ -22,8 +23,8 @@ def term_table(df: DataFrame, row_id: str, text_cols: Sequence[str], *,
     """Terms with their counts, computed inside each row (no shuffle)."""
     def words(c: str) -> Column:
         if analyzer is not None:
-            return analyzer(F.col(c))
-        found = tokens(c, stop, min_len)
+            return analyzer(F.col(quoted(c)))
+        found = tokens(F.col(quoted(c)), stop, min_len)
         return let(found, lambda w: F.concat(w, ngrams(w, 2))) if bigrams else found
 
     cells = F.array(*[F.struct(F.lit(c).alias("col"), F.lit(i).alias("ordinal"),
@@ -48,7 +49,7 @@ def first_seen_vocabulary(df: DataFrame, order_key: str, text_cols: Sequence[str
                           stop: Sequence[str] | None = None) -> DataFrame:
     """As ``top_vocabulary``, but ties keep the order of first appearance:
     by text column, then ``order_key``, then position in the cell."""
-    cells = F.array(*[F.struct(F.lit(i).alias("ordinal"), tokens(c, stop).alias("words"))
+    cells = F.array(*[F.struct(F.lit(i).alias("ordinal"), tokens(F.col(quoted(c)), stop).alias("words"))
                       for i, c in enumerate(text_cols)])
     seen = (df.select(F.col(order_key).alias("row_id"), F.explode(cells).alias("cell"))
             .select("row_id", "cell.ordinal", F.posexplode("cell.words").alias("pos", "term")))
@@ -77,7 +78,7 @@ def document_vocabulary(counts: DataFrame, min_df: int, max_features: int | None
 def pooled_vocabulary(df: DataFrame, text_cols: Sequence[str], top_k: int | None = None,
                       stop: Sequence[str] | None = None) -> DataFrame:
     """One vocabulary over all text columns. ``top_k`` of ``None`` or 0: all terms."""
-    words = F.flatten(F.array(*[tokens(c, stop) for c in text_cols]))
+    words = F.flatten(F.array(*[tokens(F.col(quoted(c)), stop) for c in text_cols]))
     # The plain explode would evaluate ``words`` twice, first to skip empty rows.
     counts = (df.select(F.explode_outer(words).alias("term")).filter(F.col("term").isNotNull())
               .groupBy("term").agg(F.count(F.lit(1)).alias("n")))

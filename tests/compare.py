@@ -26,7 +26,7 @@ def canonical(df: pd.DataFrame) -> list[tuple]:
             return None
         if hasattr(x, "item"):
             x = x.item()
-        return x
+        return repr(x) if isinstance(x, float) else x  # tells -0.0 from 0.0
     return sorted((tuple(cell(x) for x in row) for row in df.itertuples(index=False, name=None)),
                   key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 

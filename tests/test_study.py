@@ -140,6 +140,25 @@ def test_saved_layout_is_the_same(spark, survey_rows, tmp_path, make):
     assert len(dense) == test.count() and all(len(r["x"]) == model.width for r in dense)
 
 
+def test_layout_with_question_texts(spark, survey_rows, tmp_path):
+    """Column names with dots, commas and question marks."""
+    from sondage.functions.fixed import MULTI_QUESTIONS, RATING_QUESTIONS, TASK_QUESTION
+    names = {"text_1": TASK_QUESTION, "text_6": "Why? (e.g., a.b)", **dict(zip(RATINGS, RATING_QUESTIONS)),
+             **dict(zip(MULTI, MULTI_QUESTIONS))}
+    asked = survey_rows.withColumnsRenamed(names)
+    for make in (pooled_layout, tfidf_layout):
+        plain = FeaturePipeline(make("row_id", TEXTS, RATINGS, MULTI)).fit(survey_rows)
+        model = FeaturePipeline(make("row_id", [names.get(t, t) for t in TEXTS], list(RATING_QUESTIONS),
+                                     list(MULTI_QUESTIONS))).fit(asked)
+        model.save(str(tmp_path / make.__name__))
+        back = FeatureModel.load(spark, str(tmp_path / make.__name__))
+        assert sorted(r[2] for r in long_rows(back.transform(asked))) == sorted(r[2] for r in long_rows(plain.transform(survey_rows)))
+    rows = layouts.baseline_rows(asked, "row_id", RATING_QUESTIONS[:2], MULTI_QUESTIONS)
+    assert rows.count() == records.drop_incomplete(survey_rows).count()
+    kept, _, model = layouts.selected_layout(asked, "row_id", TASK_QUESTION, RATING_QUESTIONS, MULTI_QUESTIONS, k=10)
+    assert model.n_kept == 10 and kept.count() > 0
+
+
 def test_modes_of_the_transformed_rows(spark):
     df = spark.createDataFrame([(0, "1"), (1, "1"), (2, None)], "row_id long, r string")
     new = spark.createDataFrame([(5, "4"), (6, None)], "row_id long, r string")
