@@ -41,9 +41,11 @@ def sql_mode(c: str, rows: str) -> str:
             f"GROUP BY m ORDER BY count(*) DESC, m LIMIT 1)")
 
 
-@query(f"WITH {SQL_RATED} SELECT o_orderkey, {sql_rating('answer')} AS a, {sql_rating('other')} AS b FROM r")
+@query(f"WITH {SQL_RATED} SELECT o_orderkey, CAST({sql_rating('answer')} AS DOUBLE) AS a, "
+       f"CAST({sql_rating('other')} AS DOUBLE) AS b FROM r")
 def rating_extract(spark, d):
-    return rated_orders(spark, d).select("o_orderkey", rt.rating("answer").alias("a"), rt.rating("other").alias("b"))
+    return rated_orders(spark, d).select("o_orderkey", *[
+        rt.rating(c).cast("double").alias(n) for c, n in (("answer", "a"), ("other", "b"))])
 
 
 @query(f"WITH {SQL_RATED} SELECT o_orderkey, coalesce({sql_rating('answer')}, 3) AS a, "

@@ -154,9 +154,10 @@ def error_pairs(spark, d):
 
 @query(f"WITH {_P}, w AS (SELECT y, p, count(*) AS n FROM pr WHERE y <> p GROUP BY y, p "
        "QUALIFY row_number() OVER (PARTITION BY y ORDER BY count(*) DESC, p) = 1) "
-       "SELECT y, p, n FROM (SELECT DISTINCT y FROM pr) LEFT JOIN w USING (y)")
+       "SELECT y, p, CAST(n AS DOUBLE) AS n FROM (SELECT DISTINCT y FROM pr) LEFT JOIN w USING (y)")
 def error_usual(spark, d):
-    return metrics.usual_confusion(_uniform(spark, d), "y", "p")
+    usual = metrics.usual_confusion(_uniform(spark, d), "y", "p")
+    return usual.withColumn("n", F.col("n").cast("double"))
 
 
 # --- multinomial Bayes on word counts -----------------------------------------------------
