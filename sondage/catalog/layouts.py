@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import options as op
 from ..functions.fixed import ENGLISH_STOP, SHORT_STOP
 from ..functions.options import options_by_part
 from ..operators import contrast, features as feats, splits, terms as tt
@@ -13,7 +12,6 @@ from ..plans import layouts, prepare
 from ..plans.pipeline import FeatureModel, FeaturePipeline, pooled_layout, tfidf_layout
 from .answers import PART_OPTIONS, PART_RULES, PART_TARGETS, sql_among, sql_anywhere, sql_by_part, sql_mode, sql_rating
 from .registry import query, scratch, sql_list, sql_tokens, table
-from .tables import SQL_STRATIFIED_FOLDS  # noqa: F401
 from .text import sql_clean
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import features as feats, records, splits
+from ..operators import contrast, features as feats, records, splits
 from ..sources import artifacts, survey
 from .registry import query, scratch, table
 
@@ -181,8 +181,7 @@ def union_train_val(spark, d):
 
 @query("SELECT lang, count(*) AS n FROM documents GROUP BY lang")
 def label_distribution(spark, d):
-    from ..operators.contrast import label_distribution as distribution
-    return distribution(table(spark, d, "documents"), "lang")
+    return contrast.label_distribution(table(spark, d, "documents"), "lang")
 
 
 # --- saved tables ---------------------------------------------------------------

@@ -15,7 +15,6 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.fixed import CV_DEPTHS, CV_MIN_LEAF, CV_TREES, FOREST_DEPTHS, FOREST_SIZES, RIDGE_STRENGTHS
 from . import metrics

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import BASELINE_TARGETS, DEFAULT_RATING, KEPT_FEATURES, OPTION_RULES
 from ..functions.options import multi_hot, options_among, options_anywhere
 from ..functions.ratings import one_hot, rating
-from ..functions.text import clean_words, english_stop_words, tokens
+from ..functions.text import clean_words, english_stop_words
 from ..operators import bayes, features as feats, records, splits, terms as tt
 from ..operators.answers import learned_options
 from ..operators.distribute import materialize

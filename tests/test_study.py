@@ -6,11 +6,11 @@ import json
 import math
 
 import pytest
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from sondage.functions.fixed import CLASSES, SHORT_STOP
-from sondage.operators import answers, features as feats, forest as forests, metrics, models, records, splits, terms as tt
+from sondage.functions.fixed import CLASSES
+from sondage.operators import answers, forest as forests, metrics, models, records, splits, terms as tt
 from sondage.operators import vectors
 from sondage.plans import layouts, predict, prepare, reports
 from sondage.plans.pipeline import FeatureModel, FeaturePipeline, pooled_layout, tfidf_layout
