@@ -74,13 +74,6 @@ def standardize(df: DataFrame, vec: str, moments: Sequence[tuple[float, float]],
     return df.withColumn(out or vec, F.zip_with(centred, sds, lambda x, s: x / s))
 
 
-def class_shares(rows: DataFrame, label: str) -> dict[str, float]:
-    """Share of each class among the rows; one driver row per class."""
-    counts = rows.groupBy(F.col(label).cast("string").alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()
-    total = sum(r["n"] for r in counts)
-    return {r["c"]: r["n"] / total for r in sorted(counts, key=lambda r: str(r["c"]))}
-
-
 def chi2_scores(features: DataFrame, label: str, shares: dict[str, float]) -> DataFrame:
     """Chi-square of each feature against the class: ``sum((O - E)^2 / E)``.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import POSITION_CUTS
-from .distribute import dense_index, hash_cutoffs, hash_order
+from .distribute import dense_index, hash_cutoffs, hash_order, materialize
 
 SPLITS = ("train", "val", "test")
 
@@ -73,7 +73,7 @@ def split_shuffled(df: DataFrame, key: str, cuts: Sequence[int] = POSITION_CUTS,
 def split_by_group(df: DataFrame, group: str, ratios: Sequence[float] = (0.7, 0.15),
                    names: Sequence[str] = SPLITS, seed: int = 666, out: str = "split") -> DataFrame:
     """Split whole groups; no group is spread over two parts."""
-    groups = df.select(group).distinct().withColumn("_h", hash_order(group, seed))
+    groups = materialize(df.select(group).distinct().withColumn("_h", hash_order(group, seed)))
     cuts = ratio_cuts(groups.count(), ratios)
     found = hash_cutoffs(groups, "_h", {None: cuts})
     values = [found.get((None, c)) if c >= 1 else None for c in cuts]

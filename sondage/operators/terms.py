@@ -75,13 +75,23 @@ def document_vocabulary(counts: DataFrame, min_df: int, max_features: int | None
     return first_ranked(best, [F.col("term")], max_features)
 
 
+def pooled_counts(df: DataFrame, text_cols: Sequence[str], stop: Sequence[str] | None = None,
+                  bigrams: bool = False) -> DataFrame:
+    """Occurrences per term over all text columns; summed before the shuffle."""
+    def words(c: str) -> Column:
+        found = tokens(F.col(quoted(c)), stop)
+        return let(found, lambda w: F.concat(w, ngrams(w, 2))) if bigrams else found
+
+    # The plain explode would evaluate the words twice, first to skip empty rows.
+    every = F.explode_outer(F.flatten(F.array(*[words(c) for c in text_cols])))
+    return (df.select(every.alias("term")).filter(F.col("term").isNotNull())
+            .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+
+
 def pooled_vocabulary(df: DataFrame, text_cols: Sequence[str], top_k: int | None = None,
                       stop: Sequence[str] | None = None) -> DataFrame:
     """One vocabulary over all text columns. ``top_k`` of ``None`` or 0: all terms."""
-    words = F.flatten(F.array(*[tokens(F.col(quoted(c)), stop) for c in text_cols]))
-    # The plain explode would evaluate ``words`` twice, first to skip empty rows.
-    counts = (df.select(F.explode_outer(words).alias("term")).filter(F.col("term").isNotNull())
-              .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+    counts = pooled_counts(df, text_cols, stop)
     return top_vocabulary(counts, top_k) if top_k else full_vocabulary(counts)
 
 

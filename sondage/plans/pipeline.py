@@ -210,9 +210,8 @@ class FeaturePipeline:
 
     def count_words(self, df: DataFrame) -> DataFrame:
         """Word counts of the pooled vocabulary; reusable for several ``dict_len``."""
-        terms = tt.term_table(df, self.config.row_id, self.config.text_cols, stop=self.config.stop or None,
-                              bigrams=self.config.bigrams)
-        return tt.count_terms(terms)
+        c = self.config
+        return tt.pooled_counts(df, c.text_cols, c.stop or None, c.bigrams)
 
     def fit(self, df: DataFrame, counts: DataFrame | None = None, embeddings: DataFrame | None = None,
             dim: int = 0) -> FeatureModel:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features as feats, forest as forests, models, records
+from ..operators.distribute import materialize
 from ..sources import artifacts, survey
 from .pipeline import FeatureConfig, FeatureModel, FeaturePipeline
 
@@ -47,5 +48,6 @@ def predict_all(spark: SparkSession, path: str, model_dir: str, multiline: bool
     classes = artifacts.load_settings(spark, f"{model_dir}/classes")["classes"]
     rows = survey.read_survey(spark, path, multiline=multiline)
     if layout.config.row_id not in rows.columns:
-        rows = survey.with_row_id(rows, layout.config.row_id)
+        # Written once: generated ids must not change between the branches of the plan.
+        rows = materialize(survey.with_row_id(rows, layout.config.row_id))
     return predict_rows(rows, layout, nodes, classes)
