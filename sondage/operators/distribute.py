@@ -72,11 +72,6 @@ def table_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint for a fitted table within ``limit_bytes``; no hint for a larger one."""
-    return F.broadcast(df) if table_bytes(df) <= limit_bytes else df
-
-
 def dense_index(df: DataFrame, order: Sequence[str], within: str | None = None,
                 name: str = "idx") -> DataFrame:
     """Add the 0-based position of each row in the order of ``order``.
@@ -95,15 +90,16 @@ def dense_index(df: DataFrame, order: Sequence[str], within: str | None = None,
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     run = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     before = (F.sum("_n").over(run.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = pin(blocks.select("_part", *group, (F.coalesce(before, F.lit(0)) - F.col("_first"))
-                                .alias("_shift")))
+    # Written, so that the planner knows its size and decides about the broadcast.
+    offsets = materialize(blocks.select(
+        "_part", *group, (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift")))
     if within:
         offsets = offsets.withColumnRenamed(within, "_group")
         on = (F.col("_part") == F.col("_part_r")) & F.col(within).eqNullSafe(F.col("_group"))
     else:
         on = F.col("_part") == F.col("_part_r")
     offsets = offsets.withColumnRenamed("_part", "_part_r")
-    return (ordered.join(broadcast_if_small(offsets), on)
+    return (ordered.join(offsets, on)
             .withColumn(name, (F.col("_pos") + F.col("_shift")).cast("long"))
             .drop("_pos", "_part", "_part_r", "_shift", "_group"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.distribute import broadcast_if_small, pin
+from ..operators.distribute import materialize
 
 
 def read_word_vectors(spark: SparkSession, path: str, max_words: int | None = None) -> DataFrame:
@@ -33,8 +33,9 @@ def read_word_vectors(spark: SparkSession, path: str, max_words: int | None = No
         # One row per block of the file.
         blocks = lines.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("first"))
         run = Window.partitionBy(F.lit(0)).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-        blocks = pin(blocks.withColumn("before", F.coalesce(F.sum("n").over(run), F.lit(0))))
-        numbered = parsed.filter(usable).join(broadcast_if_small(blocks), "place").withColumn(
+        # Written, so that the planner knows its size and decides about the broadcast.
+        blocks = materialize(blocks.withColumn("before", F.coalesce(F.sum("n").over(run), F.lit(0))))
+        numbered = parsed.filter(usable).join(blocks, "place").withColumn(
             "number", F.col("line") - F.col("first") + F.col("before"))
         last = numbered.filter(F.col("number") >= max_words).agg(F.min("number").alias("m"))
         stop = F.coalesce(last.scalar(), F.lit(max_words))

@@ -202,12 +202,16 @@ def test_first_ranked(spark, monkeypatch, at_once):
     assert [(r["term"], r["idx"]) for r in got] == [(w, i) for i, w in enumerate(want)]
 
 
-def test_nothing_is_lost_without_broadcast(spark, monkeypatch):
+def test_nothing_is_lost_without_broadcast(spark):
     """The null group is a group like any other, also when offsets are not broadcast."""
     rows = [(None if i % 4 == 0 else f"g{i % 3}", f"t{i:03d}") for i in range(200)]
     df = spark.createDataFrame(rows, "g string, t string")
-    for limit in (distribute.BROADCAST_BYTES, 0):
-        monkeypatch.setattr(distribute.broadcast_if_small, "__defaults__", (limit,))
-        got = {(r["g"], r["t"]): r["idx"] for r in dense_index(df, ["t"], within="g").collect()}
-        assert len(got) == 200
-        assert [got[None, f"t{i:03d}"] for i in range(0, 200, 4)] == list(range(50))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in (old, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got = {(r["g"], r["t"]): r["idx"] for r in dense_index(df, ["t"], within="g").collect()}
+            assert len(got) == 200
+            assert [got[None, f"t{i:03d}"] for i in range(0, 200, 4)] == list(range(50))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
