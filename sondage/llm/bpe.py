@@ -23,7 +23,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_texts, field_type, id_and_text, map_batches
+from .common import batch_texts, field_type, id_and_text, map_batches, worker_cache
 
 LEXICON_WORDS = 60_000
 LEXICON_BYTES = 40
@@ -420,15 +420,13 @@ def publish(spark: SparkSession, data: bytes, name: str) -> str:
     return unique
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _encoder(vocabulary: str, lexicon: str) -> Encoder:
-    key = f"{vocabulary}\n{lexicon}"
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(Vocabulary(SparkFiles.get(vocabulary)), Lexicon.map(SparkFiles.get(lexicon)))
-    return _ENCODERS[key]
+    cache, key = worker_cache(), f"encoder-{vocabulary}-{lexicon}"
+    if key not in cache:
+        for old in [k for k in cache if k.startswith("encoder-")]:
+            del cache[old]
+        cache[key] = Encoder(Vocabulary(SparkFiles.get(vocabulary)), Lexicon.map(SparkFiles.get(lexicon)))
+    return cache[key]
 
 
 def encode(docs: DataFrame, tokenizer_path: str, words: int = LEXICON_WORDS, id_col: str = "doc_id",

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +52,28 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker; the package itself is sent anew with every task."""
+    return sys.modules.setdefault("_sondage_worker_cache", types.ModuleType("_sondage_worker_cache")).__dict__
+
+
+def share(spark: SparkSession, value) -> Callable:
+    """Broadcast a model of bounded size; the result, called in a task, gives it back.
+
+    Workers need no copy of this package and unpack one model at a time, once."""
+    data = cloudpickle.dumps(value)
+    held, key = spark.sparkContext.broadcast(data), f"shared-{uuid.uuid4().hex}"
+
+    def get():
+        cache = worker_cache()
+        if key not in cache:
+            for old in [k for k in cache if k.startswith("shared-")]:
+                del cache[old]
+            cache[key] = pickle.loads(held.value)
+        return cache[key]
+    return get
+
+
 def field_type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
@@ -57,9 +84,20 @@ def first_by_hash(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
     return df.withColumn("_mark", mark).orderBy("_mark", key).limit(n).drop("_mark")
 
 
-def ragged(values: Sequence[int]) -> str:
-    return ",".join(map(str, values))
-
-
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
+
+
+def sample_per_class(df: DataFrame, key: str, label: str, per_class: int, seed: str) -> DataFrame:
+    """At most ``per_class`` rows of each value of ``label`` (few values), by a seeded hash of ``key``.
+
+    The counts per class give the share of hash values to look at, so that only about four
+    times the wanted rows are ranked; the rows do not depend on how the input is laid out."""
+    marked = df.withColumn("_mark", F.xxhash64(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    near = F.lit(False)
+    for value, n in counts.items():
+        share = int(min(1.0, 4 * per_class / n + 100 / n) * (1 << 20))
+        near = near | (F.col(label).eqNullSafe(F.lit(value)) & (F.pmod(F.col("_mark"), F.lit(1 << 20)) <= share))
+    rank = Window.partitionBy(label).orderBy("_mark", key)
+    return marked.filter(near).withColumn("_rank", F.row_number().over(rank)).filter(F.col("_rank") <= per_class).drop("_mark", "_rank")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, digest_index, secret_scan, simhash
+from . import bpe, digest_index, langid, quality, secret_scan, simhash
 from .common import read, sha256_hex
 
 QUERIES: dict = {}
@@ -26,6 +26,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op5_quality(spark, d):
+    return quality.classify(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 @query()
 def op6_bpe(spark, d):
     return bpe.encode(read(spark, d, "documents"), tokenizer_path())
@@ -44,6 +49,11 @@ def op8_simhash(spark, d):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query()
+def op9_language(spark, d):
+    return langid.identify(read(spark, d, "documents"))
+
+
 @query()
 def op10_secret_scan(spark, d):
     found = secret_scan.scan(read(spark, d, "documents"))
