@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, digest_index, langid, quality, secret_scan, simhash
+from . import bpe, digest_index, langid, lm, quality, secret_scan, simhash, vectors_pq
 from .common import read, sha256_hex
 
 QUERIES: dict = {}
@@ -26,6 +26,26 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query()
+def op1_lm_score(spark, d):
+    return lm.score(read(spark, d, "documents"))
+
+
+@query("""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+ok AS (SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v WHERE label IS NOT NULL AND e IS NOT NULL
+  AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.93),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a),
+reach AS (SELECT vec_id, component_id FROM (WITH RECURSIVE r(vec_id, seen) AS (SELECT a, a FROM links UNION SELECT r.vec_id, l.b FROM r JOIN links l ON l.a = r.seen)
+  SELECT vec_id, min(seen) AS component_id FROM r GROUP BY vec_id))
+SELECT e.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, coalesce(reach.component_id, e.vec_id) AS component_id,
+  coalesce(reach.component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN reach USING (vec_id)""")
+def op4_vector_dedup(spark, d):
+    return vectors_pq.near_duplicates(read(spark, d, "embeddings"))
+
+
 @query()
 def op5_quality(spark, d):
     return quality.classify(read(spark, d, "documents"), read(spark, d, "labels"))
