@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, digest_index, langid, lm, quality, secret_scan, simhash, vectors_pq
+from . import bpe, digest_index, langid, lm, mixing, pii, quality, secret_scan, simhash, vectors_pq
 from .common import read, sha256_hex
 
 QUERIES: dict = {}
@@ -31,6 +31,20 @@ def op1_lm_score(spark, d):
     return lm.score(read(spark, d, "documents"))
 
 
+@query()
+def op2_pii_surrogates(spark, d):
+    return pii.replace(read(spark, d, "documents"), key="example key of the corpus")
+
+
+#: Shares of all expected tokens that each domain shall have.
+TARGETS = {"clean": 0.90, "poor": 0.08, "toxic": 0.02}
+
+
+@query()
+def op3_mixing(spark, d):
+    return mixing.mix(read(spark, d, "documents"), read(spark, d, "labels"), TARGETS)
+
+
 @query("""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
 ok AS (SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v WHERE label IS NOT NULL AND e IS NOT NULL
   AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
