@@ -13,7 +13,7 @@ from sondage.operators.distribute import shared_folder
 LEAST_SCORE = 0.4
 #: Expected tokens of each domain, as multiples of what the documents have. Clean text is asked for in full and a
 #: little more, so that what is almost surely clean stays; the rate of a document is at most one.
-TARGETS = {"clean": 1.03, "poor": 0.25, "toxic": 0.05}
+TARGETS = {"clean": 1.03, "poor": 0.3, "toxic": 0.1}
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
