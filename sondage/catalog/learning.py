@@ -449,7 +449,7 @@ def predict_all(spark, d):
     config = pooled_layout("doc_id", *COLUMNS, **RULES)
     predict.train_forest(rows, config, "label", f"{path}/model", trees=20, depth=8)
     survey.write_survey(rows.drop("label"), f"{path}/in")
-    return predict.predict_all(spark, f"{path}/in", f"{path}/model")
+    return predict.predict_all(spark, f"{path}/in", f"{path}/model", multiline=True)
 
 
 # --- saved state ---------------------------------------------------------------------------

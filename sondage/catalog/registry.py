@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.distribute import shared_folder
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,7 +25,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_table(spark, f"{folder}/{name}.parquet", heavy=name in ("documents", "conversations", "embeddings"))
+    scan = read_table(spark, f"{folder}/{name}.parquet")
+    # The given tables of long texts are single files, which one task would read alone.
+    return spread(scan) if name in ("documents", "conversations", "embeddings") else scan
 
 
 def scratch(spark: SparkSession) -> str:

@@ -28,7 +28,7 @@ def csv_round_trip(spark, d):
     path = scratch(spark)
     rows = _messy_parts(spark, d)
     survey.write_survey(rows, path)
-    back = survey.read_survey(spark, path, survey.string_schema(rows.columns))
+    back = survey.read_survey(spark, path, survey.string_schema(rows.columns), multiline=True)
     return records.select_positions(back, [0, 1, 2]).toDF("key", "answer", "kind")
 
 
@@ -126,12 +126,22 @@ def split_hash(spark, d):
     return splits.split_shuffled(table(spark, d, "orders").select("o_orderkey"), "o_orderkey")
 
 
-@query("WITH g AS (SELECT o_custkey, row_number() OVER (ORDER BY " + sql_hash("o_custkey", 666) + ") AS rn, "
-       "count(*) OVER () AS n FROM (SELECT DISTINCT o_custkey FROM orders)) "
-       "SELECT o_orderkey, o_custkey, CASE WHEN rn <= floor(n * 0.7e0) THEN 'train' "
-       "WHEN rn <= floor(n * 0.7e0) + floor(n * 0.15e0) THEN 'val' ELSE 'test' END AS split FROM orders JOIN g USING (o_custkey)")
+# Every seventh customer is taken as unknown: the rows without one are a group, too.
+_SQL_GROUPS = ("o AS (SELECT o_orderkey, CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END AS o_custkey FROM orders), "
+               "g AS (SELECT o_custkey AS k, row_number() OVER (ORDER BY "
+               + sql_hash("coalesce(CAST(o_custkey AS VARCHAR), chr(0) || 'null')", 666)
+               + ") AS rn, count(*) OVER () AS n FROM (SELECT DISTINCT o_custkey FROM o))")
+
+
+def _grouped_orders(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("o_custkey"))
+
+
+@query(f"WITH {_SQL_GROUPS} SELECT o_orderkey, o_custkey, CASE WHEN rn <= floor(n * 0.7e0) THEN 'train' "
+       "WHEN rn <= floor(n * 0.7e0) + floor(n * 0.15e0) THEN 'val' ELSE 'test' END AS split "
+       "FROM o JOIN g ON o.o_custkey IS NOT DISTINCT FROM g.k")
 def split_group(spark, d):
-    return splits.split_by_group(table(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey")
+    return splits.split_by_group(_grouped_orders(spark, d), "o_custkey")
 
 
 _SIZES = ("c AS (SELECT quality, count(*) AS n, CAST(count(*) AS DOUBLE) * (t - ceil(round(t * 0.2e0, 9))) / t AS e, "
@@ -171,10 +181,8 @@ def kfold_stratified(spark, d):
     return splits.kfold_stratified(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "quality")
 
 
-@query("WITH g AS (SELECT o_custkey, row_number() OVER (ORDER BY " + sql_hash("o_custkey", 666) + ") AS rn, "
-       "count(*) OVER () AS n FROM (SELECT DISTINCT o_custkey FROM orders)) "
-       "SELECT o_orderkey, o_custkey, CASE WHEN rn <= floor(n * 0.7e0) THEN 'train' ELSE 'val' END AS split "
-       "FROM orders JOIN g USING (o_custkey) WHERE rn <= floor(n * 0.7e0) + floor(n * 0.15e0)")
+@query(f"WITH {_SQL_GROUPS} SELECT o_orderkey, o_custkey, CASE WHEN rn <= floor(n * 0.7e0) THEN 'train' ELSE 'val' END AS split "
+       "FROM o JOIN g ON o.o_custkey IS NOT DISTINCT FROM g.k WHERE rn <= floor(n * 0.7e0) + floor(n * 0.15e0)")
 def union_train_val(spark, d):
     return splits.train_and_val(split_group(spark, d))
 

@@ -65,7 +65,7 @@ def score_bayes(features: DataFrame, rows: DataFrame, model: BayesModel) -> Data
 
     A row without features is decided by the prior."""
     unseen = F.array(*[F.lit(u) for u in model.unseen])
-    known = lookup_join(features.select("row_id", "idx", "value"), model.table, ["idx"], "row_id", "n", "left")
+    known = lookup_join(features.select("row_id", "idx", "value"), model.table, ["idx"], "row_id", "left")
     known = known.withColumn("lp", F.coalesce("lp", unseen))
     sums = known.groupBy("row_id").agg(*[
         F.sum(F.col("value") * F.get("lp", F.lit(i))).alias(f"_s{i}") for i in range(len(model.classes))])
@@ -106,7 +106,7 @@ def cross_predict(features: DataFrame, rows: DataFrame, label: str, fold: str, n
         F.log((rest[i, f] + F.lit(alpha)) / F.lit(mass[f"m{i}_{f}"] + alpha * width))
         for i in range(len(classes))]) for f in range(n_folds)])
     table = materialize(sums.select("idx", lps.alias("lps"), "n"))
-    known = lookup_join(features.select("row_id", fold, "idx", "value"), table, ["idx"], "row_id", "n")
+    known = lookup_join(features.select("row_id", fold, "idx", "value"), table, ["idx"], "row_id")
     lp = F.get(F.col("lps"), F.col(fold))
     scored = known.groupBy("row_id").agg(*[
         F.sum(F.col("value") * F.get(lp, F.lit(i))).alias(f"_s{i}") for i in range(len(classes))])

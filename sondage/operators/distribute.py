@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 2000
+HOT_KEYS = 500_000
 ROWS_PER_SALT = 2_000_000
-TOP_AT_ONCE = 100_000
+TOP_AT_ONCE = 5_000
 BUCKET_DIGITS = 4
 _ROW_BITS = 33
+NULL_KEY = "\x00null"
 
 
 def _checkpoint_folder(spark: SparkSession) -> str:
@@ -120,24 +121,21 @@ def first_ranked(df: DataFrame, order: Sequence[Column], k: int, name: str = "id
 
 
 def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], spread: str,
-                weight: str | None = None, how: str = "inner",
+                how: str = "inner",
                 limit_bytes: int = BROADCAST_BYTES, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Join large ``facts`` with a fitted ``table`` that has unique ``on`` keys.
 
     A table within ``limit_bytes`` is broadcast. A larger one is shuffled; keys
     with more than ``rows_per_salt`` fact rows are spread over several tasks by
-    a salt taken from column ``spread``. The rows per key are column ``weight``
-    of the table or, without it, counted. At most ``HOT_KEYS`` keys can hold
-    more than one part in ``HOT_KEYS`` of all rows, which bounds the broadcast
-    list of hot keys.
+    a salt taken from column ``spread``. The rows per key are counted in the facts
+    at hand: those that the table was fitted on may be others, and far fewer. At
+    most ``HOT_KEYS`` keys can hold more than one part in ``HOT_KEYS`` of all rows,
+    which bounds the broadcast list of hot keys at a few tens of megabytes.
     """
     on = list(on)
     if table_bytes(table) <= limit_bytes:
         return facts.join(F.broadcast(table), on, how)
-    if weight is not None:
-        sizes = table.select(*on, F.col(weight).alias("_rows"))
-    else:
-        sizes = materialize(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")))
+    sizes = materialize(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")))
     total = sizes.agg(F.sum("_rows").alias("n")).first()["n"] or 0
     hot = sizes.filter(F.col("_rows") > max(rows_per_salt, total // HOT_KEYS)).select(
         *on, F.ceil(F.col("_rows") / F.lit(float(rows_per_salt))).cast("int").alias("_salts"))
@@ -150,8 +148,46 @@ def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], spread: s
 
 
 def hash_order(key: str, seed: int | str) -> Column:
-    """Hex digest that orders rows like a seeded shuffle of their keys."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    """Hex digest that orders rows like a seeded shuffle of their keys; null is a key of its own."""
+    text = F.col(key).cast("string")
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(text, F.lit(NULL_KEY))))
+
+
+def order_cutoffs(df: DataFrame, key: str, ranks: Sequence[int], at_once: int = 100_000, width: int = 64) -> dict:
+    """Keys at given 1-based ranks of the order of ``key``, exactly; ranks past the end are left out.
+
+    The range that holds a rank is narrowed by counting its rows below ``width`` of its own keys, until it
+    has at most ``at_once`` rows, which are then ordered. Nothing else is sorted or shuffled: each pass is
+    one aggregation of a few counters."""
+    keys = df.select(F.col(key).alias("k")).filter("k IS NOT NULL")
+    n = keys.count()
+    found = {}
+    for rank in sorted({r for r in ranks if 1 <= r <= n}):
+        low, high, before, size = None, None, 0, n
+        while rank not in found:
+            part = keys
+            if low is not None:
+                part = part.filter(F.col("k") > F.lit(low))
+            if high is not None:
+                part = part.filter(F.col("k") <= F.lit(high))
+            if size <= at_once:
+                found[rank] = part.orderBy("k").limit(rank - before).agg(F.max("k").alias("k")).first()["k"]
+                break
+            picked = part.select("k", F.xxhash64("k").alias("h")).distinct().orderBy("h", "k").limit(width).collect()
+            marks = sorted({r["k"] for r in picked})
+            counts = part.agg(*[F.count(F.when(F.col("k") <= F.lit(m), True)).alias(f"c{i}") for i, m in enumerate(marks)]).first()
+            below = [before + c for c in counts]
+            at = next((i for i, c in enumerate(below) if c >= rank), len(marks))
+            if len(marks) == 1 and at == 0 and part.agg(F.min("k").alias("k")).first()["k"] == marks[0]:
+                found[rank] = marks[0]  # all that is left are copies of one key
+                break
+            end = below[at] if at < len(marks) else before + size
+            if at < len(marks):
+                high = marks[at]
+            if at > 0:
+                low, before = marks[at - 1], below[at - 1]
+            size = end - before
+    return found
 
 
 def hash_cutoffs(df: DataFrame, hashed: str, wanted: dict, by: str | None = None) -> dict:

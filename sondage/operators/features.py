@@ -49,7 +49,7 @@ def fit_scale(features: DataFrame, n_rows: int) -> DataFrame:
 
 def scale_features(features: DataFrame, scales: DataFrame) -> DataFrame:
     """Divide by the deviation, without centring (keeps the table sparse)."""
-    known = lookup_join(features, scales.select("idx", "scale", "n"), ["idx"], "row_id", "n", "left")
+    known = lookup_join(features, scales.select("idx", "scale", "n"), ["idx"], "row_id", "left")
     return known.withColumn("value", F.col("value") / F.coalesce("scale", F.lit(1.0))).drop("scale", "n")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from ..functions.fixed import CV_DEPTHS, CV_MIN_LEAF, CV_TREES, FOREST_DEPTHS, FOREST_SIZES, RIDGE_STRENGTHS
 from . import metrics
 
+MOST_DEPTH = 30
 COLUMNS = {"featuresCol": "features", "labelCol": "label_idx"}
 
 
@@ -31,8 +32,11 @@ def gaussian_bayes() -> NaiveBayes:
 
 
 def forest(trees: int = 150, depth: int = 10, min_leaf: int = 2, seed: int = 42) -> RandomForestClassifier:
-    """Spark has no minimum size for splitting a node, only one for the parts."""
-    return RandomForestClassifier(numTrees=trees, maxDepth=min(depth, 30), minInstancesPerNode=min_leaf,
+    """Spark has no minimum size for splitting a node, only one for the parts, and grows trees to depth
+    30 at most; a larger depth is an error rather than a silently smaller forest."""
+    if depth > MOST_DEPTH:
+        raise ValueError(f"depth {depth} is over {MOST_DEPTH}, the most that Spark's trees can have")
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
                                   seed=seed, **COLUMNS)
 
 

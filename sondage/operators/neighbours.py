@@ -4,10 +4,13 @@
 (distance, then id). Two ways, both exact and without a cross join:
 
 * reference rows within ``limit_bytes`` are broadcast as one matrix;
-* otherwise references are packed to blocks around pivots. The triangle
-  inequality rules out blocks that cannot hold a neighbour of a query, each
-  remaining (queries, block) pair is one matrix product, and only ``k``
-  candidates per query leave it.
+* otherwise references are packed to groups about as large as a task can hold,
+  by their nearest pivot and the distance to it. A query is first compared with
+  its home group; the distance of its k-th neighbour there and the triangle
+  inequality rule out groups, and each remaining (queries, group) cell is one
+  matrix product that only ``k`` candidates per query leave. Where vectors do
+  not cluster, nothing can be ruled out and a query goes to every group: exact
+  search visits all pairs, but a query is copied once per group, not per block.
 
 Votes read the neighbour array of their own row, so every ``k`` of a sweep
 comes from one search without another shuffle.
@@ -27,7 +30,8 @@ from ..functions.text import let
 from .distribute import BROADCAST_BYTES, materialize
 
 PIVOTS = 64
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1 << 16
+RINGS = 64
 MAX_BLOCKS = 1 << 17
 _PAIRS_AT_ONCE = 1 << 16
 _CELLS_AT_ONCE = 1 << 24
@@ -122,82 +126,122 @@ def _assign(df: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
     return df.mapInPandas(assign, schema)
 
 
-def _pack(df: DataFrame, n_rows: int, members: Sequence[str], block_rows: int) -> DataFrame:
-    """Blocks of about ``block_rows`` rows of one cell; a full cell is split by hash."""
-    per_block = max(block_rows, -(-n_rows // MAX_BLOCKS))
-    sizes = df.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))  # one row per pivot
-    key = members[0]
-    salted = df.join(F.broadcast(sizes), "cell").withColumn(
-        "salt", F.pmod(F.xxhash64(key), F.ceil(F.col("size") / F.lit(per_block))).cast("int"))
-    rows = F.collect_list(F.struct("vec", *members)).alias("m")
-    packed = salted.groupBy("cell", "salt").agg(
-        rows, F.min("gap").alias("inner"), F.max("gap").alias("outer"), F.count(F.lit(1)).alias("n"))
+def _groups(refs: DataFrame, n_rows: int, group_rows: int) -> DataFrame:
+    """References in groups of about ``group_rows`` rows, one row each. A cell is cut into rings by the
+    distance to its pivot, so that few groups lie in a query's reach; rows that share a ring's distance by
+    chance of rounding are cut by hash."""
+    per_group = max(group_rows, -(-n_rows // MAX_BLOCKS))
+    cuts = F.percentile_approx("gap", [i / RINGS for i in range(1, RINGS)], 10_000)
+    cells = refs.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), cuts.alias("cuts"))  # one row per pivot
+    wanted = F.least(F.ceil(F.col("size") / F.lit(per_group)), F.lit(RINGS))
+    ringed = refs.join(F.broadcast(cells), "cell").withColumn("ring", F.floor(
+        F.size(F.filter("cuts", lambda c: c < F.col("gap"))) * wanted / F.lit(RINGS)).cast("int")).drop("size", "cuts")
+    ringed = materialize(ringed)
+    sizes = ringed.groupBy("cell", "ring").agg(F.count(F.lit(1)).alias("size"))  # at most RINGS rows per pivot
+    salted = ringed.join(F.broadcast(sizes), ["cell", "ring"]).withColumn(
+        "salt", F.pmod(F.xxhash64("ref_id"), F.ceil(F.col("size") / F.lit(2 * per_group))).cast("int"))
+    packed = salted.groupBy("cell", "ring", "salt").agg(
+        F.collect_list(F.struct("vec", "ref_id", "label")).alias("m"), F.min("gap").alias("inner"),
+        F.max("gap").alias("outer"), F.count(F.lit(1)).alias("n"))
     return packed.select(
-        F.concat_ws("-", "cell", "salt").alias("block"), "cell", "inner", "outer", "n",
-        F.flatten("m.vec").alias("vecs"), *[F.col(f"m.{c}").alias(c) for c in members])
+        F.concat_ws("-", "cell", "ring", "salt").alias("block"), "cell", "inner", "outer", "n",
+        F.flatten("m.vec").alias("vecs"), F.col("m.ref_id").alias("ref_id"), F.col("m.label").alias("label"))
 
 
-def _search_blocks(queries: DataFrame, refs: DataFrame, k: int, dim: int, n_refs: int,
-                   n_queries: int, n_pivots: int, block_rows: int) -> DataFrame:
+class _Reach:
+    """Which groups a query must see, from the pivots and the ranges of the groups."""
+
+    def __init__(self, pivots: np.ndarray, stats: pd.DataFrame, k: int):
+        self.pivots, self.k = pivots, k
+        self.names, self.cell = stats["block"].to_numpy(), stats["cell"].to_numpy()
+        self.inner, self.outer, self.size = (stats[c].to_numpy() for c in ("inner", "outer", "n"))
+        self.at_once = max(1, _CELLS_AT_ONCE // max(len(self.names), 1))
+
+    def _gaps(self, q: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(_distances(q, self.pivots), 0.0))[:, self.cell]
+
+    def home(self, q: np.ndarray) -> np.ndarray:
+        """The group closest by its range of distances, if possible one with k rows."""
+        gap = self._gaps(q)
+        least = np.maximum(np.maximum(gap - self.outer, self.inner - gap), 0.0)
+        return np.lexsort((gap, least, np.broadcast_to(self.size < self.k, gap.shape)), axis=-1)[:, 0]
+
+    def rest(self, q: np.ndarray, home: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """Query x group: may the group, other than the home, hold one nearer than ``radius``?"""
+        gap = self._gaps(q)
+        least = np.maximum(gap - self.outer, self.inner - gap)
+        possible = least <= (radius + 4.0 * np.sqrt(_slack(q, self.pivots)))[:, None]
+        possible[np.arange(len(q)), home] = False
+        return possible
+
+
+def _cells(hits: np.ndarray, names: np.ndarray, ids: np.ndarray, q: np.ndarray):
+    """One row per group with the queries it is compared with."""
+    for g in np.flatnonzero(hits.any(axis=0)):
+        hit = hits[:, g]
+        yield pd.DataFrame({"block": [names[g]], "query_id": [ids[hit]], "qvecs": [q[hit].ravel()]})
+
+
+def _search_groups(queries: DataFrame, refs: DataFrame, k: int, dim: int, n_refs: int, n_pivots: int,
+                   group_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The neighbours, and the further (queries, group) cells that were compared."""
     context = queries.sparkSession.sparkContext
     chosen = (refs.orderBy(F.xxhash64("ref_id"), "ref_id").limit(n_pivots).select("vec").collect())
     pivots = _matrix([p["vec"] for p in chosen], dim)
-    blocks = materialize(_pack(_assign(refs, pivots, dim), n_refs, ["ref_id", "label"], block_rows))
-    chunks = _pack(_assign(queries, pivots, dim), n_queries, ["query_id"], block_rows)
-    # At most MAX_BLOCKS + n_pivots rows of five numbers.
-    stats = blocks.select("block", "cell", "inner", "outer", "n").toPandas()
+    groups = materialize(_groups(_assign(refs, pivots, dim), n_refs, group_rows))
+    # At most MAX_BLOCKS + n_pivots x RINGS rows of five numbers.
+    stats = groups.select("block", "cell", "inner", "outer", "n").orderBy("block").toPandas()
     shared = context.broadcast((pivots, stats))
     qt, rt, lt = _schemas(queries, refs)
+    tables = groups.select("block", "vecs", "ref_id", "label")
 
-    def candidates(batches):
-        pivots, stats = shared.value
-        cell = stats["cell"].to_numpy()
-        inner, outer, size = (stats[c].to_numpy() for c in ("inner", "outer", "n"))
-        names = stats["block"].to_numpy()
-
-        def reachable(q: np.ndarray) -> np.ndarray:
-            """Query x block: may the block hold one of the k nearest?"""
-            gap = np.sqrt(np.maximum(_distances(q, pivots), 0.0))[:, cell]
-            far = gap + outer
-            order = np.argsort(far, axis=1)
-            held = np.cumsum(size[order], axis=1)
-            last = np.minimum((held < k).sum(axis=1), far.shape[1] - 1)
-            # All of the blocks up to this radius surely hold k references.
-            radius = np.take_along_axis(far, order, 1)[np.arange(len(q)), last]
-            least = np.maximum(gap - outer, inner - gap)
-            return least <= (radius + 4.0 * np.sqrt(_slack(q, pivots)))[:, None]
-
-        at_once = max(1, _CELLS_AT_ONCE // len(names))
+    def at_home(batches):
+        reach = _Reach(*shared.value, k)
         for batch in batches:
-            for ids, vecs in zip(batch["query_id"], batch["vecs"]):
-                ids = np.asarray(ids)
-                rows = np.asarray(vecs, dtype=np.float64).reshape(-1, dim)
-                for at in range(0, len(rows), at_once):
-                    q, q_ids = rows[at:at + at_once], ids[at:at + at_once]
-                    possible = reachable(q)
-                    for b in np.flatnonzero(possible.any(axis=0)):
-                        hit = possible[:, b]
-                        yield pd.DataFrame({"block": [names[b]], "query_id": [q_ids[hit]],
-                                            "qvecs": [q[hit].ravel()]})
+            for at in range(0, len(batch), reach.at_once):
+                part = batch.iloc[at:at + reach.at_once]
+                rows = _matrix(part["vec"], dim)
+                home = reach.home(rows)
+                for g in np.unique(home):
+                    hit = home == g
+                    yield pd.DataFrame({"block": [reach.names[g]], "query_id": [part["query_id"].to_numpy()[hit]],
+                                        "qvecs": [rows[hit].ravel()]})
 
     def search(batches):
         for batch in batches:
             for row in batch.itertuples(index=False):
-                yield from _answers(
-                    np.asarray(row.query_id), np.asarray(row.qvecs, dtype=np.float64).reshape(-1, dim),
-                    np.asarray(row.vecs, dtype=np.float64).reshape(-1, dim),
-                    np.asarray(row.ref_id), np.asarray(row.label), k)
-
-    pairs = chunks.select("query_id", "vecs").mapInPandas(
-        candidates, f"block string, query_id array<{qt}>, qvecs array<double>")
-    joined = pairs.join(blocks.select("block", "vecs", "ref_id", "label"), "block")
-    found = joined.drop("block").mapInPandas(
-        search, f"query_id {qt}, ref_id array<{rt}>, dist array<double>, label array<{lt}>")
+                q = np.asarray(row.qvecs, dtype=np.float64).reshape(-1, dim)
+                for found in _answers(np.asarray(row.query_id), q, np.asarray(row.vecs, dtype=np.float64).reshape(-1, dim),
+                                      np.asarray(row.ref_id), np.asarray(row.label), k):
+                    yield found.assign(block=row.block)
+
+    def compare(cells: DataFrame) -> DataFrame:
+        return cells.join(tables, "block").mapInPandas(
+            search, f"query_id {qt}, ref_id array<{rt}>, dist array<double>, label array<{lt}>, block string")
+    pair_type = f"block string, query_id array<{qt}>, qvecs array<double>"
+    first = materialize(compare(queries.select("query_id", "vec").mapInPandas(at_home, pair_type)))
+    # The true k-th distance at home bounds the search elsewhere; a home of fewer rows bounds nothing.
+    radius = first.select("query_id", "block", F.when(F.size("dist") >= k, F.get("dist", F.lit(k - 1)))
+                          .otherwise(F.lit(float("inf"))).alias("radius"))
+    waiting = queries.select("query_id", "vec").join(radius, "query_id")
+
+    def elsewhere(batches):
+        reach = _Reach(*shared.value, k)
+        place = {name: i for i, name in enumerate(reach.names)}
+        for batch in batches:
+            for at in range(0, len(batch), reach.at_once):
+                part = batch.iloc[at:at + reach.at_once]
+                rows = _matrix(part["vec"], dim)
+                hits = reach.rest(rows, part["block"].map(place).to_numpy(), part["radius"].to_numpy())
+                yield from _cells(hits, reach.names, part["query_id"].to_numpy(), rows)
+    further = materialize(waiting.mapInPandas(elsewhere, pair_type))
+    found = first.drop("block").unionByName(compare(further).drop("block"))
     single = found.select("query_id", F.explode(F.arrays_zip("ref_id", "dist", "label")).alias("x"))
     best = Window.partitionBy("query_id").orderBy("x.dist", "x.ref_id")
-    return (single.withColumn("rk", F.row_number().over(best)).filter(F.col("rk") <= k)
-            .groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rk", "x"))).alias("s"))
-            .select("query_id", F.col("s.x").alias("neighbours")))
+    nearest_of = (single.withColumn("rk", F.row_number().over(best)).filter(F.col("rk") <= k)
+                  .groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rk", "x"))).alias("s"))
+                  .select("query_id", F.col("s.x").alias("neighbours")))
+    return nearest_of, further.select("block", F.size("query_id").alias("queries"))
 
 
 def _without_spare_copies(refs: DataFrame, k: int) -> DataFrame:
@@ -211,11 +255,11 @@ def _without_spare_copies(refs: DataFrame, k: int) -> DataFrame:
 def nearest(queries: DataFrame, refs: DataFrame, k: int, *, query_id: str, ref_id: str, vec: str,
             label: str, limit_bytes: int = BROADCAST_BYTES, n_pivots: int = PIVOTS,
             block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """``query_id, neighbours array<struct<ref_id, dist, label>>``, Euclidean, exact."""
+    """``query_id, neighbours array<struct<ref_id, dist, label>>``, Euclidean, exact; ``query_id`` is unique."""
     q = queries.select(F.col(query_id).alias("query_id"), F.col(vec).cast("array<double>").alias("vec"))
     r = refs.select(F.col(ref_id).alias("ref_id"), F.col(vec).cast("array<double>").alias("vec"),
                     F.col(label).alias("label"))
-    r = materialize(_without_spare_copies(r, k))
+    r = materialize(r)
     size = r.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim"),
                  F.min(F.size("vec")).alias("low")).first()
     if not size["n"]:
@@ -224,7 +268,8 @@ def nearest(queries: DataFrame, refs: DataFrame, k: int, *, query_id: str, ref_i
         raise ValueError("vectors differ in length")
     if size["n"] * (size["dim"] + 4) * 8 <= limit_bytes:
         return _search_broadcast(q, r, k, size["dim"])
-    return _search_blocks(q, r, k, size["dim"], size["n"], q.count(), n_pivots, block_rows)
+    r = materialize(_without_spare_copies(r, k))
+    return _search_groups(q, r, k, size["dim"], size["n"], n_pivots, block_rows)[0]
 
 
 def vote(neighbours: str | Column, k: int, weights: str = "uniform") -> Column:

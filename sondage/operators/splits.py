@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import POSITION_CUTS
-from .distribute import dense_index, hash_cutoffs, hash_order, materialize
+from .distribute import hash_cutoffs, hash_order, materialize, order_cutoffs
 
 SPLITS = ("train", "val", "test")
 
@@ -41,19 +41,12 @@ def split_by_position(df: DataFrame, key: str, cuts: Sequence[int] = POSITION_CU
                       names: Sequence[str] = SPLITS, ratios: Sequence[float] | None = None,
                       out: str = "split") -> DataFrame:
     """Cut the rows, in the order of the unique ``key``, at absolute positions."""
-    keys = dense_index(df.select(key), [key], name="_rank")
     if ratios is not None:
-        cuts = ratio_cuts(keys.count(), ratios)
-    wanted = [c - 1 for c in cuts]
-    # One row per cut.
-    at = {r["_rank"]: r[key] for r in keys.filter(F.col("_rank").isin(wanted)).collect()}
-    n = None
-    values = []
-    for w in wanted:
-        if w >= 0 and w not in at:  # cut past the end: this part takes all the rest
-            n = n or keys.agg(F.max(key).alias("m")).first()["m"]
-            at[w] = n
-        values.append(at.get(w))
+        cuts = ratio_cuts(df.count(), ratios)
+    at = order_cutoffs(df, key, cuts)
+    past = [c for c in cuts if c >= 1 and c not in at]
+    last = df.agg(F.max(key).alias("m")).first()["m"] if past else None  # a part that takes all the rest
+    values = [at.get(c, last) if c >= 1 else None for c in cuts]
     return df.withColumn(out, _by_cut(key, values, names))
 
 
@@ -72,7 +65,7 @@ def split_shuffled(df: DataFrame, key: str, cuts: Sequence[int] = POSITION_CUTS,
 
 def split_by_group(df: DataFrame, group: str, ratios: Sequence[float] = (0.7, 0.15),
                    names: Sequence[str] = SPLITS, seed: int = 666, out: str = "split") -> DataFrame:
-    """Split whole groups; no group is spread over two parts."""
+    """Split whole groups; no group is spread over two parts. The rows without a group are one group."""
     groups = materialize(df.select(group).distinct().withColumn("_h", hash_order(group, seed)))
     cuts = ratio_cuts(groups.count(), ratios)
     found = hash_cutoffs(groups, "_h", {None: cuts})

@@ -106,9 +106,7 @@ def bag_of_words(terms: DataFrame, vocabulary: DataFrame, width: int,
                  keep: Sequence[str] = ()) -> DataFrame:
     """Counts over a pooled vocabulary; each text column has its own block of
     ``width`` places. Unknown terms drop out."""
-    weight = "doc_freq" if "doc_freq" in vocabulary.columns else "n"
-    known = lookup_join(terms, vocabulary.select("term", "idx", F.col(weight).alias("_weight")),
-                        ["term"], "row_id", "_weight")
+    known = lookup_join(terms, vocabulary.select("term", "idx"), ["term"], "row_id")
     return known.select("row_id", *keep, "col", "term",
                         (F.col("ordinal") * F.lit(width) + F.col("idx")).cast("long").alias("idx"),
                         F.col("tf").cast("double").alias("value"))
@@ -123,9 +121,8 @@ def term_weights(terms: DataFrame, vocabulary: DataFrame, *, by: str | None = No
     divides by the length of the row's vector.
     """
     on = ([by] if by else []) + ["term"]
-    extra = [c for c in ("idf", "doc_freq") if c in vocabulary.columns]
-    known = lookup_join(terms, vocabulary.select(*on, "idx", *extra), on, "row_id",
-                        "doc_freq" if "doc_freq" in extra else None)
+    extra = [c for c in ("idf",) if c in vocabulary.columns]
+    known = lookup_join(terms, vocabulary.select(*on, "idx", *extra), on, "row_id")
     count = F.col("tf").cast("double")
     scaled = {"raw": count, "log1p": F.log1p(count), "sublinear": F.lit(1.0) + F.log(count)}[tf]
     weighted = known.withColumn("value", scaled * F.col("idf") if "idf" in extra else scaled)

@@ -38,7 +38,7 @@ def predict_rows(rows: DataFrame, layout: FeatureModel, nodes: DataFrame, classe
     return forests.score_forest(layout.dense(rows), nodes, classes, "x").select("row_id", "prediction")
 
 
-def predict_all(spark: SparkSession, path: str, model_dir: str, multiline: bool = True) -> DataFrame:
+def predict_all(spark: SparkSession, path: str, model_dir: str, multiline: bool = False) -> DataFrame:
     """Predictions for a survey file with the tables saved by ``train_forest``.
 
     A file without the key column of the layout gets generated row ids.

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+JSON_WORDS = 1_000_000
+
+
 def save_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
@@ -34,8 +37,10 @@ def vocabulary_of_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def vocabulary_to_json(vocabulary: DataFrame, path: str) -> None:
-    """The JSON form of a top-k vocabulary, one object in one file. For a vocabulary
-    without a size limit use ``save_table``."""
+    """The JSON form of a top-k vocabulary, one object in one file of at most ``JSON_WORDS`` words.
+    For a vocabulary without a size limit use ``save_table``."""
+    if vocabulary.limit(JSON_WORDS + 1).count() > JSON_WORDS:
+        raise ValueError(f"more than {JSON_WORDS} words; save_table keeps vocabularies of any size")
     entries = F.array_sort(F.collect_list(F.struct("idx", "term")))
     words = vocabulary.agg(entries.alias("e")).select(
         F.map_from_arrays("e.term", "e.idx").alias("m"))

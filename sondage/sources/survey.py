@@ -24,11 +24,11 @@ def missing_as_null(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def read_survey(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                multiline: bool = True) -> DataFrame:
+                multiline: bool = False) -> DataFrame:
     """CSV with header and quoted cells, every column text, missing cells null.
 
-    Quoted line breaks need ``multiline``, which reads each file in one task;
-    write many files, or switch it off for data without line breaks.
+    Files are split over tasks. Cells with line breaks need ``multiline``, which
+    reads each file in one task; write many files then.
     """
     reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
               .option("multiLine", multiline).option("mode", "FAILFAST"))

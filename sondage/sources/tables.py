@@ -17,7 +17,5 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() <= cores else scan
 
 
-def read_table(spark: SparkSession, path: str, heavy: bool = False) -> DataFrame:
-    """Parquet table; ``heavy`` for rows that take much work each (long texts)."""
-    scan = spark.read.parquet(path)
-    return spread(scan) if heavy else scan
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

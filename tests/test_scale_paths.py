@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sondage.operators import bayes, features as feats, neighbours, splits, terms as tt
+from sondage.operators import bayes, features as feats, models, neighbours, splits, terms as tt
 from sondage.operators import distribute
 from sondage.operators.distribute import dense_index, hash_cutoffs, hash_order, lookup_join, materialize
 
@@ -26,18 +26,18 @@ def test_dense_index_within_a_hot_group(spark):
     assert {(r["g"], r["t"]): r["idx"] for r in got.collect()} == want
 
 
-@pytest.mark.parametrize("how,weight", [("inner", "n"), ("left", "n"), ("left", None)])
-def test_lookup_join_salts_hot_keys(spark, how, weight):
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_join_salts_hot_keys(spark, how):
     """A third of all rows share one key; the join is shuffled and salted."""
     facts = spark.range(3000).select(
         F.col("id").alias("row_id"),
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("term"))
     table = facts.filter("term <> 'k7'").groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.first("term").alias("v"))
     table = materialize(table)
-    joined = lookup_join(facts, table, ["term"], "row_id", weight, how, limit_bytes=0, rows_per_salt=100)
+    joined = lookup_join(facts, table, ["term"], "row_id", how, limit_bytes=0, rows_per_salt=100)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan
-    want = lookup_join(facts, table, ["term"], "row_id", weight, how)
+    want = lookup_join(facts, table, ["term"], "row_id", how)
     assert sorted(map(str, joined.select("row_id", "term", "n", "v").collect())) == \
         sorted(map(str, want.select("row_id", "term", "n", "v").collect()))
 
@@ -52,7 +52,7 @@ def test_weights_do_not_depend_on_the_join(spark, monkeypatch):
         got = tt.term_weights(terms, vocabulary, tf="log1p", norm="l2").collect()
         return {(r["row_id"], r["term"]): round(r["value"], 12) for r in got}
     small = weights()
-    monkeypatch.setattr(distribute.lookup_join, "__defaults__", (None, "inner", 0, 10))
+    monkeypatch.setattr(distribute.lookup_join, "__defaults__", ("inner", 0, 10))
     assert weights() == small
     norms = {}
     for (row, _), v in small.items():
@@ -215,3 +215,49 @@ def test_nothing_is_lost_without_broadcast(spark):
             assert [got[None, f"t{i:03d}"] for i in range(0, 200, 4)] == list(range(50))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_keys_are_found_in_the_facts(spark):
+    """The table was fitted on one row in a hundred; half of the facts share a key."""
+    facts = spark.range(20_000).select(
+        F.col("id").alias("row_id"), F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 97)).alias("term"))
+    table = materialize(facts.filter("row_id % 100 < 2").groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+    joined = lookup_join(facts, table, ["term"], "row_id", "left", limit_bytes=0, rows_per_salt=1000)
+    assert joined.count() == 20_000
+    salted = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salts" in salted
+    hot = facts.groupBy("term").count().filter("count > 1000").collect()
+    assert [r["term"] for r in hot] == ["hot"] and table.filter("term = 'hot'").first()["n"] <= 1000
+
+
+def test_order_cutoffs(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"))
+    assert distribute.order_cutoffs(rows, "k", [0, 1, 17, 2500, 5000, 5001], at_once=50, width=8) == {1: 0, 17: 16, 2500: 2499, 5000: 4999}
+    texts = rows.select(F.format_string("%05d", "k").alias("k"))
+    assert distribute.order_cutoffs(texts, "k", [3000], at_once=10, width=5) == {3000: "02999"}
+    same = spark.range(300).select(F.lit(4).alias("k"))
+    assert distribute.order_cutoffs(same, "k", [200], at_once=10) == {200: 4}
+
+
+def test_a_null_group_is_a_group(spark):
+    rows = spark.createDataFrame([(i, f"g{i % 10}" if i % 10 else None) for i in range(100)], "id long, g string")
+    got = splits.split_by_group(rows, "g").select("g", "split").distinct().collect()
+    parts = [r["split"] for r in got]
+    assert len(got) == 10 and [parts.count(p) for p in ("train", "val", "test")] == [7, 1, 2]
+
+
+def test_a_tree_deeper_than_possible_is_an_error():
+    with pytest.raises(ValueError, match="40"):
+        models.forest(5, 40)
+
+
+def test_cells_of_the_neighbour_search(spark):
+    """Clustered vectors see few groups; for others a query is copied once per group."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 8)) * 30
+    for rows, most in ((centres[rng.integers(0, 20, 2000)] + rng.normal(size=(2000, 8)), 0.3), (rng.normal(size=(2000, 8)), 1.0)):
+        df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(rows)], "query_id long, vec array<double>, label int")
+        refs = df.withColumnRenamed("query_id", "ref_id")
+        _, cells = neighbours._search_groups(df, refs, 3, 8, 2000, 20, 100)
+        groups = 2000 / 50 + 20  # rings of at most about twice the wanted number
+        assert cells.agg(F.sum("queries")).first()[0] <= most * 2000 * groups

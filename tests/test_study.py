@@ -225,7 +225,7 @@ def test_csv(spark, tmp_path):
     (tmp_path / "s.csv").write_text(
         'student_id,"What, really? (a.b)",rating,label\n'
         's1,"line one\nline ""two"", x",3 - a,Claude\ns2,NA,nan,\ns3,"  ",None,Gemini\n', encoding="utf-8")
-    df = survey.read_survey(spark, str(tmp_path / "s.csv"))
+    df = survey.read_survey(spark, str(tmp_path / "s.csv"), multiline=True)
     rows = [tuple(r) for r in df.orderBy("student_id").collect()]
     assert rows == [("s1", 'line one\nline "two", x', "3 - a", "Claude"), ("s2", None, None, None),
                     ("s3", "  ", None, "Gemini")]
@@ -340,14 +340,14 @@ def test_predict_all(spark, survey_rows, tmp_path):
     assert classes == list(CLASSES)
     survey.write_survey(survey_rows.drop("label"), str(tmp_path / "in"))
     got = {int(r["row_id"]): r["prediction"] for r in
-           predict.predict_all(spark, str(tmp_path / "in"), str(tmp_path / "m")).collect()}
+           predict.predict_all(spark, str(tmp_path / "in"), str(tmp_path / "m"), multiline=True).collect()}
     assert len(got) == 90
     known = survey_rows.filter(F.col("label").isin(*CLASSES)).select("row_id", "label").collect()
     assert sum(got[r["row_id"]] == r["label"] for r in known) / len(known) > 0.7
     same = model.transform(layout.vectors(survey_rows)).select("row_id", "prediction").collect()
     assert all(got[r["row_id"]] == CLASSES[int(r["prediction"])] for r in same)
     survey.write_survey(survey_rows.drop("row_id", "label"), str(tmp_path / "nokey"))
-    assert predict.predict_all(spark, str(tmp_path / "nokey"), str(tmp_path / "m")).count() == 90
+    assert predict.predict_all(spark, str(tmp_path / "nokey"), str(tmp_path / "m"), multiline=True).count() == 90
 
 
 def test_vocabulary_size_sweep(spark, survey_rows):
