@@ -23,7 +23,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batch_texts, field_type, id_and_text, map_batches, worker_cache
+from ..operators.distribute import materialize
+from .common import batch_texts, field_type, id_and_text, map_batches, most_frequent, worker_cache
 
 LEXICON_WORDS = 60_000
 LEXICON_BYTES = 40
@@ -387,7 +388,7 @@ class Encoder:
 
 
 def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS, id_col: str = "doc_id", text_col: str = "text") -> list[bytes]:
-    """The most frequent pretokens over all whole texts (ties by bytes), at most ``most`` of them."""
+    """The most frequent pretokens over all whole texts, at most ``most`` of them (of equally frequent ones all or none)."""
     rows = id_and_text(docs, id_col, text_col).select("text")
 
     def count(batches):
@@ -405,8 +406,8 @@ def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS, id_col: str = "do
                     yield flush()
         yield flush()
     counted = rows.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.filter("n > 1").orderBy(F.desc("n"), "word").limit(most).select("word").collect()
-    return [r["word"].encode() for r in top]
+    top = most_frequent(materialize(counted.filter("n > 1")), most).select("word").collect()
+    return sorted(r["word"].encode() for r in top)
 
 
 def publish(spark: SparkSession, data: bytes, name: str) -> str:

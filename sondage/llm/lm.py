@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.distribute import materialize
-from .common import ascii_words, batch_texts, field_type, held_out, id_and_text, share
+from .common import ascii_words, batch_texts, field_type, held_out, id_and_text, most_frequent, share
 
 CLASSES = 1024            # words with an own class, the end and the rest included
 KNOWN_WORDS = 40_000      # words whose counts every task holds; the others are looked up by a join
@@ -195,8 +195,9 @@ def fit(encoded: DataFrame, counts: np.ndarray, dimensions: int = DIMENSIONS, ro
 
 
 def _lexicon(counts: DataFrame, known: int) -> list[tuple[bytes, int]]:
-    top = counts.filter(F.octet_length("word") > 0).orderBy(F.desc("n"), "word").limit(known).collect()
-    return [(bytes(r["word"]), r["n"]) for r in top]
+    """The most frequent words with their counts, in order."""
+    top = most_frequent(counts.filter(F.octet_length("word") > 0), known).collect()
+    return sorted(((bytes(r["word"]), r["n"]) for r in top), key=lambda x: (-x[1], x[0]))
 
 
 def score(docs: DataFrame, folds: int = 5, fold: int = 1, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES,
