@@ -230,8 +230,8 @@ class Tagger:
 
     def __init__(self, model: Model):
         self.model = model
-        self.step = np.exp(model.transition - model.transition.max()).astype(np.float32)
-        self.start = np.exp(model.start - model.start.max()).astype(np.float32)
+        self.step = np.exp(model.transition - model.transition.max(initial=0)).astype(np.float32)
+        self.start = np.exp(model.start - model.start.max(initial=0)).astype(np.float32)
         self._clear()
 
     def _clear(self) -> None:
@@ -239,6 +239,8 @@ class Tagger:
         self.psi = np.zeros((0, len(self.model.labels)), np.float32)
 
     def _group(self, spelled: list[list[str]]) -> tuple[list[str], list[float]]:
+        if not self.model.labels:  # nothing could be learned
+            return [UNDECIDED] * len(spelled), [0.0] * len(spelled)
         if len(self.number) > _CACHED:
             self._clear()
         new = list(set().union(*spelled) - self.number.keys())
@@ -249,7 +251,7 @@ class Tagger:
         ids = np.fromiter((i for w in spelled for i in map(self.number.__getitem__, w)), np.int64, int(sizes.sum()))
         some = np.flatnonzero(sizes)
         names, scores = [UNDECIDED] * len(spelled), [0.0] * len(spelled)
-        if len(some) and len(self.model.labels):
+        if len(some):
             mean = posterior_sums(ids, sizes[some], self.psi, self.step, self.start) / sizes[some][:, None]
             for d, best, share in zip(some.tolist(), mean.argmax(axis=1).tolist(), mean.max(axis=1).tolist()):
                 names[d], scores[d] = self.model.labels[best], min(max(share, 0.0), 1.0)

@@ -98,7 +98,7 @@ def name_literal_pairs(text: str) -> list[tuple[str, list[tuple[str, int, int]]]
     """``(name, operands)`` of every assignment-like construct, in text order."""
     pairs, at = [], 0
     while (m := _TARGET.search(text, at)) is not None:
-        name = m["flag"] or m["tag"] or (m["item"] or m["quoted"] or "").strip("\"'[] ") or m["name"]
+        name = m["flag"] or m["tag"] or (m["item"] or m["quoted"] or "").strip("\"'[] ") or m["name"] or ""
         operands, end = _operands(text, m.end())
         pairs.append((name, operands))
         at = max(end if operands and operands[-1][0] == "lit" else m.end(), m.start() + 1)

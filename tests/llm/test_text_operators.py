@@ -158,7 +158,7 @@ def test_nearest_votes_are_exact():
 def slow_base(text):
     found = []
     for m in re.finditer(r"""(?:(?i:password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", text):
-        if len(m[1]) >= 6 and not set(m[0].split("=")[0].split(":")[0]) & set("ſK"):
+        if len(m[1]) >= 6 and not set(m[0].split("=")[0].split(":")[0]) & set("\u017f\u212a"):
             found.append((m.start(), 0, f"assign:{m.start()}:{m.end()}"))
     found += [(m.start(), 1, f"access:{m.start()}:{m.end()}") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     found += [(m.start(), 2, f"hex:{m.start()}:{m.end()}") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
