@@ -100,8 +100,9 @@ def links(fps: DataFrame, distance: int = DISTANCE, paired: int = PAIRED_AT_ONCE
     many = meeting.filter(F.col("members") > paired)
     upper = many.filter("family = 0").select(
         "fp", "used", "key", F.explode(F.when(F.col("used") == 0, _masks(_flips(32, 2))).otherwise(_masks(_flips(32, 1)))).alias("m"))
-    upper = upper.select("fp", F.shiftleft("key", 32).bitwiseXOR(F.col("m.mask")).alias("z"), (F.col("used") + F.col("m.n")).alias("used"))
-    lower = many.filter("family = 1").select("fp", F.explode(_masks([m for m in _flips(32, 2)])).alias("m")).select(
+    low = F.col("fp").bitwiseAND(F.lit(LOW).cast("bigint")).bitwiseXOR(F.col("m.mask"))
+    upper = upper.select("fp", F.shiftleft("key", 32).bitwiseOR(low).alias("z"), (F.col("used") + F.col("m.n")).alias("used"))
+    lower = many.filter("family = 1").select("fp", F.explode(_masks(_flips(32, 2))).alias("m")).select(
         "fp", F.col("fp").bitwiseXOR(F.shiftleft(F.col("m.mask"), 32)).alias("z"), F.col("m.n").alias("used"))
     variants = upper.union(lower)
     centres = materialize(variants.groupBy("z").agg(

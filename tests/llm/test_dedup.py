@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 from conftest import TEXTS
+from pyspark.sql import functions as F
 
 from sondage.llm import digest_index, graph, simhash, vectors_pq
 from sondage.operators.distribute import shared_folder
@@ -55,8 +56,10 @@ def test_index_is_kept_and_grows(spark, docs):
     before = {r["doc_id"]: r["kept"] for r in seen}
     repeat = digest_index.deduplicate(docs.filter("doc_id < 8"), again, batch="two").collect()  # a batch that ran half
     assert {r["doc_id"]: r["kept"] for r in repeat} == before and again.table().count() == size + 3
-    plan = again.table().select("text_sha256")._jdf.queryExecution().toString()
-    assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+    new = spark.range(10).select(F.sha2(F.col("id").cast("string"), 256).alias("text_sha256"))
+    plan = new.join(again.table().select("text_sha256").hint("merge"), "text_sha256", "left_anti")._jdf.queryExecution().toString()
+    assert "SelectedBucketsCount: 4 out of 4" in plan and "SortMergeJoin" in plan
+    assert plan[plan.index("== Physical Plan"):].count("Exchange hashpartitioning") == 1  # the new rows alone are shuffled
 
 
 def test_exact_keep_one(docs, none):
