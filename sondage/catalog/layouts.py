@@ -9,7 +9,7 @@ from ..functions.options import options_by_part
 from ..operators import contrast, features as feats, splits, terms as tt
 from ..operators.distribute import materialize
 from ..plans import layouts, prepare
-from ..plans.pipeline import FeatureModel, FeaturePipeline, pooled_layout, tfidf_layout
+from ..plans.pipeline import FeatureModel, FeaturePipeline, pooled_layout, tfidf_layout, prepared
 from .answers import PART_OPTIONS, PART_RULES, PART_TARGETS, sql_among, sql_anywhere, sql_by_part, sql_mode, sql_rating
 from .registry import query, scratch, sql_list, sql_tokens, table
 from .text import sql_clean
@@ -71,9 +71,29 @@ SQL_POOLED = (
 def _pooled(spark, d):
     rows = responses(spark, d)
     config = pooled_layout("doc_id", *COLUMNS, dict_len=100, **RULES)
+    rows = prepared(rows, config)
     return rows, FeaturePipeline(config).fit(rows)
 
 
+_SEEN_WORDS = (
+    "y AS (SELECT doc_id, ord, generate_subscripts(w, 1) AS pos, unnest(w) AS term FROM (SELECT doc_id, 0 AS ord, "
+    + sql_tokens("t1") + " AS w FROM s UNION ALL SELECT doc_id, 1, " + sql_tokens("t2") + " FROM s)), "
+    "x AS (SELECT doc_id, ord, term FROM y), "
+    "v AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, min({'a': ord, 'b': doc_id, 'c': pos})) - 1 AS vi "
+    "FROM y GROUP BY term)")
+
+
+@query(f"WITH {SQL_RESPONSES}, {_SEEN_WORDS}, feats AS (SELECT doc_id, ord * 60 + vi AS idx, CAST(count(*) AS DOUBLE) AS value "
+       "FROM x JOIN v USING (term) WHERE vi < 60 GROUP BY doc_id, ord, vi UNION ALL "
+       f"{_sql_ratings('120')} UNION ALL {_sql_multi('122')}) "
+       "SELECT doc_id, CAST(idx AS BIGINT) AS idx, value FROM feats WHERE value <> 0")
+def assemble_first_seen(spark, d):
+    """The pooled layout whose equal counts keep the order of first appearance: column, row, position."""
+    config = pooled_layout("doc_id", *COLUMNS, dict_len=60, ties="first", **RULES)
+    rows = prepared(responses(spark, d), config)
+    return FeaturePipeline(config).fit(rows).transform(rows).withColumnRenamed("row_id", "doc_id")
+
+
 @query(f"WITH {SQL_POOLED} SELECT doc_id, CAST(idx AS BIGINT) AS idx, value FROM feats WHERE value <> 0")
 def assemble_v1(spark, d):
     rows, model = _pooled(spark, d)
@@ -108,6 +128,7 @@ SQL_TFIDF_LAYOUT = (
 def _tfidf(spark, d):
     rows = responses(spark, d)
     config = tfidf_layout("doc_id", *COLUMNS, pairs=True, **RULES)
+    rows = prepared(rows, config)
     return rows, FeaturePipeline(config).fit(rows)
 
 

@@ -358,13 +358,16 @@ def logreg_sweep(spark, d):
 @query()
 def mlp_fit(spark, d):
     train, val, _ = _parts(spark, d)
-    return models.perceptron(64, 10, (64,), 60).fit(train).transform(val).select("vec_id", "prediction")
+    return models.perceptron(64, 10, (64,)).fit(train).transform(val).select("vec_id", "prediction")
 
 
 @query()
 def mlp_weights(spark, d):
+    """Weights of a perceptron, written and read again. Five iterations give weights as well as two hundred do."""
     train, _, _ = _parts(spark, d)
-    layers = models.layer_table(models.perceptron(64, 10, (64,), 5).fit(train), train)
+    path = scratch(spark)
+    artifacts.save_table(models.layer_table(models.perceptron(64, 10, (64,), 5).fit(train), train), path)
+    layers = artifacts.load_table(spark, path)
     return layers.select("layer", F.size("w").alias("n_in"), F.size("b").alias("n_out"),
                          F.aggregate(F.flatten("w"), F.lit(0.0), lambda a, x: a + x).alias("w_sum"),
                          F.aggregate("b", F.lit(0.0), lambda a, x: a + x).alias("b_sum"))
@@ -373,17 +376,20 @@ def mlp_weights(spark, d):
 @query()
 def mlp_curve(spark, d):
     train, val, _ = _parts(spark, d)
-    return models.learning_curve(train, val, 64, 10, epochs=6)
+    return models.learning_curve(train, val, 64, 10)
 
 
 @query()
 def rf_grid(spark, d):
+    """Two of five sizes and two of four depths; the defaults of ``forest_sweep`` are all of them (some minutes)."""
     train, val, _ = _parts(spark, d)
     return models.forest_sweep(train, val, sizes=(10, 20), depths=(5, 8))
 
 
 @query()
 def rf_cv(spark, d):
+    """Two settings of the grid; the default of ``forest_cross_validation`` has a hundred, the study's two minimum
+    sizes for a split having no counterpart in Spark. All of them would be five hundred fits."""
     folds = splits.kfold_stratified(table(spark, d, "embeddings"), "vec_id", "label")
     data = reports.ml_rows(folds, "embedding", "label", DIGITS, ["fold"]).persist()
     _, out = models.forest_cross_validation(data, trees=(10,), depths=(5,), min_leaf=(1, 4))
@@ -392,7 +398,7 @@ def rf_cv(spark, d):
 
 @query()
 def rf_tuned(spark, d):
-    """Grid search on the training rows, scored on the validation rows."""
+    """Grid search on the training rows, scored on the validation rows; two settings of the default grid."""
     vectors = _vectors(spark, d)
     train = splits.kfold_stratified(vectors.filter("split = 'train'"), "vec_id", "label")
     score, setting, val = reports.tuned_forest(
@@ -409,15 +415,17 @@ def rf_tuned(spark, d):
 def rf_errors(spark, d):
     """Most frequent mistakes of the forest on the test rows."""
     train, _, test = _parts(spark, d)
-    return reports.forest_errors(train, test, DIGITS, trees=30)[1]
+    return reports.forest_errors(train, test, DIGITS)[1]
 
 
 @query()
 def model_compare(spark, d):
-    return reports.compare_defaults(_vectors(spark, d), "vec_id", "embedding", "label", DIGITS, trees=20, depth=10)
+    return reports.compare_defaults(_vectors(spark, d), "vec_id", "embedding", "label", DIGITS)
 
 
 def _report(spark, d):
+    """Two of six strengths, two of five sizes and one of four depths: ``logreg_sweep`` has all
+    strengths."""
     return reports.full_report(_vectors(spark, d), "vec_id", "embedding", "label", DIGITS,
                                strengths=(0.1, 1.0), sizes=(10, 20), depths=(5,))
 
@@ -435,6 +443,7 @@ def tune_report_best(spark, d):
 
 @query()
 def vocab_size_sweep(spark, d):
+    """Three of the seven sizes with one setting each; the defaults are all sizes and the whole grid."""
     rows = records.drop_unlabelled(responses(spark, d)).persist()
     plan = FeaturePipeline(pooled_layout("doc_id", *COLUMNS, **RULES))
     return reports.vocabulary_size_sweep(rows, plan, "label", ["0", "1"], sizes=(80, 100, 120),
@@ -443,7 +452,7 @@ def vocab_size_sweep(spark, d):
 
 @query()
 def predict_all(spark, d):
-    """Train on the labelled responses, save, then score a file of all responses."""
+    """Train on the labelled responses (a forest of 20 trees), save, then score a file of all responses."""
     rows = responses(spark, d)
     path = scratch(spark)
     config = pooled_layout("doc_id", *COLUMNS, **RULES)

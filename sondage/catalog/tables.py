@@ -137,11 +137,11 @@ def _grouped_orders(spark, d):
     return table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("o_custkey"))
 
 
-@query(f"WITH {_SQL_GROUPS} SELECT o_orderkey, o_custkey, CASE WHEN rn <= floor(n * 0.7e0) THEN 'train' "
+@query(f"WITH {_SQL_GROUPS} SELECT o_orderkey, coalesce(o_custkey, -1) AS o_custkey, CASE WHEN rn <= floor(n * 0.7e0) THEN 'train' "
        "WHEN rn <= floor(n * 0.7e0) + floor(n * 0.15e0) THEN 'val' ELSE 'test' END AS split "
        "FROM o JOIN g ON o.o_custkey IS NOT DISTINCT FROM g.k")
 def split_group(spark, d):
-    return splits.split_by_group(_grouped_orders(spark, d), "o_custkey")
+    return splits.split_by_group(_grouped_orders(spark, d), "o_custkey").fillna({"o_custkey": -1})
 
 
 _SIZES = ("c AS (SELECT quality, count(*) AS n, CAST(count(*) AS DOUBLE) * (t - ceil(round(t * 0.2e0, 9))) / t AS e, "
@@ -181,7 +181,7 @@ def kfold_stratified(spark, d):
     return splits.kfold_stratified(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "quality")
 
 
-@query(f"WITH {_SQL_GROUPS} SELECT o_orderkey, o_custkey, CASE WHEN rn <= floor(n * 0.7e0) THEN 'train' ELSE 'val' END AS split "
+@query(f"WITH {_SQL_GROUPS} SELECT o_orderkey, coalesce(o_custkey, -1) AS o_custkey, CASE WHEN rn <= floor(n * 0.7e0) THEN 'train' ELSE 'val' END AS split "
        "FROM o JOIN g ON o.o_custkey IS NOT DISTINCT FROM g.k WHERE rn <= floor(n * 0.7e0) + floor(n * 0.15e0)")
 def union_train_val(spark, d):
     return splits.train_and_val(split_group(spark, d))

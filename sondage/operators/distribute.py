@@ -40,9 +40,26 @@ def _checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Name of a new folder below the checkpoint folder, which all executors share."""
-    return f"{_checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+    path = f"{_checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables this session has written by ``materialize`` and ``shared_folder``, and forget what is
+    persisted. To be called when no result that reads them is used any more; gives the number of folders."""
+    spark.catalog.clearCache()
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        place = hadoop(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -21,16 +21,31 @@ def term_table(df: DataFrame, row_id: str, text_cols: Sequence[str], *,
                analyzer: Callable[[Column], Column] | None = None,
                keep: Sequence[str] = ()) -> DataFrame:
     """Terms with their counts, computed inside each row (no shuffle)."""
+    words = (lambda c: analyzer(F.col(quoted(c)))) if analyzer is not None else cell_words(stop, bigrams, min_len)
+    cells = term_cells(text_cols, words)
+    return unfolded(df.select(F.col(row_id).alias("row_id"), *keep, cells.alias(CELLS)), keep)
+
+
+CELLS = "_cells"
+
+
+def cell_words(stop: Sequence[str] | None = None, bigrams: bool = False, min_len: int = 1) -> Callable[[str], Column]:
+    """The words of a text column, with their pairs if wanted."""
     def words(c: str) -> Column:
-        if analyzer is not None:
-            return analyzer(F.col(quoted(c)))
         found = tokens(F.col(quoted(c)), stop, min_len)
         return let(found, lambda w: F.concat(w, ngrams(w, 2))) if bigrams else found
+    return words
 
-    cells = F.array(*[F.struct(F.lit(c).alias("col"), F.lit(i).alias("ordinal"),
-                               term_counts(words(c)).alias("terms"))
-                      for i, c in enumerate(text_cols)])
-    return (df.select(F.col(row_id).alias("row_id"), *keep, F.explode(cells).alias("cell"))
+
+def term_cells(text_cols: Sequence[str], words: Callable[[str], Column]) -> Column:
+    """All term counts of a row in one array, so that a prepared table keeps one row per row."""
+    return F.array(*[F.struct(F.lit(c).alias("col"), F.lit(i).alias("ordinal"), term_counts(words(c)).alias("terms"))
+                     for i, c in enumerate(text_cols)])
+
+
+def unfolded(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The term table of rows that hold ``row_id`` and their cells."""
+    return (df.select("row_id", *keep, F.explode(CELLS).alias("cell"))
             .select("row_id", *keep, "cell.col", "cell.ordinal", F.inline("cell.terms")))
 
 

@@ -119,7 +119,8 @@ def selected_features(df: DataFrame, row_id: str, text: str, rating_cols: Sequen
                       stop: Sequence[str], rules=OPTION_RULES, keep: Sequence[str] = ()) -> DataFrame:
     """``[TF-IDF | one-hot ratings | multi-hot]`` before selection."""
     options = sorted({o for _, o in rules})
-    terms = tt.term_table(df, row_id, [text], analyzer=lambda c: _clean_terms(c, stop), keep=keep)
+    terms = (tt.unfolded(df.withColumnRenamed(row_id, "row_id"), keep) if tt.CELLS in df.columns else
+             tt.term_table(df, row_id, [text], analyzer=lambda c: _clean_terms(c, stop), keep=keep))
     words = tt.term_weights(terms, vocabulary, tf="sublinear", norm="l2").select("row_id", *keep, "idx", "value")
     levels = [one_hot(rating(F.col(quoted(c)), DEFAULT_RATING)) for c in rating_cols]
     chosen = [multi_hot(options_anywhere(F.col(quoted(c)), rules), options) for c in multi_cols]
@@ -139,9 +140,12 @@ def selected_layout(df: DataFrame, row_id: str, text: str, rating_cols: Sequence
     """
     stop = english_stop_words() if stop is None else stop
     rows = records.label_as_text(records.drop_unlabelled(df, label), label)
+    # Read, joined, cleaned and tokenised once; everything below reads this table.
+    cells = tt.term_cells([text], lambda c: _clean_terms(F.col(quoted(c)), stop))
+    rows = materialize(rows.select(row_id, label, cells.alias(tt.CELLS), *[F.col(quoted(c)) for c in (*rating_cols, *multi_cols)]))
     class_rows = dict(splits.class_sizes(rows, label))
     n_rows = sum(class_rows.values())
-    counts = tt.count_terms(tt.term_table(rows, row_id, [text], analyzer=lambda c: _clean_terms(c, stop)))
+    counts = tt.count_terms(tt.unfolded(rows.withColumnRenamed(row_id, "row_id")))
     vocabulary = materialize(tt.add_idf(tt.document_vocabulary(counts, min_df), n_rows))
     n_words = vocabulary.count()
     width = n_words + 5 * len(rating_cols) + len({o for _, o in rules}) * len(multi_cols)

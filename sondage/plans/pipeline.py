@@ -35,6 +35,7 @@ class FeatureConfig:
     multi_cols: Sequence[str]
     text: str = "counts"              # "counts" (pooled vocabulary), "tfidf" (per column) or "none"
     dict_len: int | None = None       # size of the pooled vocabulary; all words if None or 0
+    ties: str = "term"                # equal counts at the end of the pooled vocabulary: by "term" or "first" appearance
     min_count: int = 5                # least occurrences per column for "tfidf"
     stop: Sequence[str] = ()
     bigrams: bool = False
@@ -64,6 +65,26 @@ def tfidf_layout(row_id: str, text_cols: Sequence[str], rating_cols: Sequence[st
     return replace(base, **more)
 
 
+def _answer_columns(df: DataFrame, c: FeatureConfig, keep: Sequence[str]) -> DataFrame:
+    """What the blocks without a lookup need of a row."""
+    lengths = [log_length(tokens(F.col(quoted(x)), c.stop or None)) for x in c.text_cols]
+    return df.select(
+        c.row_id, *keep, *([F.array(*lengths).alias("_lengths")] if c.lengths and lengths else []),
+        *[F.col(quoted(x)) for x in c.rating_cols if c.ratings],
+        *[options_by_part(F.col(quoted(m)), c.rules).alias(f"_sel{i}") for i, m in enumerate(c.multi_cols)])
+
+
+def prepared(df: DataFrame, config: FeatureConfig, keep: Sequence[str] = ()) -> DataFrame:
+    """Read, join and tokenise ``df`` once for ``fit`` and ``transform``: a written table with one row per row
+    that holds its term counts, ratings, chosen options and lengths. Use the ``keep`` columns, if any, in both."""
+    c = config
+    words = tt.cell_words(c.stop or None, c.bigrams)
+    extra = [F.col(quoted(x)) for x in c.text_cols] if c.ties == "first" and c.text == "counts" else []
+    cells = tt.term_cells(c.text_cols if c.text != "none" or c.embeddings else [], words) if c.text_cols else F.array()
+    answer = _answer_columns(df.withColumn(tt.CELLS, cells), c, [*keep, tt.CELLS, *extra])
+    return materialize(answer)
+
+
 @dataclass
 class FeatureModel:
     config: FeatureConfig
@@ -98,6 +119,8 @@ class FeatureModel:
 
     def _terms(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         c = self.config
+        if tt.CELLS in df.columns:
+            return tt.unfolded(df.withColumnRenamed(c.row_id, "row_id"), keep)
         return tt.term_table(df, c.row_id, c.text_cols, stop=c.stop or None, bigrams=c.bigrams, keep=keep)
 
     def _text(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -117,11 +140,8 @@ class FeatureModel:
         c = self.config
         at = {name: offset for name, offset, _ in self.feature_map()}
         chosen = {m: f"_sel{i}" for i, m in enumerate(c.multi_cols)}
-        rows = df.select(
-            F.col(c.row_id).alias("row_id"), *keep,
-            *[F.col(quoted(x)).alias(f"_text{i}") for i, x in enumerate(c.text_cols) if c.lengths],
-            *[F.col(quoted(x)).alias(x) for x in c.rating_cols if c.ratings],
-            *[options_by_part(F.col(quoted(m)), c.rules).alias(s) for m, s in chosen.items()])
+        df = df if tt.CELLS in df.columns else _answer_columns(df, c, keep)
+        rows = df.withColumnRenamed(c.row_id, "row_id")
         blocks = []
         if c.ratings and c.rating_cols:
             modes = self.modes if c.modes_from == "train" else answers.rating_modes(df, c.rating_cols)
@@ -135,8 +155,7 @@ class FeatureModel:
             union = F.array_distinct(F.concat(*[F.col(s) for s in chosen.values()]))
             blocks.append(let(union, lambda u: feats.places(pair_flags(u, c.options), at["pairs"])))
         if c.lengths and c.text_cols:
-            sizes = F.array(*[log_length(tokens(f"_text{i}", c.stop or None)) for i in range(len(c.text_cols))])
-            blocks.append(feats.places(sizes, at["lengths"]))
+            blocks.append(feats.places(F.col("_lengths"), at["lengths"]))
         if c.option_counts and c.multi_cols:
             blocks.append(feats.places(F.array(*[log_count(F.col(s)) for s in chosen.values()]),
                                        at["option_counts"]))
@@ -159,7 +178,7 @@ class FeatureModel:
         return long.select("row_id", *keep, "idx", "value")
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """``row_id, [keep,] idx, value`` of all non-zero features."""
+        """``row_id, [keep,] idx, value`` of all non-zero features; ``df`` may be prepared (see ``prepared``)."""
         parts = [self._answers(df, keep)]
         if self.config.text != "none" and self.vocabulary is not None:
             parts.insert(0, self._text(df, keep))
@@ -211,19 +230,28 @@ class FeaturePipeline:
     def count_words(self, df: DataFrame) -> DataFrame:
         """Word counts of the pooled vocabulary; reusable for several ``dict_len``."""
         c = self.config
+        if tt.CELLS in df.columns:
+            return tt.count_terms(tt.unfolded(df.withColumnRenamed(c.row_id, "row_id")))
         return tt.pooled_counts(df, c.text_cols, c.stop or None, c.bigrams)
 
     def fit(self, df: DataFrame, counts: DataFrame | None = None, embeddings: DataFrame | None = None,
             dim: int = 0) -> FeatureModel:
         c = self.config
         vocabulary, widths = None, {}
-        if c.text == "counts":
+        if c.text == "counts" and c.ties == "first":
+            if not c.dict_len or c.bigrams:
+                raise ValueError("first-appearance ties need a dict_len and single words")
+            vocabulary = materialize(tt.first_seen_vocabulary(df, c.row_id, c.text_cols, c.dict_len, c.stop or None))
+            size = vocabulary.count()
+            widths = {t: size for t in c.text_cols}
+        elif c.text == "counts":
             counts = self.count_words(df) if counts is None else counts
             vocabulary = tt.top_vocabulary(counts, c.dict_len) if c.dict_len else tt.full_vocabulary(counts)
             size = vocabulary.count()
             widths = {t: size for t in c.text_cols}
         elif c.text == "tfidf":
-            terms = tt.term_table(df, c.row_id, c.text_cols, stop=c.stop or None, bigrams=c.bigrams)
+            terms = (tt.unfolded(df.withColumnRenamed(c.row_id, "row_id")) if tt.CELLS in df.columns else
+                     tt.term_table(df, c.row_id, c.text_cols, stop=c.stop or None, bigrams=c.bigrams))
             vocabulary = tt.full_vocabulary(tt.count_terms(terms, ["col"]), c.min_count, by="col")
             vocabulary = materialize(tt.add_idf(vocabulary, df.count()))
             sizes = {r["col"]: r["n"] for r in vocabulary.groupBy("col").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -16,6 +16,8 @@ for path in (ROOT, os.path.join(ROOT, "tests")):
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
         .config("spark.driver.host", "127.0.0.1").config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
