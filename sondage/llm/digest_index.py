@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..operators.distribute import shared_folder
 from .common import id_and_text
 
-BUCKETS = 64
 FIELDS = "text_sha256 string, keep_id {id}, group_size bigint, batch string"
 
 
@@ -28,10 +27,11 @@ def text_digest(text: str = "text"):
 class DigestIndex:
     """A digest table at ``path``, in ``buckets`` buckets sorted by digest.
 
-    The files are the state: a later session opens the same path and goes on. The name in
-    the session catalog only tells Spark about the buckets."""
+    The files are the state: a later session opens the same path, with the same number of
+    buckets, and goes on. The name in the session catalog only tells Spark about them. A bucket
+    is the work of one task; choose so many that one holds some ten million digests at most."""
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS, id_type: str = "bigint"):
+    def __init__(self, spark: SparkSession, path: str, buckets: int, id_type: str = "bigint"):
         self.spark, self.path, self.buckets = spark, path, buckets
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(f"CREATE TABLE {self.name} ({FIELDS.format(id=id_type)}) USING parquet "
@@ -60,11 +60,12 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
     the index already knew the text, ``keep_id`` is the row of the earlier batch and no row of
     this input stays. ``group_size`` counts the rows of this input. Null texts count as empty;
     rows repeated with the same id are all marked alike, with ``kept`` true if theirs is the id
-    that stays. Without an ``index`` a new one is made in the shared folder. An empty table gives none."""
+    that stays. Without an ``index`` a new one, with a bucket per shuffle partition of the session, is
+    made in the shared folder. An empty table gives none."""
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col).select("doc_id", text_digest().alias("text_sha256"))
     if index is None:
-        index = DigestIndex(spark, f"{shared_folder(spark)}/index", id_type=rows.schema["doc_id"].dataType.simpleString())
+        index = DigestIndex(spark, f"{shared_folder(spark)}/index", int(spark.conf.get("spark.sql.shuffle.partitions")), id_type=rows.schema["doc_id"].dataType.simpleString())
     batch = batch or uuid.uuid4().hex
     groups = rows.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     held = f"{shared_folder(spark)}/groups"
