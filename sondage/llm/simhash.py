@@ -25,7 +25,8 @@ from .graph import components
 SHINGLE = 3
 DISTANCE = 3
 SEED = 42
-PAIRED_AT_ONCE = 24
+# Pairing costs half of this many comparisons a row at most, spelling out up to 529 rows a row.
+PAIRED_AT_ONCE = 256
 _CHUNK = 50_000
 
 
