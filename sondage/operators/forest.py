@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NODES_PER_PASS = 500_000
+NODES_AT_MOST = 10_000_000  # of a forest; some hundred bytes each pass through the driver's memory
 
 
 def nodes_of_model(spark: SparkSession, model_path: str) -> DataFrame:
@@ -93,6 +94,8 @@ def _passes(nodes: DataFrame, limit: int) -> list[list[int]]:
     """Tree ids, grouped so that each group has at most ``limit`` nodes."""
     sizes = sorted((r["tree_id"], r["n"]) for r in
                    nodes.groupBy("tree_id").agg(F.count(F.lit(1)).alias("n")).collect())
+    if sum(n for _, n in sizes) > NODES_AT_MOST:
+        raise ValueError(f"a forest of more than {NODES_AT_MOST} nodes cannot be broadcast")
     groups: list[list[int]] = []
     held = limit
     for tree, n in sizes:
@@ -122,8 +125,8 @@ def score_forest(df: DataFrame, nodes: DataFrame, classes: Sequence[str], featur
     """Add ``probability`` (mean leaf share per class) and ``prediction``.
 
     ``features`` is a dense ``array<double>`` column. The nodes of a pass are
-    broadcast; a larger forest takes several passes of whole trees. Ties go to
-    the first class.
+    broadcast; a larger forest takes several passes of whole trees, and one of more
+    than ``NODES_AT_MOST`` nodes is refused. Ties go to the first class.
     """
     context = df.sparkSession.sparkContext
     groups = _passes(nodes, nodes_per_pass)
