@@ -60,6 +60,7 @@ PATTERNS = {
     "person": rf"(?<!\p{{L}})(?:(?:{_TITLE_WORDS})\.? {_NAME}(?:[ -]{_NAME}){{0,2}}|(?:{_GIVEN_WORDS}) {_NAME}(?:-{_NAME})?)(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS)
+NUMBERED = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS if k != "person")
 _STREAM = 96
 
 
@@ -217,7 +218,8 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     ``kinds`` lists the types found in the order of the text; a null text stays null and has none. Rows
     repeat as they come; equal texts get equal results. Whole texts are searched. An empty table gives no rows."""
     rows = id_and_text(docs, id_col, text_col)
-    has = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
+    # Whether ANY occurs; all but names need a digit or an at sign, which is quick to tell.
+    has = F.coalesce((F.col("text").rlike("[@0-9]") & F.col("text").rlike(NUMBERED)) | F.col("text").rlike(PATTERNS["person"]), F.lit(False))
     digest = F.sha2(F.col("text").cast("binary"), 256)
     found = (rows.filter(has).select(digest.alias("digest"), F.posexplode(F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1))).alias("pos", "match"))
              .groupBy("digest", "pos").agg(F.first("match").alias("match")).withColumn("found", kind_of(F.col("match"))))
