@@ -10,6 +10,9 @@ a document's rate follows from the short history of steps, each a value per doma
 
 from __future__ import annotations
 
+import itertools
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,6 +25,8 @@ PER_DOMAIN = 1200         # labelled documents per domain that are fitted on, at
 FEATURES = 3_000          # words of the sample that the classifier looks at, at most: those that tell domains apart,
 LEAST_CHI2 = 20.0         # by the chi-square of their presence, which chance alone hardly reaches
 STEPS = 30
+_LEAST_DOCS = 5
+_HASHES = 1 << 20
 TOLERANCE = 1e-4
 
 #: Domains of the labelled table: what a label row says about its document.
@@ -38,6 +43,10 @@ def word_set(text: bytes) -> tuple[int, set[bytes]]:
     return len(words), set(words).union(text.translate(_PLAIN).split())
 
 
+def _hashes(words) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w) & (_HASHES - 1) for w in words), np.int64, len(words))
+
+
 def _shape(text: bytes) -> tuple[float, float, float]:
     """Shares of capitals among ASCII letters, of punctuation and digits among all bytes."""
     raw = np.frombuffer(text, np.uint8)
@@ -55,18 +64,22 @@ class Classifier:
     def __init__(self, texts: list[bytes], labels: list[str], domains: list[str], epochs: int = 30, seed: int = 2,
                  shares: dict[str, float] | None = None):
         self.domains = list(domains)
-        sets = [word_set(t)[1] for t in texts]
         gold = np.array([self.domains.index(d) for d in labels], np.int64)
-        seen: dict[bytes, np.ndarray] = {}
-        for s, d in zip(sets, gold):
-            for w in s:
-                if w not in seen:
-                    seen[w] = np.zeros(len(domains))
-                seen[w][d] += 1
+        # Most words are rare: counted by hash first, so that only those that may be frequent enough are held.
+        hashed = np.zeros(_HASHES, np.int32)
+        for t in texts:
+            np.add.at(hashed, _hashes(word_set(t)[1]), 1)
+        likely = hashed >= _LEAST_DOCS
+        seen: dict[bytes, list[int]] = {}
+        for t, d in zip(texts, gold.tolist()):
+            words = list(word_set(t)[1])
+            for w in itertools.compress(words, likely[_hashes(words)].tolist()):
+                seen.setdefault(w, [0] * len(domains))[d] += 1
         size = np.bincount(gold, minlength=len(domains)) if texts else np.zeros(len(domains))
         strength = {}
-        for w, n in seen.items():
-            if n.sum() >= 5:
+        for w, found in seen.items():
+            n = np.array(found, float)
+            if n.sum() >= _LEAST_DOCS:
                 share = n.sum() / len(texts)
                 strength[w] = float((np.square(n - size * share) / np.maximum(size * share * (1 - share), 1e-9)).sum())
         chosen = sorted((w for w, x in strength.items() if x >= LEAST_CHI2), key=lambda w: (-strength[w], w))[:FEATURES]
@@ -76,7 +89,7 @@ class Classifier:
         self.prior = np.zeros(k)
         if not texts:
             return
-        ids = [np.fromiter((self.number[w] for w in s if w in self.number), np.int64) for s in sets]
+        ids = [np.array(sorted(self.number[w] for w in self.number.keys() & word_set(t)[1]), np.int64) for t in texts]
         shape = np.array([_shape(t) for t in texts])
         # The sample has about as many documents of each domain; posteriors are turned to the true shares.
         self.prior = np.log(np.array([(shares or {}).get(d, 0.0) + 1e-6 for d in domains]) / (np.bincount(gold, minlength=k) / len(gold) + 1e-6)) \
