@@ -214,8 +214,7 @@ def fit(texts: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7, rate:
         flat = expected.reshape(-1, states)
         model_words = np.stack([np.bincount(seq.ravel(), flat[:, s], len(vocabulary)) for s in range(states)], axis=1)
         change = (gold_words - model_words) / n
-        spread = np.repeat(change, per_word, axis=0)
-        grads = [np.stack([np.bincount(ids, spread[:, s], 1 << BITS) for s in range(states)], axis=1) - 1e-7 * weights,
+        grads = [np.stack([np.bincount(ids, np.repeat(change[:, s], per_word), 1 << BITS) for s in range(states)], axis=1) - 1e-7 * weights,
                  np.stack([np.bincount(entry, change[:, s], len(lexicon) + 1) for s in range(states)], axis=1) - 1e-7 * lexical,
                  (gold_moves - moves) / n, (gold_start - expected[:, 0].sum(axis=0)) / n]
         grads[1][-1] = 0
