@@ -26,7 +26,7 @@ EPOCHS = 25
 BLOCK = 256
 UNDECIDED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
-_TOGETHER = 1_500_000     # words of the documents that one pass works on
+_TOGETHER = 600_000     # words of the documents that one pass works on
 _CACHED = 400_000
 
 
