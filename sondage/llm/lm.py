@@ -33,7 +33,8 @@ ROUNDS = 2
 NOISE = 64
 BATCH = 512
 _COUNTED_AT_ONCE = 300_000
-_TOGETHER = 3_000_000
+_TOGETHER = 1_500_000      # tokens whose contexts are counted at once in training
+_TEXTS_AT_ONCE = 256
 END = b""                 # no word is empty, so the end of a text can be counted under this
 REST, STOP = 0, 1         # class of all other words; class of the end, also what precedes a text
 
@@ -230,7 +231,7 @@ def score(docs: DataFrame, folds: int = 5, fold: int = 1, id_col: str = "doc_id"
         number, held, ends = shared()
         log_end = np.log10(ends + 0.5)
         logs = {w: (number.get(w, REST), np.log10(n + 0.5), 0.0 if w in number else np.log10(n + 0.5)) for w, n in held.items()}
-        for batch in batches:
+        for batch in (b.slice(at, _TEXTS_AT_ONCE) for b in batches for at in range(0, b.num_rows, _TEXTS_AT_ONCE)):
             out = []
             for text in batch_texts(batch):
                 words = ascii_words(text)
