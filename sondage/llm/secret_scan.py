@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,8 +31,8 @@ _BASE_HINTS = ("passw", "secret", "token", "api")
 NAME_WEIGHTS = {
     "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "pass": 0.7, "secret": 1.0, "secrets": 1.0, "token": 0.9,
     "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "cred": 0.8, "creds": 0.9, "auth": 0.7, "authorization": 0.8,
-    "bearer": 0.9, "private": 0.6, "privatekey": 1.0, "accesskey": 1.0, "secretkey": 1.0, "signing": 0.6, "salt": 0.5,
-    "key": 0.6, "dsn": 0.6, "pin": 0.5, "otp": 0.6, "jwt": 0.9, "cookie": 0.5, "session": 0.5,
+    "bearer": 0.9, "private": 0.6, "privatekey": 1.0, "accesskey": 1.0, "secretkey": 1.0, "signing": 0.6, "salt": 0.6,
+    "key": 0.6, "dsn": 0.6, "pin": 0.9, "otp": 0.9, "jwt": 0.9, "cookie": 0.6, "session": 0.6,
 }
 THRESHOLD = 0.55
 _STEMS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer", "private", "signing", "salt", "dsn", "otp", "jwt", "cookie",
@@ -40,7 +41,9 @@ _STEMS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer", "pr
 PLACEHOLDERS = frozenset(("changeme", "change_me", "example", "placeholder", "password", "passwd", "secret", "token", "none",
                           "null", "true", "false", "undefined", "redacted", "xxxxxx", "yourpassword", "your_password", "string"))
 LEAST_LITERAL = 6
-_HOPS = 8
+# Bits of a random literal (length times those of a character of its alphabet) that score least and in full.
+LEAST_BITS, FULL_BITS = 19.9, 48.0
+_LEAST_SCORE = 0.62  # six random digits pass at the names that weigh 0.9
 
 _NAME = r"(?<![\w$.\-])[A-Za-z_$][\w$.\-]*+"  # possessive and only at its first character: linear on any text
 _QUOTED = r'"""(?:[^"\\]|\\.|"(?!""))*"""|\'\'\'(?:[^\'\\]|\\.|\'(?!\'\'))*\'\'\'|"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\'|`[^`\n]*`'
@@ -61,14 +64,55 @@ def name_weight(name: str) -> float:
     return max((NAME_WEIGHTS.get(p, 0.0) for p in [*parts, *both]), default=0.0)
 
 
+_RUNS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+_UNSPOKEN = re.compile(r"[^aeiouy]{5}|[aeiouy]{4}")
+
+
+def _like_words(value: str) -> bool:
+    """Whether most characters are in runs of letters that can be spoken, as words and names of code are."""
+    least = 4 if any(map(str.isdigit, value)) else 3
+    spoken = 0
+    for run in map(str.lower, _RUNS.findall(value)):
+        vowels = sum(map(run.count, "aeiouy"))
+        if len(run) >= least and 0.25 <= vowels / len(run) <= 0.67 and not _UNSPOKEN.search(run):
+            spoken += len(run)
+    return spoken > len(value) / 2
+
+
+@lru_cache(10_000)
+def _expected_entropy(n: int, size: int) -> float:
+    """Mean bits per character that ``n`` random draws from ``size`` characters show."""
+    chance, odds, total = (1 - 1 / size) ** n, 1 / (size - 1), 0.0
+    for k in range(1, n + 1):
+        chance *= (n - k + 1) / k * odds
+        total -= chance * k / n * math.log2(k / n)
+    return total * size
+
+
+def _drawn(value: str, entropy: float, kinds: list[bool]) -> float:
+    """0 to 1: how far the literal looks like random draws from its own alphabet, and how many bits it then has.
+    Words, names of code and ascending or repeated characters score nothing."""
+    n = len(value)
+    size = 16 if kinds[0] and re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) and any(kinds[1:3]) else sum(
+        c for c, there in zip((10, 26, 26, 8), kinds) if there)
+    steps = [abs(ord(b) - ord(a)) for a, b in zip(value, value[1:])]
+    bits = n * math.log2(size)
+    if bits < LEAST_BITS or sum(s <= 1 for s in steps) > 0.6 * len(steps) or (size != 16 and _like_words(value)):
+        return 0.0
+    even = min(1.0, entropy / (0.85 * _expected_entropy(min(n, 256), size)))
+    return even ** 2 * (_LEAST_SCORE + (1 - _LEAST_SCORE) * min(1.0, (bits - LEAST_BITS) / (FULL_BITS - LEAST_BITS)))
+
+
 def randomness(value: str) -> float:
-    """0 to 1: bits per character against 4, with a bonus for mixed kinds of characters."""
+    """0 to 1: bits per character against 4, with a bonus for mixed kinds of characters, or if that is more the
+    bits against what random draws from the literal's own alphabet show."""
     n = len(value)
     if n < LEAST_LITERAL or value.lower() in PLACEHOLDERS or len(set(value)) < 4 or value[:2] in ("${", "{{", "<%") or " " in value:
         return 0.0
     entropy = -sum(c / n * math.log2(c / n) for c in map(value.count, set(value)))
-    kinds = sum(any(f(ch) for ch in value) for f in (str.isdigit, str.islower, str.isupper)) + any(not ch.isalnum() for ch in value)
-    return min(1.0, entropy / 4) * (0.45 + 0.275 * min(kinds - 1, 2))
+    kinds = [any(f(ch) for ch in value) for f in (str.isdigit, str.islower, str.isupper)] + [any(not ch.isalnum() for ch in value)]
+    mixed = min(1.0, entropy / 4) * (0.45 + 0.275 * min(sum(kinds) - 1, 2))
+    return max(mixed, _drawn(value, entropy, kinds) if any(kinds[:3]) else 0.0)
 
 
 def _operands(text: str, at: int) -> tuple[list[tuple[str, int, int]], int]:
@@ -114,20 +158,22 @@ def assigned_literals(text: str) -> list[tuple[int, int]]:
     weight = {}
     for name, _ in pairs:
         weight.setdefault(name, name_weight(name))
-    # Sensitivity flows from a target to the constants assigned to it, over at most _HOPS names.
+    # Sensitivity flows from a target to the constants assigned to it, through any number of names. The most
+    # sensitive names go first, so that no name is visited twice.
     flows: dict[str, set[str]] = {}
     for name, operands in pairs:
         for kind, start, end in operands:
             if kind == "ref" and text[start:end] != name and text[start:end] in weight:
                 flows.setdefault(name, set()).add(text[start:end])
-    for _ in range(_HOPS):
-        moved = False
-        for name, sources in flows.items():
-            for source in sources:
-                if weight[name] > weight[source]:
-                    weight[source], moved = weight[name], True
-        if not moved:
-            break
+    reached: set[str] = set()
+    for first in sorted(flows, key=weight.__getitem__, reverse=True):
+        waiting = [first]
+        while waiting:
+            name = waiting.pop()
+            if name not in reached:
+                reached.add(name)
+                weight[name] = max(weight[name], weight[first])
+                waiting.extend(flows.get(name, ()))
     spans = set()
     for name, operands in pairs:
         if not weight[name]:

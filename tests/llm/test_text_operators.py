@@ -189,6 +189,33 @@ def test_secrets_by_assignment(text, secret):
     assert found[:1] == ([secret] if secret else [])
 
 
+def test_every_sensitive_name_can_pass():
+    rng = random.Random(12)
+    for name in secret_scan.NAME_WEIGHTS:
+        for alphabet, size in (("0123456789abcdef", 20), ("0123456789abcdefghijklmnopqrstuvwxyz", 16), ("0123456789", 20)):
+            hits = 0
+            for _ in range(40):
+                value = "".join(rng.choice(alphabet) for _ in range(size))
+                text = f'{name} = "{value}"\n'
+                hits += any(text[s:e] == value for s, e in secret_scan.assigned_literals(text))
+            assert hits >= 34, (name, alphabet, hits)
+    for text, value in (('encryption_key = "9f86d081884c7d65"', "9f86d081884c7d65"), ("auth = 'ab12cd34ef56ab78'", "ab12cd34ef56ab78"),
+                        ('pwd = "qzxkvbtrwpj"', "qzxkvbtrwpj"), ('secretKey = "QZXKVBTRWPJ"', "QZXKVBTRWPJ"), ("pin = '482913'", "482913")):
+        assert [text[s:e] for s, e in secret_scan.assigned_literals(text)] == [value]
+    for text in ('key = "position"', 'session = "default_session"', 'cookie = "getSessionName"', 'key = "0123456789abcdef"', "salt = 'aaaaaaaabbbbcd'",
+                 'auth = "application/json"', 'key = "utf8mb4"'):
+        assert secret_scan.assigned_literals(text) == []
+
+
+def test_constants_are_followed_over_any_number_of_names():
+    n = 3000
+    chain = 'A0 = "a8Fk29dkQ0zL1x"\n' + "".join(f"A{i} = A{i - 1}\n" for i in range(1, n)) + f"pwd = A{n - 1}\n"
+    for text in (chain, "\n".join(reversed(chain.splitlines())), chain + f"A0 = A{n - 1}\n"):
+        began = time.time()
+        assert [text[s:e] for s, e in secret_scan.assigned_literals(text)] == ["a8Fk29dkQ0zL1x"]
+        assert time.time() - began < 10
+
+
 def test_secret_lexer_is_linear():
     for text in ("key " + "a" * 300_000, "key = " * 40_000, 'key "' * 40_000, "key='''" * 20_000, "--key" * 40_000):
         began = time.time()
