@@ -77,9 +77,13 @@ class Quantiser:
     def reachable(self, x: np.ndarray, own: np.ndarray, radius: float) -> np.ndarray:
         """Which lists can hold a vector within ``radius`` of each row: the distance of the row to the
         border between its own list and the other one decides."""
-        d = self.distances(x)
-        apart = np.sqrt(np.maximum(((self.coarse[own][:, None, :] - self.coarse[None]) ** 2).sum(axis=2), 0))
-        return d - np.take_along_axis(d, own[:, None], 1) <= 2 * (radius + _SLACK) * apart + _SLACK
+        lists, at = np.unique(own, return_inverse=True)
+        apart = np.stack([np.sqrt(((self.coarse - self.coarse[i]) ** 2).sum(axis=1)) for i in lists])
+        near = np.empty((len(x), len(self.coarse)), bool)
+        for i in range(0, len(x), 512):  # a few rows at a time: the distances are doubles
+            d, part = self.distances(x[i:i + 512]), slice(i, i + 512)
+            near[part] = d - np.take_along_axis(d, own[part, None], 1) <= 2 * (radius + _SLACK) * apart[at[part]] + _SLACK
+        return near
 
     def lookup(self, x: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
         """Squared distances of queries to coded vectors of one list, by sums of table entries."""

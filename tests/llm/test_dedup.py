@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -165,3 +166,19 @@ def test_probes_and_lookups_lose_no_link():
             if own[b] == which:
                 j = int(np.searchsorted(mine, b))
                 assert d[a, j] <= (radius + error[j] + 1e-4) ** 2 + 1e-4
+
+
+def test_reachable_needs_no_cube():
+    rng = np.random.default_rng(4)
+    x = vectors_pq._unit(rng.standard_normal((2048, 64)))
+    q = vectors_pq.Quantiser.__new__(vectors_pq.Quantiser)
+    q.coarse = x[:256]
+    tracemalloc.start()
+    got = [q.reachable(x, own, 0.37) for own in (np.full(len(x), 7), q.nearest(x))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6  # rows x lists x dimensions doubles are 268 MB
+    for own, near in zip((np.full(len(x), 7), q.nearest(x)), got):
+        d = ((x[:, None] - q.coarse[None, :]) ** 2).sum(axis=2)
+        apart = np.sqrt(((q.coarse[own][:, None] - q.coarse[None]) ** 2).sum(axis=2))
+        assert (near == (d - d[np.arange(len(x)), own][:, None] <= 2 * (0.37 + vectors_pq._SLACK) * apart + vectors_pq._SLACK)).all()
