@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from ..operators.distribute import materialize
 from .common import id_and_text
 
-KINDS = ("email", "iban", "card", "phone", "ssn", "ip", "person")
+KINDS = ("email", "iban", "ssn", "phone", "card", "ip", "person")  # in the order in which they are tried at a place
 ROUNDS = 64
 LISTED_DRAWS = 3
+_PLAIN_DRAWS = 8  # later draws are longer
 
 # Given names by script and gender, and syllables of other names.
 GIVEN = {
@@ -53,7 +54,8 @@ _TITLE_WORDS = "|".join(sorted({t for titles in TITLES.values() for t in titles}
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "card": r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    # All digits that blanks and hyphens join, if they are enough for a card; ``_found`` looks for what is in them.
+    "card": r"(?<![\w.+-])(?=\d(?:[ -]?\d){12})\d[\d -]*(?<=\d)(?![\w-]|(?<!\d{4})\.\d{1,3}\.\d|[.%+][A-Za-z0-9._%+-]*+@\w|@\w)",
     "phone": r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
@@ -61,6 +63,9 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS)
 NUMBERED = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS if k != "person")
+# Groups of digits of like format: one group, equal ones of which the last may be shorter, 4-6-5 or 4-6-4.
+_LIKE = "|".join([r"\d+", *(rf"\d{{{n}}}(?:{sep}\d{{{n}}})+(?:{sep}\d{{1,{n}}})?" for sep in " -" for n in range(1, 10)),
+                  *(rf"\d{{4}}{sep}\d{{6}}{sep}\d{{4,5}}" for sep in " -")])
 _STREAM = 96
 
 
@@ -98,6 +103,46 @@ def kind_of(match: Column) -> Column:
             .when((F.length(digits) >= 13) & (_luhn(digits) == 0), "card"))
 
 
+def _inside(run: Column) -> Column:
+    """``kind, match`` of the parts of a run of digits, blanks and hyphens, in order; what is none has a null kind.
+
+    At every group of digits the numbers of social security and phones are tried, then the longest card of like
+    format whose check digit holds. A run in which nothing is found may be one card in any format."""
+    def longest(c: Column, at: Column) -> Column:
+        ahead = F.substr(run, at, F.lit(40))
+        before = F.when(at > 1, F.substr(run, at - 1, F.lit(1))).otherwise(" ")
+        ssn = F.when(before != "-", F.regexp_extract(ahead, r"^\d{3}-\d{2}-\d{4}(?![\d-])", 0))
+        phone = F.when(before != "-", F.regexp_extract(ahead, r"^\d{3}[ -]\d{3}[ -]\d{4}(?![\d-])", 0))
+        card = F.filter(F.array(*(F.regexp_extract(ahead, rf"^\d(?:[ -]?\d){{{n}}}(?!\d)", 0) for n in range(18, 11, -1))),
+                        lambda m: (m != "") & m.rlike(f"^(?:{_LIKE})$") & (_luhn(_digits(m)) == 0))
+        return (F.when(ssn != "", F.struct(F.lit("ssn").alias("kind"), at.alias("at"), ssn.alias("match")))
+                .when(phone != "", F.struct(F.lit("phone").alias("kind"), at.alias("at"), phone.alias("match")))
+                .when(F.size(card) > 0, F.struct(F.lit("card").alias("kind"), at.alias("at"), F.get(card, F.lit(0)).alias("match"))))
+    groups = F.regexp_extract_all(run, F.lit(r"(\d+[ -]*)"), F.lit(1))
+    none = F.array().cast("array<struct<kind:string,match:string>>")
+    part = "struct<kind:string,match:string>"
+
+    def raw(start: Column, end: Column) -> Column:
+        return F.when(end > start, F.array(F.struct(F.lit(None).cast("string").alias("kind"), F.substr(run, start, end - start).alias("match"))
+                                           .cast(part))).otherwise(none)
+    starts = F.aggregate(groups, F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("starts")), lambda s, g: F.struct(
+        (s["next"] + F.length(g)).alias("next"), F.concat(s["starts"], F.array(s["next"])).alias("starts")))["starts"]
+    found = F.filter(F.transform(starts, lambda at: longest(run, at)), lambda c: c.isNotNull())
+    done = F.aggregate(found, F.struct(F.lit(1).alias("next"), none.alias("parts")), lambda s, c: F.when(c["at"] < s["next"], s).otherwise(F.struct(
+        (c["at"] + F.length(c["match"])).alias("next"),
+        F.concat(s["parts"], raw(s["next"], c["at"]), F.array(F.struct(c["kind"].alias("kind"), c["match"].alias("match")).cast(part))).alias("parts"))),
+        lambda s: F.concat(s["parts"], raw(s["next"], F.length(run) + 1)))
+    odd = run.rlike(r"^\d(?:[ -]?\d){12,18}$") & (_luhn(_digits(run)) == 0)
+    whole = F.array(F.struct(F.when(odd, F.lit("card")).alias("kind"), run.alias("match")).cast(part))
+    return F.when(F.exists(done, lambda p: p["kind"].isNotNull()), done).otherwise(whole)
+
+
+def _found(match: Column) -> Column:
+    """``kind, match`` of the parts of a found string: one, but for a run of digits, which may hold several."""
+    run = match.rlike(r"^\d[\d -]*$") & kind_of(match).isNull() | (kind_of(match) == "card")
+    return F.when(run, _inside(match)).otherwise(F.array(F.struct(kind_of(match).alias("kind"), match.alias("match"))))
+
+
 def _script(c: Column) -> Column:
     return F.when(c.rlike(r"\p{IsCyrillic}"), "cyrillic").when(c.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
@@ -150,9 +195,12 @@ def candidate(key: str, kind: Column, norm: Column, draw: Column) -> Column:
         """Digit by digit; ``low`` tells the least digit at a place, -1 to keep it."""
         return F.array_join(F.transform(_chars(text), lambda c, i: F.when(low(i) < 0, c).otherwise(
             (low(i) + number(i) % (F.lit(10) - low(i))).cast("string"))), "")
+    longer = F.when(draw > _PLAIN_DRAWS, F.floor((draw - _PLAIN_DRAWS + 3) / 4)).otherwise(0).cast("int")  # so that no set runs out
+    more = F.transform(F.sequence(F.lit(1), F.greatest(longer, F.lit(1))), lambda i: number(F.lit(_STREAM) - i))
     size = F.length(norm)
     ahead = F.greatest(size - 10, F.lit(0))  # digits of the country
     phone = digits(norm, lambda i: F.when(i < ahead, -1).when((i == ahead) | (i == ahead + 3), 2).otherwise(0))
+    phone = F.when(longer > 0, F.concat(phone, F.array_join(F.transform(more, lambda n: (n % 10).cast("string")), ""))).otherwise(phone)
     body = digits(F.substr(norm, F.lit(1), size - 1), lambda i: F.when(i == 0, -1).otherwise(0))
     card = F.concat(body, ((10 - _luhn(F.concat(body, F.lit("0")))) % 10).cast("string"))
     ssn = digits(norm, lambda i: F.when(i.isin(3, 5, 8), 1).when(i == 0, 2).otherwise(0))
@@ -163,7 +211,9 @@ def candidate(key: str, kind: Column, norm: Column, draw: Column) -> Column:
     host_seed = F.sha2(F.concat_ws(":", F.lit(key), F.lit("host"), domain).cast("binary"), 512)
     host = F.array_join(F.transform(_chars(domain), lambda c, i: F.when(c.rlike("[a-z]"), F.chr(
         F.conv(F.substr(host_seed, F.pmod(i, F.lit(32)) * 4 + 1, F.lit(4)), 16, 10).cast("int") % 26 + 97)).otherwise(c)), "")
-    email = F.concat(spelled(F.regexp_extract(norm, "^([^@]*)@", 1)), F.lit("@"), host, F.regexp_extract(norm, r"(\.[^.]+)$", 1))
+    local = spelled(F.regexp_extract(norm, "^([^@]*)@", 1))
+    local = F.when(longer > 0, F.concat(local, F.array_join(F.transform(more, lambda n: F.chr(n % 26 + 97)), ""))).otherwise(local)
+    email = F.concat(local, F.lit("@"), host, F.regexp_extract(norm, r"(\.[^.]+)$", 1))
     tail = spelled(F.substr(norm, F.lit(5)))
     bare = F.concat(F.substr(norm, F.lit(1), F.lit(2)), F.lit("00"), tail)
     iban = F.concat(F.substr(norm, F.lit(1), F.lit(2)), F.lpad((98 - _mod97(bare)).cast("string"), 2, "0"), tail)
@@ -171,8 +221,9 @@ def candidate(key: str, kind: Column, norm: Column, draw: Column) -> Column:
            .when(kind == "ip", ip).when(kind == "iban", iban))
     for script, syllables in SYLLABLES.items():
         for role in "mfxs":
-            made = F.concat(pick(syllables, 0), pick(syllables, 1), pick(syllables, 2), F.when(draw > 8, pick(syllables, 3)).otherwise(""),
-                            F.lit(ENDINGS[script, role]))
+            listed = F.array(*map(F.lit, syllables))
+            tail = F.when(longer > 0, F.array_join(F.transform(more, lambda n: F.element_at(listed, n % F.size(listed) + 1)), "")).otherwise("")
+            made = F.concat(pick(syllables, 0), pick(syllables, 1), pick(syllables, 2), tail, F.lit(ENDINGS[script, role]))
             names = GIVEN.get((script, role)) or (GIVEN[script, "m"] + GIVEN[script, "f"] if role == "x" else None)
             value = F.when(draw < LISTED_DRAWS, F.lower(pick(names, 4))).otherwise(made) if names else made
             out = out.when(kind == f"{role}_{script}", value)
@@ -186,10 +237,10 @@ def render(kind: Column, raw: Column, core: Column) -> Column:
         return F.aggregate(_chars(raw), empty, lambda s, c: F.when(c.rlike(allowed), F.struct(
             F.concat(s["out"], F.substr(core, s["at"], F.lit(1))).alias("out"), (s["at"] + 1).alias("at"))).otherwise(
             F.struct(F.concat(s["out"], c).alias("out"), s["at"].alias("at"))))["out"]
-    ahead = F.greatest(F.length(_digits(raw)) - F.length(core), F.lit(0))
-    dialled = F.concat(F.substr(_digits(raw), F.lit(1), ahead), core)
+    dialled = F.concat(F.regexp_extract(_digits(raw), "^(1)[0-9]{10}$", 1), core)
     name = F.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(core)).when(raw == F.initcap(raw), F.initcap(core)).otherwise(core)
-    return (F.when(core.isNull(), raw).when(kind == "phone", filled("[0-9]", dialled)).when(kind.isin("card", "ssn"), filled("[0-9]")).when(kind == "iban", filled("[A-Z0-9]"))
+    return (F.when(core.isNull(), raw).when(kind == "phone", F.concat(filled("[0-9]", dialled), F.substr(dialled, F.length(_digits(raw)) + 1)))
+            .when(kind.isin("card", "ssn"), filled("[0-9]")).when(kind == "iban", filled("[A-Z0-9]"))
             .when(kind.isin("email", "ip"), core).otherwise(name))
 
 
@@ -222,18 +273,20 @@ def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "
     has = F.coalesce((F.col("text").rlike("[@0-9]") & F.col("text").rlike(NUMBERED)) | F.col("text").rlike(PATTERNS["person"]), F.lit(False))
     digest = F.sha2(F.col("text").cast("binary"), 256)
     found = (rows.filter(has).select(digest.alias("digest"), F.posexplode(F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1))).alias("pos", "match"))
-             .groupBy("digest", "pos").agg(F.first("match").alias("match")).withColumn("found", kind_of(F.col("match"))))
-    parts = materialize(found.select("digest", "pos", "found", F.posexplode(_tokens(F.col("match"), F.col("found"))).alias("at", "t"))
-                        .select("digest", "pos", "found", "at", "t.kind", "t.norm", "t.raw"))
+             .groupBy("digest", "pos").agg(F.first("match").alias("match"))
+             .select("digest", "pos", F.posexplode(_found(F.col("match"))).alias("part", "p"))
+             .select("digest", "pos", "part", F.col("p.kind").alias("found"), F.col("p.match").alias("match")))
+    parts = materialize(found.select("digest", "pos", "part", "found", F.posexplode(_tokens(F.col("match"), F.col("found"))).alias("at", "t"))
+                        .select("digest", "pos", "part", "found", "at", "t.kind", "t.norm", "t.raw"))
     mapping = materialize(surrogates(parts.filter("kind IS NOT NULL"), key))
     written = materialize(parts.join(mapping, ["kind", "norm"], "left").select(
-        "digest", "pos", "found", "at", render(F.col("kind"), F.col("raw"), F.col("core")).alias("out")))
-    matches = written.groupBy("digest", "pos").agg(
-        F.first("found", ignorenulls=True).alias("found"), F.array_sort(F.collect_list(F.struct("at", "out"))).alias("outs"))
-    texts = materialize(matches.select("digest", "pos", "found", F.array_join(F.transform("outs", lambda x: x["out"]), "").alias("out"))
+        "digest", "pos", "part", "found", "at", render(F.col("kind"), F.col("raw"), F.col("core")).alias("out")))
+    matches = written.groupBy("digest", "pos").agg(F.array_sort(F.collect_list(F.struct("part", "at", "found", "out"))).alias("outs"))
+    told = F.transform(F.filter("outs", lambda x: (x["at"] == 0) & x["found"].isNotNull()), lambda x: x["found"])
+    texts = materialize(matches.select("digest", "pos", told.alias("found"), F.array_join(F.transform("outs", lambda x: x["out"]), "").alias("out"))
                         .groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("pos", "found", "out"))).alias("list"))
                         .select("digest", F.transform("list", lambda x: x["out"]).alias("outs"),
-                                F.filter(F.transform("list", lambda x: x["found"]), lambda k: k.isNotNull()).alias("kinds")))
+                                F.flatten(F.transform("list", lambda x: x["found"])).alias("kinds")))
     pieces = F.split("text", ANY, -1)
     told = (rows.filter(has).withColumn("digest", digest).join(texts, "digest")
             .select("doc_id", F.size("kinds").cast("bigint").alias("n_entities"), F.array_join("kinds", ",").alias("kinds"),

@@ -13,6 +13,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest import TEXTS
+from pyspark.sql import functions as F
 
 from sondage.llm import bpe, langid, lm, mixing, pii, quality, secret_scan
 from sondage.llm.queries import tokenizer_path
@@ -330,6 +331,35 @@ def test_surrogates(spark, docs, none):
     assert pii.replace(none, "k").count() == 0
 
 
+def test_no_number_hides_another(spark):
+    card, grouped, ssn, phone = "4337166598464399", "4337 1665 9846 4399", "123-45-6789", "555-123-4567"
+    cases = [(f"{ssn} 2024", [ssn], "ssn"), (f"{card} 12", [card], "card"), (f"12 {card}", [card], "card"), (f"{card} 7 items", [card], "card"),
+             (f"{ssn} 987-65-4321", [ssn, "987-65-4321"], "ssn,ssn"), (f"{phone} 2024", [phone], "phone"), (f"1234567 {ssn} 12", [ssn], "ssn"),
+             (f"1234 {grouped} 123", [grouped], "card"), (f"{card} {phone} 77 {ssn}", [card, phone, ssn], "card,phone,ssn"),
+             (f"{card} 42.144.35.254", [card, "42.144.35.254"], "card,ip"), ("3782 822463 10005 7", ["3782 822463 10005"], "card"),
+             (f"{card} 17@mail8.example.com", [card, "17@mail8"], "card,email"), ("43371665-9846 4399", ["43371665-9846 4399"], "card"),
+             (f"{card}  {card}", [card], "card,card"), ("1234567 12345678 99", [], ""), (f"{card} 555.123.4567", [card, "555.123.4567"], "card,phone"),
+             (f"{card}.Next {card}% {card}+ {card}@ {card}.5", [card], "card,card,card,card,card"),
+             (f"{card} 17.a@mail8.example.com", [card, "17.a@mail8"], "card,email"), (" ".join(["12", "345"] * 3000), [], None)]
+    got = {r["doc_id"]: r for r in pii.replace(spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "doc_id long, text string"), "k").collect()}
+    for i, (text, leaks, kinds) in enumerate(cases):
+        assert kinds is None or got[i]["kinds"] == kinds, (text, got[i])
+        assert not any(x in got[i]["text"] for x in leaks), (text, got[i])
+        assert kinds is None or re.sub(r"\d", "0", text) == re.sub(r"\d", "0", got[i]["text"]) or "@" in text or "ip" in kinds
+        assert got[i]["n_entities"] == len([k for k in got[i]["kinds"].split(",") if k])
+
+
+def test_short_patterns_do_not_run_out(spark):
+    names = [("email", f"{c}@{h}.com") for c in "abcdefghijklmnopqrstuvwxyz" for h in "abcd"] + [("phone", f"{i:02d}") for i in range(100)]
+    got = pii.surrogates(spark.createDataFrame(names, "kind string, norm string"), "k").collect()
+    assert len(got) == len(names) == len({(r["kind"], r["core"]) for r in got})
+    assert not {(r["kind"], r["core"]) for r in got} & set(names)
+    grown = spark.createDataFrame([("phone", "+12 345", "987651"), ("phone", "+1 988-555-2485", "2345678901")], "kind string, raw string, core string")
+    assert [r[0] for r in grown.select(pii.render(F.col("kind"), F.col("raw"), F.col("core"))).collect()] == ["+98 7651", "+1 234-567-8901"]
+    draws = spark.range(64).select(pii.candidate("k", F.lit("m_latin"), F.lit("x"), F.col("id").cast("int")).alias("c")).collect()
+    assert len(draws[63]["c"]) > len(draws[40]["c"]) > len(draws[10]["c"])
+
+
 def test_surrogates_stay_distinct(spark):
     names = [("m_latin", f"name{i}") for i in range(60)] + [("ssn", f"{i:09d}") for i in range(300)] + [("m_latin", "james")]
     got = pii.surrogates(spark.createDataFrame(names, "kind string, norm string"), "k").collect()
