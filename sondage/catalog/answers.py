@@ -21,18 +21,19 @@ PART_TARGETS = ("small", "red", "ECONOMY", "LARGE")
 
 def rated_orders(spark, d):
     return table(spark, d, "orders").select(
-        "o_orderkey", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority")).alias("answer"),
+        "o_orderkey", F.when(F.col("o_orderkey") % 97 == 0, F.lit("99999999999 - beyond an int"))
+        .when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority")).alias("answer"),
         F.when(F.col("o_orderkey") % 5 != 0, F.concat("o_orderstatus", "o_orderpriority"))
         .otherwise(F.col("o_orderpriority")).alias("other"))
 
 
-SQL_RATED = ("r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS answer, "
+SQL_RATED = ("r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN '99999999999 - beyond an int' WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS answer, "
              "CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus || o_orderpriority ELSE o_orderpriority END AS other "
              "FROM orders)")
 
 
 def sql_rating(c: str) -> str:
-    return f"TRY_CAST(nullif(regexp_extract({c}, '^(\\d+)', 1), '') AS INTEGER)"
+    return f"TRY_CAST(nullif(regexp_extract({c}, '^(\\d+)', 1), '') AS BIGINT)"
 
 
 def sql_mode(c: str, rows: str) -> str:
@@ -59,7 +60,7 @@ def rating_default3(spark, d):
        f"UNION ALL SELECT 'other', {sql_mode('other', 'r')}")
 def rating_mode(spark, d):
     modes = answers.rating_modes(rated_orders(spark, d), ["answer", "other"])
-    return spark.createDataFrame(list(modes.items()), "question string, mode int")
+    return spark.createDataFrame(list(modes.items()), "question string, mode bigint")
 
 
 @query(f"WITH {SQL_RATED} SELECT o_orderkey, coalesce({sql_rating('answer')}, {sql_mode('answer', 'r')}) AS answer, "

@@ -12,11 +12,10 @@ from .text import _col
 
 
 def rating(c: str | Column, default: int | None = None) -> Column:
-    """Integer at the very start of the cell, or ``default``; digits beyond an int saturate."""
+    """Whole number (bigint) at the very start of the cell, or ``default``; one that no bigint holds is missing."""
     digits = F.regexp_extract(_col(c).cast("string"), r"^(\p{Nd}+)", 1)
-    value = F.nullif(digits, F.lit("")).try_cast("int")
-    value = F.when((value.isNull()) & (F.length(digits) > 9) & digits.rlike("^[0-9]+$"), F.lit(2**31 - 1)).otherwise(value)
-    return value if default is None else F.coalesce(value, F.lit(default))
+    value = F.nullif(digits, F.lit("")).try_cast("bigint")
+    return value if default is None else F.coalesce(value, F.lit(default).cast("bigint"))
 
 
 def rating_or_middle(c: str | Column) -> Column:

@@ -45,7 +45,8 @@ def term_cells(text_cols: Sequence[str], words: Callable[[str], Column]) -> Colu
 
 def unfolded(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The term table of rows that hold ``row_id`` and their cells."""
-    return (df.select("row_id", *keep, F.explode(CELLS).alias("cell"))
+    # The plain explode would compute the cells twice, first to skip rows without any.
+    return (df.select("row_id", *keep, F.explode_outer(CELLS).alias("cell"))
             .select("row_id", *keep, "cell.col", "cell.ordinal", F.inline("cell.terms")))
 
 

@@ -61,7 +61,8 @@ def test_log_length(spark):
 
 def test_rating(spark):
     rows = ["3 - Sometimes", "10x", "4.0", " 3", "n/a", None, "-2", "99999999999"]
-    assert column(spark, rows, rt.rating) == [3, 10, 4, None, None, None, None, None]
+    assert column(spark, rows, rt.rating) == [3, 10, 4, None, None, None, None, 99999999999]
+    assert column(spark, ["9" * 18, "9" * 30], rt.rating) == [10**18 - 1, None]
     assert column(spark, rows[:6], rt.rating_or_middle) == [3, 10, 4, 3, 3, 3]
 
 
