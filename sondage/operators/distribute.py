@@ -5,6 +5,7 @@
 * ``first_ranked``   the first rows of an order with their rank
 * ``lookup_join``    join with a fitted table: broadcast only under a checked
                      size, otherwise a shuffle join with salted hot keys
+* ``order_cutoffs``  exact order statistics of a key, by quantile sketches
 * ``hash_cutoffs``   exact order statistics of a hash, by histogram
 """
 
@@ -19,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 500_000
 ROWS_PER_SALT = 2_000_000
 TOP_AT_ONCE = 5_000
+MERGED_AT_ONCE = 200_000
+SAMPLED_OF_HOT = 200
 BUCKET_DIGITS = 4
 _ROW_BITS = 33
 NULL_KEY = "\x00null"
@@ -126,10 +128,13 @@ def first_ranked(df: DataFrame, order: Sequence[Column], k: int, name: str = "id
                  at_once: int = TOP_AT_ONCE) -> DataFrame:
     """The first ``k`` rows in ascending ``order`` with their 0-based rank.
 
-    Up to ``at_once`` rows are merged from the best of each partition; more are
-    ranked by the parallel sort of ``dense_index``."""
+    Of a large table only the rows up to the k-th move, as found by rank selection on one key
+    after the other; up to ``at_once`` of them are ranked together, more by the parallel sort of
+    ``dense_index``."""
     keys = [f"_o{i}" for i in range(len(order))]
-    keyed = df.withColumns(dict(zip(keys, order)))
+    keyed = materialize(df.withColumns(dict(zip(keys, order))))
+    if keyed.count() > max(k, MERGED_AT_ONCE):
+        keyed = up_to_rank(keyed, keys, k)
     if k > at_once:
         return dense_index(keyed, keys, name=name).filter(F.col(name) < k).drop(*keys)
     rank = Window.partitionBy(F.lit(0)).orderBy(*keys)  # k rows
@@ -137,6 +142,26 @@ def first_ranked(df: DataFrame, order: Sequence[Column], k: int, name: str = "id
     return pin(best.withColumn(name, F.row_number().over(rank).cast("long") - 1).drop(*keys))
 
 
+def up_to_rank(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+    """The rows of a written table up to the k-th in the order of ``keys``, and those equal to it in all keys
+    that can be selected on (not structs, and not from the first key with nulls on)."""
+    taken, inside, need = F.lit(False), F.lit(True), k
+    for key in keys:
+        part = df.filter(inside)
+        if not selectable(df, key) or part.filter(F.col(key).isNull()).limit(1).count():
+            break
+        at = order_cutoffs(part, key, [need])
+        if need not in at:
+            break  # there are no more rows than wanted
+        cut = F.lit(at[need]).cast(df.schema[key].dataType)
+        counts = part.agg(F.count(F.when(F.col(key) < cut, True)).alias("below"), F.count(F.when(F.col(key) <= cut, True)).alias("upto")).first()
+        taken = taken | (inside & (F.col(key) < cut))
+        inside, need = inside & (F.col(key) == cut), need - counts["below"]
+        if counts["upto"] - counts["below"] <= need:
+            break
+    return df.filter(taken | inside)
+
+
 def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], spread: str,
                 how: str = "inner",
                 limit_bytes: int = BROADCAST_BYTES, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
@@ -144,19 +169,15 @@ def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], spread: s
 
     A table within ``limit_bytes`` is broadcast. A larger one is shuffled; keys
     with more than ``rows_per_salt`` fact rows are spread over several tasks by
-    a salt taken from column ``spread``. The rows per key are counted in the facts
-    at hand: those that the table was fitted on may be others, and far fewer. At
-    most ``HOT_KEYS`` keys can hold more than one part in ``HOT_KEYS`` of all rows,
-    which bounds the broadcast list of hot keys at a few tens of megabytes.
+    a salt taken from column ``spread``. Which keys these are is told by the facts
+    at hand (``hot_keys``): those that the table was fitted on may be others, and far fewer.
     """
     on = list(on)
     if table_bytes(table) <= limit_bytes:
         return facts.join(F.broadcast(table), on, how)
-    sizes = materialize(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")))
-    total = sizes.agg(F.sum("_rows").alias("n")).first()["n"] or 0
-    hot = sizes.filter(F.col("_rows") > max(rows_per_salt, total // HOT_KEYS)).select(
-        *on, F.ceil(F.col("_rows") / F.lit(float(rows_per_salt))).cast("int").alias("_salts"))
-    hot = F.broadcast(pin(hot))
+    hot = hot_keys(facts, on, rows_per_salt)
+    if table_bytes(hot) <= BROADCAST_BYTES:
+        hot = F.broadcast(hot)
     salt = F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int")
     salted_facts = facts.join(hot, on, "left").withColumn("_salt", F.coalesce(salt, F.lit(0)))
     copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
@@ -164,46 +185,114 @@ def lookup_join(facts: DataFrame, table: DataFrame, on: Sequence[str], spread: s
     return salted_facts.drop("_salts").join(salted_table.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
+def hot_keys(facts: DataFrame, on: Sequence[str], rows_per_salt: int) -> DataFrame:
+    """``*on, _salts`` of every key with more than ``rows_per_salt`` rows, and how many tasks it is spread over.
+
+    Rows are drawn at a rate at which such a key has ``SAMPLED_OF_HOT`` of them, whatever the total, and counted before
+    they move. A key with half of the wanted number is taken as hot: that a key of ``rows_per_salt`` rows
+    falls short of it has a probability below 1e-14, and a salted key that did not need it costs a few copies."""
+    every = max(1, rows_per_salt // SAMPLED_OF_HOT)
+    drawn = facts.select(*on) if every == 1 else facts.select(*on).sample(False, 1.0 / every, seed=7)
+    counts = drawn.groupBy(*on).agg((F.count(F.lit(1)) * every).alias("_rows"))
+    least = rows_per_salt if every == 1 else rows_per_salt / 2
+    return materialize(counts.filter(F.col("_rows") > least).select(
+        *on, F.ceil(F.col("_rows") / F.lit(float(rows_per_salt))).cast("int").alias("_salts")))
+
+
 def hash_order(key: str, seed: int | str) -> Column:
     """Hex digest that orders rows like a seeded shuffle of their keys; null is a key of its own."""
     text = F.col(key).cast("string")
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(text, F.lit(NULL_KEY))))
 
 
-def order_cutoffs(df: DataFrame, key: str, ranks: Sequence[int], at_once: int = 100_000, width: int = 64) -> dict:
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_PREFIX = 7  # bytes of a string that a bigint holds in order
+
+
+def selectable(df: DataFrame, key: str) -> bool:
+    """Whether ``order_cutoffs`` can select on the type of a column."""
+    return isinstance(df.schema[key].dataType, (*_WHOLE, T.FloatType, T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.StringType))
+
+
+def _projected(kind: T.DataType, depth: int) -> tuple[Column, str]:
+    """A number that never falls as the key ``k`` rises, and the sketch that takes it."""
+    if isinstance(kind, _WHOLE):
+        return F.col("k").cast("bigint"), "bigint"
+    if isinstance(kind, T.DateType):
+        return F.unix_date("k").cast("bigint"), "bigint"
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros("k"), "bigint"
+    if isinstance(kind, T.StringType):
+        part = F.substring(F.col("k").cast("binary"), 1 + depth * _PREFIX, _PREFIX)
+        return F.conv(F.rpad(F.hex(part), 2 * _PREFIX, "0"), 16, 10).cast("bigint"), "bigint"
+    return F.col("k").cast("double"), "double"
+
+
+def _brackets(part: DataFrame, p: Column, sketch: str, shares: Sequence[float], width: int) -> list[tuple]:
+    """For each share of the rows two marks around it, with the rows below the first and up to the second; the marks are
+    one if that cuts more.
+
+    One mergeable sketch and one count; the sketches of many tasks are merged in two steps."""
+    tools = {n: getattr(F, f"kll_{n}_{sketch}") for n in ("sketch_agg", "merge_agg", "sketch_get_quantile")}
+    size = F.lit(min(max(8 * width, 200), 65535))
+    first = part.groupBy(F.pmod(F.spark_partition_id(), F.lit(64)).alias("g")).agg(tools["sketch_agg"](p, size).alias("s"))
+    asked = [x for share in shares for x in (max(0.0, share - 1.0 / width), share, min(1.0, share + 1.0 / width))]
+    merged = first.agg(tools["merge_agg"]("s", size).alias("s"))
+    marks = list(merged.select(*[tools["sketch_get_quantile"](F.col("s"), F.lit(x)).alias(f"q{i}") for i, x in enumerate(asked)]).first())
+    counts = part.agg(*[F.count(F.when(p < F.lit(m), True)).alias(f"b{i}") for i, m in enumerate(marks)],
+                      *[F.count(F.when(p <= F.lit(m), True)).alias(f"u{i}") for i, m in enumerate(marks)], F.count(F.lit(1)).alias("all")).first()
+    every, out = counts["all"], []
+    for i in range(0, len(marks), 3):
+        wide = (marks[i], marks[i + 2], counts[f"b{i}"], counts[f"u{i + 2}"])
+        narrow = (marks[i + 1], marks[i + 1], counts[f"b{i + 1}"], counts[f"u{i + 1}"])
+        out.append(wide if wide[3] - wide[2] <= every // 2 else narrow)
+    return out
+
+
+def order_cutoffs(df: DataFrame, key: str, ranks: Sequence[int], at_once: int = 100_000, width: int = 512) -> dict:
     """Keys at given 1-based ranks of the order of ``key``, exactly; ranks past the end are left out.
 
-    The range that holds a rank is narrowed by counting its rows below ``width`` of its own keys, until it
-    has at most ``at_once`` rows, which are then ordered. Nothing else is sorted or shuffled: each pass is
-    one aggregation of a few counters."""
+    A quantile sketch brackets each rank within about ``2 / width`` of the rows, one pass counts the rows below and up to the
+    bracket, and once at most ``at_once`` rows are left in it these are ordered; in between, the bracket is sketched again.
+    The passes before that sort move a sketch and a few counters per task, and no keys."""
+    kind = df.schema[key].dataType
     keys = df.select(F.col(key).alias("k")).filter("k IS NOT NULL")
-    n = keys.count()
-    found = {}
-    for rank in sorted({r for r in ranks if 1 <= r <= n}):
-        low, high, before, size = None, None, 0, n
-        while rank not in found:
-            part = keys
-            if low is not None:
-                part = part.filter(F.col("k") > F.lit(low))
-            if high is not None:
-                part = part.filter(F.col("k") <= F.lit(high))
+    n, found = keys.count(), {}
+    if isinstance(kind, (T.FloatType, T.DoubleType)):  # not a number comes last and is in no sketch
+        keys = keys.filter(~F.isnan("k"))
+        numbers = keys.count()
+        found = {r: float("nan") for r in ranks if numbers < r <= n}
+        n = numbers
+    asked = sorted({r for r in ranks if 1 <= r <= n})
+    if not asked:
+        return found
+    p, sketch = _projected(kind, 0)
+    first = _brackets(keys, p, sketch, [r / n for r in asked], width) if n > at_once else [None] * len(asked)
+    for rank, bracket in zip(asked, first):
+        part, size, want, depth = keys, n, rank, 0
+        while True:
             if size <= at_once:
-                found[rank] = part.orderBy("k").limit(rank - before).agg(F.max("k").alias("k")).first()["k"]
-                break
-            picked = part.select("k", F.xxhash64("k").alias("h")).distinct().orderBy("h", "k").limit(width).collect()
-            marks = sorted({r["k"] for r in picked})
-            counts = part.agg(*[F.count(F.when(F.col("k") <= F.lit(m), True)).alias(f"c{i}") for i, m in enumerate(marks)]).first()
-            below = [before + c for c in counts]
-            at = next((i for i, c in enumerate(below) if c >= rank), len(marks))
-            if len(marks) == 1 and at == 0 and part.agg(F.min("k").alias("k")).first()["k"] == marks[0]:
-                found[rank] = marks[0]  # all that is left are copies of one key
+                found[rank] = part.orderBy("k").limit(want).agg(F.max("k").alias("k")).first()["k"]
                 break
-            end = below[at] if at < len(marks) else before + size
-            if at < len(marks):
-                high = marks[at]
-            if at > 0:
-                low, before = marks[at - 1], below[at - 1]
-            size = end - before
+            p, sketch = _projected(kind, depth)
+            lo, hi, below, upto = bracket or _brackets(part, p, sketch, [want / size], width)[0]
+            bracket = None
+            if want <= below:
+                part, size = part.filter(p < F.lit(lo)), below
+            elif want > upto:
+                part, size, want = part.filter(~(p <= F.lit(hi))), size - upto, want - upto
+            else:
+                part, size, want = part.filter((p >= F.lit(lo)) & (p <= F.lit(hi))), upto - below, want - below
+                if lo == hi:
+                    ends = part.agg(F.min("k").alias("a"), F.max("k").alias("b"), F.max(F.octet_length(F.col("k").cast("string"))).alias("bytes")).first()
+                    if ends["a"] == ends["b"]:
+                        found[rank] = ends["a"]
+                        break
+                    if not isinstance(kind, T.StringType) or (depth + 1) * _PREFIX >= ends["bytes"]:
+                        # One double for several decimals, or strings that differ by closing zero bytes.
+                        found[rank] = part.orderBy("k").limit(want).agg(F.max("k").alias("k")).first()["k"]
+                        break
+                    depth += 1
     return found
 
 
