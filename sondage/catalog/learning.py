@@ -10,7 +10,7 @@ from ..operators.distribute import materialize
 from ..plans import layouts, predict, reports
 from ..plans.pipeline import FeaturePipeline, pooled_layout
 from ..sources import artifacts, survey
-from .layouts import COLUMNS, RULES, SQL_DOCUMENTS, SQL_SELECTED, responses, selected
+from .layouts import COLUMNS, RULES, SQL_DOCUMENTS, SQL_POOLED, SQL_SELECTED, _pooled, responses, selected
 from .registry import query, scratch, sql_tokens, table
 from .text import two_text_columns
 
@@ -37,7 +37,7 @@ SQL_NEIGHBOURS = (
     "FROM e q, e r WHERE NOT q.train AND r.train QUALIFY rk <= 30)")
 
 
-def sql_vote(k: int, weights: str) -> str:
+def sql_vote(k: int | str, weights: str) -> str:
     w = "1.0e0" if weights == "uniform" else ("CASE WHEN min(dist) OVER (PARTITION BY vec_id) = 0 "
                                               "THEN CAST(dist = 0 AS DOUBLE) ELSE 1.0e0 / dist END")
     return (f"(SELECT vec_id, y, label AS p FROM (SELECT vec_id, y, label, round(sum(w), 9) AS w FROM "
@@ -100,6 +100,33 @@ def knn_committee(spark, d):
     return found.select("vec_id", F.inline(bags))
 
 
+def _sql_standard(name: str, fitted_on: str) -> str:
+    return (f"m{name} AS (SELECT i, avg(v) AS m, stddev_pop(v) AS s FROM x WHERE {fitted_on} GROUP BY i), "
+            f"z{name} AS (SELECT vec_id, label, split, list((v - m) / CASE WHEN s > 0 THEN s ELSE 1 END ORDER BY i) AS z "
+            f"FROM x JOIN m{name} USING (i) GROUP BY vec_id, label, split)")
+
+
+def _sql_near(name: str, z: str, queries: str, refs: str) -> str:
+    return (f"{name} AS (SELECT q.vec_id, q.label AS y, r.vec_id AS ref_id, r.label AS label, list_distance(q.z, r.z) AS dist, "
+            f"row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.z, r.z), r.vec_id) AS rk "
+            f"FROM {z} q, {z} r WHERE q.{queries} AND r.{refs} QUALIFY rk <= 30)")
+
+
+@query("WITH e AS (SELECT vec_id, label, embedding, row_number() OVER (ORDER BY md5('42:' || vec_id)) AS rn, count(*) OVER () AS n "
+       "FROM embeddings), x AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i, "
+       "CASE WHEN rn <= floor(n * 0.7e0) THEN 'train' WHEN rn <= floor(n * 0.7e0) + floor(n * 0.15e0) THEN 'val' ELSE 'test' END AS split "
+       f"FROM e), {_sql_standard('1', 'split = ' + repr('train'))}, {_sql_near('nb', 'z1', 'split = ' + repr('val'), 'split = ' + repr('train'))}, "
+       f"sweep AS ({_sql_sweep()}), best AS (SELECT k, accuracy FROM sweep ORDER BY accuracy DESC, position LIMIT 1), "
+       f"{_sql_standard('2', 'split <> ' + repr('test'))}, {_sql_near('nb2', 'z2', 'split = ' + repr('test'), 'split <> ' + repr('test'))} "
+       "SELECT k, accuracy AS val_accuracy, (SELECT round(avg(CAST(y = p AS DOUBLE)), 6) FROM "
+       + sql_vote("(SELECT k FROM best)", "distance").replace("FROM nb", "FROM nb2") + ") AS test_accuracy FROM best")
+def knn_tuned(spark, d):
+    """The line of the tuning report for neighbours: best k on the validation rows, scored on the test rows."""
+    k, val, voted = reports.tuned_neighbours(_vectors(spark, d), "vec_id", "embedding", "label")
+    return metrics.accuracy(voted, "y", "p").select(F.lit(k).alias("k"), F.round(F.lit(val), 6).alias("val_accuracy"),
+                                                    F.round("accuracy", 6).alias("test_accuracy"))
+
+
 # --- evaluation of the three-neighbour vote -----------------------------------------------
 
 _P = f"{SQL_NEIGHBOURS}, pr AS (SELECT CAST(y AS VARCHAR) AS y, CAST(p AS VARCHAR) AS p FROM {sql_vote(3, 'uniform')})"
@@ -256,11 +283,11 @@ def nb_saved(spark, d):
 FOREST_CLASSES = ("a", "b", "c")
 
 
-def forest_rows(n_trees: int = 7, n_features: int = 64) -> list[tuple]:
+def forest_rows(n_trees: int = 7, n_features: int = 64, step: int = 5) -> list[tuple]:
     """Trees of depth two by rule: node tables as an exporter would write them."""
     rows = []
     for t in range(n_trees):
-        f = 5 * t
+        f = step * t
         def leaf(i, t=t):
             w = [0.0, 0.0, 0.0]
             w[(t + i) % 3] = 3.0
@@ -274,14 +301,14 @@ def forest_rows(n_trees: int = 7, n_features: int = 64) -> list[tuple]:
     return rows
 
 
-def _sql_share(c: int) -> str:
-    nodes = {(r[0], r[1]): r for r in forest_rows()}
+def _sql_share(c: int, rows: list[tuple] | None = None, name=lambda f: f"v[{f + 1}]") -> str:
+    nodes = {(r[0], r[1]): r for r in rows or forest_rows()}
 
     def walk(t, i):
         _, _, left, right, f, thr, value = nodes[t, i]
         if left < 0:
             return f"{value[c] / sum(value)}e0"
-        return f"CASE WHEN v[{f + 1}] <= {thr}e0 THEN {walk(t, left)} ELSE {walk(t, right)} END"
+        return f"CASE WHEN {name(f)} <= {thr}e0 THEN {walk(t, left)} ELSE {walk(t, right)} END"
     n = len({t for t, _ in nodes})
     return "(" + " + ".join(walk(t, 0) for t in range(n)) + f") / {n}.0e0"
 
@@ -302,6 +329,51 @@ def forest_score(spark, d):
                                      for i, c in enumerate(FOREST_CLASSES)], "prediction")
 
 
+_WIDE_FOREST = forest_rows(11, 218, 23)
+_ASKED = sorted({r[4] for r in _WIDE_FOREST if r[2] >= 0})
+
+
+@query(f"WITH {SQL_POOLED}, w AS (SELECT s.doc_id, " + ", ".join(
+       f"coalesce(max(value) FILTER (idx = {f}), 0) AS f{f}" for f in _ASKED) + " FROM s LEFT JOIN feats USING (doc_id) GROUP BY s.doc_id), "
+       "p AS (SELECT doc_id, " + ", ".join(f"{_sql_share(c, _WIDE_FOREST, lambda f: f'f{f}')} AS {n}" for c, n in enumerate("abc")) + " FROM w) "
+       "SELECT doc_id, round(a, 6) AS a, round(b, 6) AS b, round(c, 6) AS c, "
+       "CASE WHEN a >= b AND a >= c THEN 'a' WHEN b >= c THEN 'b' ELSE 'c' END AS prediction FROM p")
+def forest_score_sparse(spark, d):
+    """A given forest walked over the sparse features of the pooled layout, as batch prediction does."""
+    rows, model = _pooled(spark, d)
+    nodes = spark.createDataFrame(_WIDE_FOREST, "tree_id int, node_id int, left int, right int, feature int, "
+                                  "threshold double, value array<double>")
+    scored = forests.score_sparse(rows.select(F.col("doc_id").alias("row_id")), model.transform(rows), nodes, FOREST_CLASSES)
+    return scored.select(F.col("row_id").alias("doc_id"), *[F.round(F.get("probability", F.lit(i)), 6).alias(c)
+                                                            for i, c in enumerate(FOREST_CLASSES)], "prediction")
+
+
+# --- saved layers -------------------------------------------------------------------------
+
+def layer_rows(sizes: tuple[int, ...] = (64, 6, 3)) -> list[tuple]:
+    """Weights by rule, a row per input: layers as they are saved."""
+    return [(n + 1, [[((7 * i + 3 * j + n) % 11 - 5) / 10 for j in range(b)] for i in range(a)], [((5 * j + n) % 7 - 3) / 20 for j in range(b)])
+            for n, (a, b) in enumerate(zip(sizes, sizes[1:]))]
+
+
+def _sql_layer(row: tuple, inputs: str) -> list[str]:
+    _, w, b = row
+    return [f"list_dot_product({inputs}, [{', '.join(f'{r[j]}e0' for r in w)}]) + {b[j]}e0" for j in range(len(b))]
+
+
+@query("WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), h AS (SELECT vec_id, ["
+       + ", ".join(f"greatest({u}, 0)" for u in _sql_layer(layer_rows()[0], "v")) + "] AS h FROM e), o AS (SELECT vec_id, "
+       + ", ".join(f"{u} AS o{i}" for i, u in enumerate(_sql_layer(layer_rows()[1], "h"))) + " FROM h) "
+       "SELECT vec_id, " + ", ".join(f"round(exp(o{i}) / (exp(o0) + exp(o1) + exp(o2)), 6) AS p{i}" for i in range(3))
+       + ", CASE WHEN o0 >= o1 AND o0 >= o2 THEN 0 WHEN o1 >= o2 THEN 1 ELSE 2 END AS prediction FROM o")
+def mlp_score(spark, d):
+    """Saved layers, read back and applied with rectified units."""
+    path = scratch(spark)
+    artifacts.save_table(spark.createDataFrame(layer_rows(), "layer int, w array<array<double>>, b array<double>"), path)
+    scored = models.score_layers(table(spark, d, "embeddings"), artifacts.load_table(spark, path), "embedding", "relu")
+    return scored.select("vec_id", *[F.round(F.get("probability", F.lit(i)), 6).alias(f"p{i}") for i in range(3)], "prediction")
+
+
 # --- fitted models ------------------------------------------------------------------------
 
 DIGITS = [str(i) for i in range(10)]
@@ -381,36 +453,44 @@ def mlp_curve(spark, d):
 
 @query()
 def rf_grid(spark, d):
-    """Two of five sizes and two of four depths; the defaults of ``forest_sweep`` are all of them (some minutes)."""
+    """All five sizes and four depths: a fit per depth."""
     train, val, _ = _parts(spark, d)
-    return models.forest_sweep(train, val, sizes=(10, 20), depths=(5, 8))
+    return models.forest_sweep(train, val)
 
 
 @query()
 def rf_cv(spark, d):
-    """Two settings of the grid; the default of ``forest_cross_validation`` has a hundred, the study's two minimum
-    sizes for a split having no counterpart in Spark. All of them would be five hundred fits."""
+    """The grid of a hundred settings (the study's two minimum sizes for a split have no counterpart in Spark): 20 fits."""
     folds = splits.kfold_stratified(table(spark, d, "embeddings"), "vec_id", "label")
     data = reports.ml_rows(folds, "embedding", "label", DIGITS, ["fold"]).persist()
-    _, out = models.forest_cross_validation(data, trees=(10,), depths=(5,), min_leaf=(1, 4))
-    return out
+    return models.forest_cross_validation(data)[1]
 
 
 @query()
 def rf_tuned(spark, d):
-    """Grid search on the training rows, scored on the validation rows; two settings of the default grid."""
+    """Grid search on the training rows, scored on the validation rows; of the grid one smallest part (25 settings)."""
     vectors = _vectors(spark, d)
     train = splits.kfold_stratified(vectors.filter("split = 'train'"), "vec_id", "label")
     score, setting, val = reports.tuned_forest(
         reports.ml_rows(train, "embedding", "label", DIGITS, ["fold"]).persist(),
         reports.ml_rows(vectors.filter("split = 'val'"), "embedding", "label", DIGITS), DIGITS,
-        trees=(10,), depths=(5, 8), min_leaf=(2,))
+        min_leaf=(2,))
     row = (float(score), setting["trees"], setting["depth"], setting["min_leaf"],
            float(val["accuracy"]), float(val["f1_macro"]), float(val["f1_weighted"]))
     return spark.createDataFrame([row], "cv_accuracy double, trees int, depth int, min_leaf int, "
                                  "val_accuracy double, val_f1_macro double, val_f1_weighted double")
 
 
+@query()
+def knn_approximate(spark, d):
+    """Ten neighbours by random-projection tables; the tests measure the recall."""
+    e = vector_split(spark, d)
+    found = neighbours.nearest_approximate(e.filter("split = 'test'"), e.filter("split = 'train'"), 10, query_id="vec_id", ref_id="vec_id",
+                                           vec="embedding", label="label")
+    return found.select(F.col("query_id").alias("vec_id"), neighbours.vote("neighbours", 5).alias("p"),
+                        F.transform("neighbours", lambda n: n["ref_id"]).alias("found"))
+
+
 @query()
 def rf_errors(spark, d):
     """Most frequent mistakes of the forest on the test rows."""
@@ -424,10 +504,8 @@ def model_compare(spark, d):
 
 
 def _report(spark, d):
-    """Two of six strengths, two of five sizes and one of four depths: ``logreg_sweep`` has all
-    strengths."""
-    return reports.full_report(_vectors(spark, d), "vec_id", "embedding", "label", DIGITS,
-                               strengths=(0.1, 1.0), sizes=(10, 20), depths=(5,))
+    """All strengths, sizes, depths and neighbour counts."""
+    return reports.full_report(_vectors(spark, d), "vec_id", "embedding", "label", DIGITS)
 
 
 @query()
@@ -443,11 +521,10 @@ def tune_report_best(spark, d):
 
 @query()
 def vocab_size_sweep(spark, d):
-    """Three of the seven sizes with one setting each; the defaults are all sizes and the whole grid."""
-    rows = records.drop_unlabelled(responses(spark, d)).persist()
+    """All seven sizes, of the grid one smallest part and forests of up to 50 trees and depth 10 (5 fits a size)."""
+    rows = records.drop_unlabelled(responses(spark, d))
     plan = FeaturePipeline(pooled_layout("doc_id", *COLUMNS, **RULES))
-    return reports.vocabulary_size_sweep(rows, plan, "label", ["0", "1"], sizes=(80, 100, 120),
-                                         trees=(10,), depths=(5,), min_leaf=(1,))
+    return reports.vocabulary_size_sweep(rows, plan, "label", ["0", "1"], trees=(10, 50), depths=(5, 10), min_leaf=(1,))
 
 
 @query()

@@ -8,18 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
-    LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+    LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassificationModel, RandomForestClassifier)
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.fixed import CV_DEPTHS, CV_MIN_LEAF, CV_TREES, FOREST_DEPTHS, FOREST_SIZES, RIDGE_STRENGTHS
-from . import metrics
+from . import forest as forests, metrics
+from .distribute import materialize, shared_folder
 
 MOST_DEPTH = 30
+LAYER_BYTES = 64 * 1024 * 1024
 COLUMNS = {"featuresCol": "features", "labelCol": "label_idx"}
 
 
@@ -68,29 +74,61 @@ def ridge_sweep(train: DataFrame, val: DataFrame, strengths: Sequence[float] = R
 
 def forest_sweep(train: DataFrame, val: DataFrame, sizes: Sequence[int] = FOREST_SIZES,
                  depths: Sequence[int] = FOREST_DEPTHS, seed: int = 311) -> DataFrame:
-    """Train and validation accuracy per (trees, depth)."""
-    out = []
-    for i, (n, d) in enumerate(product(sizes, depths)):
-        model = forest(n, d, 1, seed).fit(train)
-        out.append((i, n, d, accuracy(model, train), accuracy(model, val)))
+    """Train and validation accuracy per (trees, depth).
+
+    One forest of the largest size is grown per depth; the smaller ones are its first trees, and one walk through
+    all of them scores every size."""
+    scores = {}
+    for d in dict.fromkeys(depths):
+        nodes = node_table(forest(max(sizes), d, 1, seed).fit(train))
+        scores[d] = [prefix_accuracies(rows, nodes, sizes) for rows in (train, val)]
+    out = [(i, n, d, *(scores[d][part][sizes.index(n)] for part in (0, 1))) for i, (n, d) in enumerate(product(sizes, depths))]
     return _rows(train, out, "position int, trees int, depth int, train_accuracy double, val_accuracy double")
 
 
+def node_table(model: RandomForestClassificationModel) -> DataFrame:
+    """Nodes of a fitted forest, written and read as its export does."""
+    spark = SparkSession.active()
+    path = shared_folder(spark)
+    model.write().overwrite().save(path)
+    return materialize(forests.nodes_of_model(spark, path))
+
+
+def prefix_accuracies(rows: DataFrame, nodes: DataFrame, sizes: Sequence[int], depths: Sequence[int] | None = None) -> list[float]:
+    """Accuracy of the first trees for every size, and with ``depths`` of the trees cut at each of them (depth by depth)."""
+    n_classes = len(nodes.select("value").first()["value"])
+    dense = rows.select("label_idx", vector_to_array("features").alias("x"))
+    scored = forests.score_prefixes(dense, nodes, n_classes, "x", sizes, depths)
+    blocks = len(sizes) * (len(depths) if depths else 1)
+    hits = [F.avg((F.get("predictions", F.lit(i)) == F.col("label_idx")).cast("double")).alias(f"a{i}") for i in range(blocks)]
+    return [float(a or 0.0) for a in scored.agg(*hits).first()]
+
+
 def forest_cross_validation(rows: DataFrame, fold: str = "fold", n_folds: int = 5,
                             trees: Sequence[int] = CV_TREES, depths: Sequence[int] = CV_DEPTHS,
                             min_leaf: Sequence[int] = CV_MIN_LEAF, seed: int = 42,
-                            parallelism: int = 2) -> tuple[Model, DataFrame]:
-    """Mean accuracy over the given folds per setting, and the best one refitted."""
-    learner = forest(seed=seed)
-    grid = (ParamGridBuilder().addGrid(learner.maxDepth, list(depths))
-            .addGrid(learner.minInstancesPerNode, list(min_leaf)).addGrid(learner.numTrees, list(trees)).build())
-    search = CrossValidator(
-        estimator=learner, estimatorParamMaps=grid, numFolds=n_folds, foldCol=fold, parallelism=parallelism,
-        evaluator=MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy"))
-    fitted = search.fit(rows)
-    out = [(i, g[learner.numTrees], g[learner.maxDepth], g[learner.minInstancesPerNode], float(m))
-           for i, (g, m) in enumerate(zip(grid, fitted.avgMetrics))]
-    return fitted.bestModel, _rows(rows, out, "position int, trees int, depth int, min_leaf int, accuracy double")
+                            parallelism: int = 4) -> tuple[Model, DataFrame]:
+    """Mean accuracy over the given folds per setting, and the best one refitted (the first on ties).
+
+    A fold and a smallest part take one fit, of the most trees and the largest depth: smaller forests are its first trees,
+    shallower ones its trees cut at a depth, as a node keeps the class weights that a leaf in its place would have. So a
+    grid of 5 sizes, 5 depths and 4 smallest parts takes 20 fits over 5 folds, ``parallelism`` at a time."""
+    by_depth = sorted(set(depths))
+
+    def one(task: tuple[int, int]) -> tuple[tuple[int, int], list[float]]:
+        leaf, k = task
+        nodes = node_table(forest(max(trees), by_depth[-1], leaf, seed).fit(rows.filter(F.col(fold) != k)))
+        return task, prefix_accuracies(rows.filter(F.col(fold) == k), nodes, trees, by_depth)
+    tasks = [(leaf, k) for leaf in dict.fromkeys(min_leaf) for k in range(n_folds)]
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        found = dict(pool.map(inheritable_thread_target(rows.sparkSession)(one), tasks))
+    out = []
+    for i, (d, leaf, n) in enumerate(product(depths, min_leaf, trees)):
+        at = by_depth.index(d) * len(trees) + list(trees).index(n)
+        out.append((i, n, d, leaf, sum(found[leaf, k][at] for k in range(n_folds)) / n_folds))
+    best = max(out, key=lambda r: (r[-1], -r[0]))
+    model = forest(best[1], best[2], best[3], seed).fit(rows)
+    return model, _rows(rows, out, "position int, trees int, depth int, min_leaf int, accuracy double")
 
 
 def learning_curve(train: DataFrame, val: DataFrame, n_features: int, n_classes: int,
@@ -121,6 +159,38 @@ def layer_table(model: Model, df: DataFrame) -> DataFrame:
     return _rows(df, out, "layer int, w array<array<double>>, b array<double>")
 
 
+def score_layers(df: DataFrame, layers: DataFrame, features: str, hidden: str = "relu") -> DataFrame:
+    """Add ``probability`` (softmax of the last layer) and ``prediction`` (its first largest place) from saved layers.
+
+    ``layers`` is a table ``layer, w, b`` as ``layer_table`` gives it: ``w`` has a row per input. The layers between are followed
+    by ``hidden``: ``relu`` or ``sigmoid``. ``features`` is an ``array<double>`` column as wide as the first layer; a batch of
+    rows is one matrix product per layer. A null array gives null. The table must fit ``LAYER_BYTES``."""
+    if hidden not in ("relu", "sigmoid"):
+        raise ValueError(f"no hidden function {hidden!r}")
+    size = layers.agg(F.coalesce(F.sum(F.aggregate("w", F.lit(0).cast("bigint"), lambda a, r: a + F.size(r)) * 8), F.lit(0)).alias("bytes")).first()
+    if size["bytes"] > LAYER_BYTES:
+        raise ValueError(f"layers of more than {LAYER_BYTES} bytes cannot be broadcast")
+    held = [(np.array(r["w"], np.float64), np.array(r["b"], np.float64)) for r in layers.orderBy("layer").collect()]
+    shared = df.sparkSession.sparkContext.broadcast(held)
+
+    @F.pandas_udf("array<double>")
+    def forward(column: pd.Series) -> pd.Series:
+        given = column.notna().to_numpy()
+        out: list = [None] * len(column)
+        if given.any():
+            x = np.stack(column[given].to_numpy()).astype(np.float64)
+            for i, (w, b) in enumerate(shared.value):
+                x = x @ w + b
+                if i < len(shared.value) - 1:
+                    x = np.maximum(x, 0.0) if hidden == "relu" else 1.0 / (1.0 + np.exp(-x))
+            x = np.exp(x - x.max(axis=1, keepdims=True))
+            for at, row in zip(np.flatnonzero(given), x / x.sum(axis=1, keepdims=True)):
+                out[at] = row
+        return pd.Series(out, dtype=object)
+    scored = df.withColumn("probability", forward(F.col(features).cast("array<double>")))
+    return scored.withColumn("prediction", (F.array_position("probability", F.array_max("probability")) - 1).cast("int"))
+
+
 def compare(models: dict[str, Callable[[DataFrame, DataFrame], float]], train: DataFrame,
             val: DataFrame) -> DataFrame:
     """Validation accuracy of several fitted-and-scored models."""

@@ -272,6 +272,97 @@ def nearest(queries: DataFrame, refs: DataFrame, k: int, *, query_id: str, ref_i
     return _search_groups(q, r, k, size["dim"], size["n"], n_pivots, block_rows)[0]
 
 
+def _probes(code: np.ndarray, gap: np.ndarray, probes: int) -> np.ndarray:
+    """Bucket of every row and the ``probes - 1`` buckets that are nearest by the projections whose signs differ.
+
+    Of the sets of up to two of the closest planes those with the least summed distance are flipped."""
+    close = np.argsort(gap, axis=1)[:, :max(int(np.ceil(np.sqrt(2 * probes))) + 1, 1)]
+    sets = [(i,) for i in range(close.shape[1])] + [(i, j) for i in range(close.shape[1]) for j in range(i)]
+    rows = np.arange(len(code))
+    cost = np.stack([sum(gap[rows, close[:, i]] for i in s) for s in sets], axis=1)
+    flips = np.stack([sum(np.int64(1) << close[:, i].astype(np.int64) for i in s) for s in sets], axis=1)
+    best = np.argsort(cost, axis=1, kind="stable")[:, :max(probes - 1, 0)]
+    return np.concatenate([code[:, None], code[:, None] ^ np.take_along_axis(flips, best, axis=1)], axis=1)
+
+
+class _Planes:
+    """Random hyperplanes through the mean of the references, ``bits`` for each of ``tables`` hash tables."""
+
+    def __init__(self, mean: np.ndarray, tables: int, bits: int, seed: int):
+        self.mean, self.tables, self.bits = mean, tables, bits
+        self.planes = np.random.default_rng(seed).standard_normal((len(mean), tables * bits))
+
+    def codes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """rows x tables codes, and rows x tables x bits distances to the planes."""
+        along = ((x - self.mean) @ self.planes).reshape(len(x), self.tables, self.bits)
+        return ((along > 0).astype(np.int64) << np.arange(self.bits)).sum(axis=2), np.abs(along)
+
+
+def nearest_approximate(queries: DataFrame, refs: DataFrame, k: int, *, query_id: str, ref_id: str, vec: str, label: str,
+                        tables: int = 16, probes: int = 16, bucket_rows: int = 256, block_rows: int = BLOCK_ROWS,
+                        seed: int = 0) -> DataFrame:
+    """As ``nearest``, but a query sees only references of the buckets it probes; distances are exact, neighbours may be missed.
+
+    ``tables`` hash tables of random projections, each with buckets of about ``bucket_rows`` references; a query looks
+    into ``probes`` buckets of each, those on the other side of its closest planes first. More tables and probes raise the
+    recall. A query whose buckets are all empty has an empty list. ``nearest`` is the exact search, and the default of
+    every vote."""
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(vec).cast("array<double>").alias("vec"))
+    r = refs.select(F.col(ref_id).alias("ref_id"), F.col(vec).cast("array<double>").alias("vec"), F.col(label).alias("label"))
+    r = materialize(_without_spare_copies(r, k))
+    size = r.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim"), F.min(F.size("vec")).alias("low")).first()
+    if not size["n"]:
+        raise ValueError("no reference rows")
+    if size["dim"] != size["low"]:
+        raise ValueError("vectors differ in length")
+    dim = size["dim"]
+    mean = np.array(r.agg(*[F.avg(F.get("vec", F.lit(i))) for i in range(dim)]).first(), np.float64)
+    bits = min(max(int(np.ceil(np.log2(max(size["n"] / bucket_rows, 1)))), 1), 62)
+    shared = q.sparkSession.sparkContext.broadcast(_Planes(mean, tables, bits, seed))
+    qt, rt, lt = _schemas(q, r)
+
+    def fill(batches):
+        for batch in batches:
+            if len(batch):
+                codes, _ = shared.value.codes(_matrix(batch["vec"], dim))
+                yield batch.assign(bucket=[[f"{t}-{c}" for t, c in enumerate(row)] for row in codes.tolist()])
+    spread = r.mapInPandas(fill, T.StructType([*r.schema.fields, T.StructField("bucket", T.ArrayType(T.StringType()))]))
+    spread = materialize(spread.withColumn("bucket", F.explode("bucket")))
+    sizes = materialize(spread.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("parts")))
+    salted = spread.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("ref_id"), F.col("parts")))
+    packed = salted.groupBy("bucket", "part").agg(F.collect_list(F.struct("vec", "ref_id", "label")).alias("m")).select(
+        "bucket", F.flatten("m.vec").alias("vecs"), F.col("m.ref_id").alias("ref_id"), F.col("m.label").alias("label"))
+
+    def ask(batches):
+        for batch in batches:
+            if len(batch):
+                rows, ids = _matrix(batch["vec"], dim), batch["query_id"].to_numpy()
+                codes, gaps = shared.value.codes(rows)
+                for t in range(tables):
+                    wanted = _probes(codes[:, t], gaps[:, t], probes)
+                    for c in np.unique(wanted):
+                        hit = (wanted == c).any(axis=1)
+                        yield pd.DataFrame({"bucket": [f"{t}-{c}"], "query_id": [ids[hit]], "qvecs": [rows[hit].ravel()]})
+    asked = q.select("query_id", "vec").mapInPandas(ask, f"bucket string, query_id array<{qt}>, qvecs array<double>")
+
+    def search(batches):
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                own = np.asarray(row.qvecs, dtype=np.float64).reshape(-1, dim)
+                yield from _answers(np.asarray(row.query_id), own, np.asarray(row.vecs, dtype=np.float64).reshape(-1, dim),
+                                    np.asarray(row.ref_id), np.asarray(row.label), k)
+    found = asked.join(packed, "bucket").mapInPandas(
+        search, f"query_id {qt}, ref_id array<{rt}>, dist array<double>, label array<{lt}>")
+    single = found.select("query_id", F.explode(F.arrays_zip("ref_id", "dist", "label")).alias("x"))
+    # A reference comes from several tables, always at the same distance.
+    once = single.groupBy("query_id", "x.ref_id").agg(F.min("x").alias("x")).select("query_id", "x")
+    best = Window.partitionBy("query_id").orderBy("x.dist", "x.ref_id")
+    lists = (once.withColumn("rk", F.row_number().over(best)).filter(F.col("rk") <= k)
+             .groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rk", "x"))).alias("s")).select("query_id", F.col("s.x").alias("neighbours")))
+    none = F.array().cast(lists.schema["neighbours"].dataType)
+    return q.select("query_id").join(lists, "query_id", "left").withColumn("neighbours", F.coalesce("neighbours", none))
+
+
 def vote(neighbours: str | Column, k: int, weights: str = "uniform") -> Column:
     """Winning label of the first ``k`` neighbours; ties go to the smallest label.
 

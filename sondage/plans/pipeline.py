@@ -117,6 +117,21 @@ class FeatureModel:
         _, at, width = self.feature_map()[-1]
         return at + width
 
+    def with_vocabulary_of(self, size: int, features: DataFrame) -> tuple[DataFrame, int]:
+        """The features and their width that a pooled vocabulary of the first ``size`` words would give, from those of this
+        layout: places of later words go, all others move up."""
+        if self.config.text != "counts":
+            raise ValueError("only a pooled vocabulary is ordered by rank")
+        full = next(iter(self.widths.values()), 0)
+        size, n = min(size, full), len(self.config.text_cols)
+        if size == full:
+            return features, self.width
+        word, column = F.col("idx") % full, F.floor(F.col("idx") / full)
+        text = F.col("idx") < n * full
+        kept = features.filter(~text | (word < size))
+        moved = F.when(text, column * size + word).otherwise(F.col("idx") - n * (full - size)).cast("long")
+        return kept.withColumn("idx", moved), self.width - n * (full - size)
+
     def _terms(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         c = self.config
         if tt.CELLS in df.columns:

@@ -34,8 +34,9 @@ def train_forest(rows: DataFrame, config: FeatureConfig, label: str, model_dir:
 
 
 def predict_rows(rows: DataFrame, layout: FeatureModel, nodes: DataFrame, classes: Sequence[str]) -> DataFrame:
-    """``row_id, prediction`` of every row."""
-    return forests.score_forest(layout.dense(rows), nodes, classes, "x").select("row_id", "prediction")
+    """``row_id, prediction`` of every row; the features stay sparse."""
+    ids = rows.select(F.col(layout.config.row_id).alias("row_id"))
+    return forests.score_sparse(ids, layout.transform(rows), nodes, classes).select("row_id", "prediction")
 
 
 def predict_all(spark: SparkSession, path: str, model_dir: str, multiline: bool = False) -> DataFrame:

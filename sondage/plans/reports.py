@@ -15,7 +15,7 @@ from ..functions.fixed import (
     FOREST_DEPTHS, FOREST_SIZES, NEIGHBOUR_COUNTS, RIDGE_STRENGTHS, VOCABULARY_SIZES)
 from ..operators import features as feats, metrics, models, neighbours, records, splits
 from ..operators.distribute import materialize
-from .pipeline import FeaturePipeline
+from .pipeline import FeaturePipeline, prepared
 
 
 def ml_rows(df: DataFrame, vec: str, label: str, classes: Sequence[str],
@@ -42,11 +42,14 @@ def compare_defaults(rows: DataFrame, row_id: str, vec: str, label: str, classes
         return metrics.accuracy_of(rows.filter("split = 'val'").join(got, F.col(row_id) == F.col("query_id")),
                                    label, "p")
 
-    return models.compare({
+    found = models.compare({
         "KNN": neighbours_accuracy,
         "Random Forest": lambda t, v: models.accuracy(models.forest(trees, depth, 1).fit(t), v),
         "Naive Bayes": lambda t, v: models.accuracy(models.gaussian_bayes().fit(t), v),
     }, data.filter("split = 'train'"), data.filter("split = 'val'"))
+    data.unpersist()
+    rows.unpersist()
+    return found
 
 
 def _named(predicted: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -58,7 +61,7 @@ def _named(predicted: DataFrame, classes: Sequence[str]) -> DataFrame:
 
 def evaluate(model: Model, rows: DataFrame, classes: Sequence[str]) -> tuple[dict[str, float], DataFrame]:
     """Accuracy, macro and weighted F1, and the classification report of ML rows."""
-    named = _named(model.transform(rows), classes).persist()
+    named = materialize(_named(model.transform(rows), classes))
     return metrics.summary_metrics(named, "y", "p"), metrics.classification_report(named, "y", "p")
 
 
@@ -75,7 +78,7 @@ def forest_errors(train: DataFrame, test: DataFrame, classes: Sequence[str], tre
                   min_leaf: int = 5, seed: int = 311) -> tuple[float, DataFrame, DataFrame]:
     """Test accuracy of a forest, its ten most frequent mistakes, and the usual one per label."""
     model = models.forest(trees, depth, min_leaf, seed).fit(train)
-    named = _named(model.transform(test), classes).persist()
+    named = materialize(_named(model.transform(test), classes))
     return (metrics.accuracy_of(named, "y", "p"), metrics.error_pairs(named, "y", "p"),
             metrics.usual_confusion(named, "y", "p"))
 
@@ -111,7 +114,7 @@ def full_report(rows: DataFrame, row_id: str, vec: str, label: str, classes: Seq
     train, val, test = (data.filter(F.col("split") == s) for s in splits.SPLITS)
     both = splits.train_and_val(data)
     n_both = both.count()
-    results: list[tuple[str, float, str, DataFrame]] = []
+    results: list[tuple[str, float, str, DataFrame]] = []  # model, validation accuracy, setting, predictions
 
     c = _first_best(models.ridge_sweep(train, val, strengths, 200).orderBy("position").collect(), "val_accuracy")
     ridge = models.ridge_logistic(c["strength"], n_both).fit(both)
@@ -123,20 +126,8 @@ def full_report(rows: DataFrame, row_id: str, vec: str, label: str, classes: Seq
     results.append(("Random Forest", f["val_accuracy"], f"trees={f['trees']} depth={f['depth']}",
                     _named(grown.transform(test), classes)))
 
-    def searched(refs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-        moments = feats.dense_moments(refs, vec)
-        found = neighbours.nearest(
-            feats.standardize(queries, vec, moments), feats.standardize(refs, vec, moments), k,
-            query_id=row_id, ref_id=row_id, vec=vec, label=label)
-        return queries.select(row_id, F.col(label).alias("y")).join(found, F.col(row_id) == F.col("query_id"))
-
-    part = {s: rows.filter(F.col("split") == s) for s in splits.SPLITS}
-    sweep = neighbours.k_sweep(searched(part["train"], part["val"], max(ks)), "y", ks)
-    k = _first_best(sweep.orderBy("position").collect(), "accuracy")
-    found = searched(splits.train_and_val(rows), part["test"], k["k"])
-    results.append(("KNN", k["accuracy"], f"k={k['k']}", found.select(
-        F.col("y").cast("string").alias("y"),
-        neighbours.vote("neighbours", k["k"], "distance").cast("string").alias("p"))))
+    k, k_accuracy, voted = tuned_neighbours(rows, row_id, vec, label, ks)
+    results.append(("KNN", k_accuracy, f"k={k}", voted))
 
     table, best, best_score, best_rows = [], "", -1.0, results[0][3]
     for i, (name, val_accuracy, setting, predictions) in enumerate(results):
@@ -146,25 +137,50 @@ def full_report(rows: DataFrame, row_id: str, vec: str, label: str, classes: Seq
             best, best_score, best_rows = name, score, predictions
     summary = rows.sparkSession.createDataFrame(
         table, "position int, model string, val_accuracy double, test_accuracy double, setting string")
+    best_rows = materialize(best_rows)
+    data.unpersist()
+    rows.unpersist()
     return Report(summary, best, best_rows)
 
 
+def tuned_neighbours(rows: DataFrame, row_id: str, vec: str, label: str, ks: Sequence[int] = NEIGHBOUR_COUNTS
+                     ) -> tuple[int, float, DataFrame]:
+    """The ``k`` with the best distance-weighted vote on the validation rows (the first on ties), its accuracy there, and
+    ``y, p`` of the test rows among train and validation; vectors standardised by the rows searched."""
+    def searched(refs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+        moments = feats.dense_moments(refs, vec)
+        found = neighbours.nearest(
+            feats.standardize(queries, vec, moments), feats.standardize(refs, vec, moments), k,
+            query_id=row_id, ref_id=row_id, vec=vec, label=label)
+        return queries.select(row_id, F.col(label).alias("y")).join(found, F.col(row_id) == F.col("query_id"))
+
+    part = {s: rows.filter(F.col("split") == s) for s in splits.SPLITS}
+    sweep = neighbours.k_sweep(searched(part["train"], part["val"], max(ks)), "y", ks)
+    best = _first_best(sweep.orderBy("position").collect(), "accuracy")
+    found = searched(splits.train_and_val(rows), part["test"], best["k"])
+    return best["k"], best["accuracy"], found.select(
+        F.col("y").cast("string").alias("y"), neighbours.vote("neighbours", best["k"], "distance").cast("string").alias("p"))
+
+
 def vocabulary_size_sweep(train: DataFrame, plan: FeaturePipeline, label: str, classes: Sequence[str],
                           sizes: Sequence[int] = VOCABULARY_SIZES, **grid) -> DataFrame:
-    """Best cross-validated forest per vocabulary size; the words are counted once.
+    """Best cross-validated forest per vocabulary size.
 
-    Returns one row per size, best accuracy first reached is the choice
-    (``metrics.best_setting``).
+    A vocabulary is ordered by rank, so that every size is a prefix of the largest: the words are counted and the features
+    built once, for the largest size, and cut by index for the others. Returns one row per size, best accuracy first
+    reached is the choice (``metrics.best_setting``).
     """
     row_id = plan.config.row_id
-    counts = materialize(plan.count_words(train))
+    train = prepared(train, plan.config, [c for c in (label,) if c != row_id])
+    model = FeaturePipeline(replace(plan.config, dict_len=max(sizes))).fit(train)
+    features = materialize(model.transform(train))
     folds = splits.kfold_stratified(train.select(row_id, label), row_id, label, seed=42)
     folds = records.encode_label(folds, classes, label).select(
         F.col(row_id).alias("row_id"), "fold", F.col("label_idx").cast("double").alias("label_idx")).persist()
     out = []
     for i, size in enumerate(sizes):
-        model = FeaturePipeline(replace(plan.config, dict_len=size)).fit(train, counts=counts)
-        data = feats.sparse_vectors(model.transform(train), model.width, folds).persist()
+        cut, width = model.with_vocabulary_of(size, features)
+        data = feats.sparse_vectors(cut, width, folds).persist()
         _, table = models.forest_cross_validation(data, **grid)
         best = metrics.best_setting(table, "accuracy", "position").first()
         out.append((i, size, best["trees"], best["depth"], best["min_leaf"], best["accuracy"]))
