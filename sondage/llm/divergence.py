@@ -8,66 +8,123 @@ these two shares, without a look at its columns. The trees of two tiles are walk
 pairs of their row ranges; only pairs with a quadrant that is not zero for both reach the leaves,
 where the shares are laid out and compared.
 
-On Spark the words of each text are counted in tasks, sums are grouped by (lang, source, term), and the
-tiles of two row ranges and a stripe of columns meet in one task, which holds a tile at a time and leaves
-one row per pair and stripe. All sums are integers.
+On Spark the words of each text are counted in tasks, once by language, which tells the kept terms, and once by
+source for these alone. The tiles of two row ranges meet in one task, which holds a tile at a time and leaves sums of many of
+them. All sums are integers.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.distribute import dense_index, materialize
-from .common import batch_texts
+from ..operators.distribute import BROADCAST_BYTES, dense_index, materialize, table_bytes
+from .common import batch_texts, share as share_model
 
 TILE = 256
 LEAF = 32
-#: Tiles of one pair of row ranges that a task walks before it leaves its sums.
-STRIPE = 64
 TERMS_SHOWN = 50
 LEAST_DOCUMENTS = 30
 SMOOTHING = 5
 SCALE = 1_000_000_000
-_HELD = 200_000
+_TOGETHER = 1_000_000  # words that are counted together in a task
 _TERM = re.compile(rb"[a-z\x80-\xff]+")  # of lowered UTF-8: letters, and everything beyond ASCII
 
 
-def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``lang, source, term, n, documents``, summed per task only; a row without terms tells of its group by a null term."""
-    rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in (
+def _clean(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    return docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in (
         (lang_col, "lang"), (source_col, "source"), (text_col, "text"))))
 
-    def flush(held: dict) -> pa.RecordBatch:
-        keys, sums = list(held), np.array(list(held.values()), np.int64).reshape(-1, 2)
-        text = [pa.array([k[i] for k in keys], pa.binary()).cast(pa.string()) for i in range(3)]
-        return pa.RecordBatch.from_arrays([*text, pa.array(sums[:, 0]), pa.array(sums[:, 1])], ["lang", "source", "term", "n", "documents"])
 
+class _Tally:
+    """Words of one language, waiting to be counted together."""
+
+    def __init__(self):
+        self.words, self.sizes, self.groups = [], [], []
+
+    def add(self, words: list[bytes], group: bytes) -> None:
+        self.words += words
+        self.sizes.append(len(words))
+        self.groups.append(group)
+
+    def counted(self, kept: pa.Array | None = None) -> tuple[list[bytes], np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+        """Distinct groups, then per (group, term): group number, term (or its place in ``kept``, all others left out),
+        occurrences, documents."""
+        coded = pa.array(self.words, pa.binary()).dictionary_encode()
+        width = max(len(coded.dictionary), 1)
+        number = {g: i for i, g in enumerate(dict.fromkeys(self.groups))}
+        owner = np.array([number[g] for g in self.groups], np.int64)
+        pairs, times = np.unique(np.repeat(np.arange(len(self.sizes)), self.sizes) * width + coded.indices.to_numpy(), return_counts=True)
+        if kept is not None:
+            place = pc.index_in(coded.dictionary, value_set=kept).fill_null(-1).to_numpy()
+            known = place[pairs % width] >= 0 if len(pairs) else np.zeros(0, bool)
+            pairs, times = pairs[known], times[known]
+        keys, at = np.unique(owner[pairs // width] * width + pairs % width, return_inverse=True)
+        n, documents = np.bincount(at, times, len(keys)).astype(np.int64), np.bincount(at, minlength=len(keys)).astype(np.int64)
+        term = pa.array(place[keys % width], pa.int64()) if kept is not None else coded.dictionary.take(pa.array(keys % width)).cast(pa.string())
+        return list(number), keys // width, term, n, documents
+
+
+def _tallied(rows: DataFrame, by_source: bool, emit, schema: str) -> DataFrame:
+    """``emit(lang, tally)`` for the words of every language, some ``_TOGETHER`` at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {}
+        waiting: dict[bytes, _Tally] = {}
+        held = 0
         for batch in batches:
-            for lang, source, text in zip(*(batch_texts(batch, n) for n in ("lang", "source", "text"))):
-                found: dict = {}
-                for match in _TERM.finditer(text.lower()):
-                    term = match.group()
-                    found[term] = found.get(term, 0) + 1
-                held.setdefault((lang, source, None), [0, 0])[1] += 1
-                for term, n in found.items():
-                    sums = held.setdefault((lang, source, term), [0, 0])
-                    sums[0] += n
-                    sums[1] += 1
-                if len(held) >= _HELD:
-                    yield flush(held)
-                    held = {}
-        if held:
-            yield flush(held)
-    return rows.mapInArrow(run, "lang string, source string, term string, n bigint, documents bigint")
+            langs, texts = batch_texts(batch, "lang"), batch_texts(batch)
+            for lang, group, text in zip(langs, batch_texts(batch, "source") if by_source else langs, texts):
+                words = _TERM.findall(text.lower())
+                if lang not in waiting:
+                    waiting[lang] = _Tally()
+                waiting[lang].add(words, group)
+                held += len(words) + 1
+                if held >= _TOGETHER:
+                    for lang_, tally in waiting.items():
+                        yield emit(lang_, tally)
+                    waiting, held = {}, 0
+        for lang, tally in waiting.items():
+            yield emit(lang, tally)
+    return rows.mapInArrow(run, schema)
+
+
+def lang_counts(rows: DataFrame) -> DataFrame:
+    """``lang, term, n, documents``, summed over the texts that a task counts together; sum again."""
+    def emit(lang: bytes, tally: _Tally) -> pa.RecordBatch:
+        _, group, term, n, documents = tally.counted()
+        name = pa.array([lang.decode()], pa.string()).take(pa.array(group))
+        return pa.RecordBatch.from_arrays([name, term, pa.array(n), pa.array(documents)], ["lang", "term", "n", "documents"])
+    return _tallied(rows.select("lang", "text"), False, emit, "lang string, term string, n bigint, documents bigint")
+
+
+def source_counts(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """``lang, source, t, n`` of the kept terms (``lang, term, t``).
+
+    Kept terms of a checked size go to the tasks, which count nothing else; more of them are joined by shuffle."""
+    if table_bytes(kept.select("lang", "term", "t")) > BROADCAST_BYTES:
+        def every(lang: bytes, tally: _Tally) -> pa.RecordBatch:
+            groups, group, term, n, _ = tally.counted()
+            names = [pa.array(x, pa.binary()).cast(pa.string()).take(pa.array(group * f)) for x, f in (([lang], 0), (groups, 1))]
+            return pa.RecordBatch.from_arrays([*names, term, pa.array(n)], ["lang", "source", "term", "n"])
+        found = _tallied(rows, True, every, "lang string, source string, term string, n bigint")
+        return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept.select("lang", "term", "t"), ["lang", "term"]).drop("term")
+    terms: dict[bytes, list] = {}
+    for r in kept.select("lang", "term").orderBy("lang", "t").collect():
+        terms.setdefault(r["lang"].encode(), []).append(r["term"].encode())
+    shared = share_model(rows.sparkSession, {lang: pa.array(words, pa.binary()) for lang, words in terms.items()})
+    none = pa.array([], pa.binary())
+
+    def emit(lang: bytes, tally: _Tally) -> pa.RecordBatch:
+        groups, group, t, n, _ = tally.counted(shared().get(lang, none))
+        names = [pa.array(x, pa.binary()).cast(pa.string()).take(pa.array(group * f)) for x, f in (([lang], 0), (groups, 1))]
+        return pa.RecordBatch.from_arrays([*names, t, pa.array(n)], ["lang", "source", "t", "n"])
+    return _tallied(rows, True, emit, "lang string, source string, t bigint, n bigint").groupBy("lang", "source", "t").agg(F.sum("n").alias("n"))
 
 
 def share(n: str, total: str, terms: str) -> Column:
@@ -142,71 +199,92 @@ def tile_sums(a: tuple, b: tuple, za: np.ndarray, zb: np.ndarray, same: bool, wi
     return out[:len(za), :len(zb)]
 
 
-_PAIR = "lang string, g bigint, h bigint, value bigint"
-_KEY = ("lang", "a", "b", "stripe")
-
-
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    names = (*_KEY, "col_tile", "side", "row", "col", "p", "zeros", "terms")
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of rows with equal ``code``, whole, from rows that are sorted by it."""
+    held, parts = None, []
     for batch in batches:
-        yield from zip(*(batch.column(n).to_pylist() for n in names))
-
-
-def _walk_stripes(batches: Iterator[pa.RecordBatch], tile: int, leaf: int, stripe: int) -> Iterator[pa.RecordBatch]:
-    """Of every key come the zero shares of both row ranges first, then the cells by tile."""
-    for (lang, a, b, at), rows in groupby(_cells(batches), key=lambda r: r[:4]):
-        zeros, out, done, terms = {}, None, at * stripe, 0
-        same = a == b
-        for col_tile, cells in groupby(rows, key=lambda r: r[4]):
-            cells = list(cells)  # at most two tiles
-            if col_tile < 0:
-                zeros = {c[5]: np.array(c[9], np.int64) for c in cells}
-                za, zb, terms = zeros[0], zeros[0] if same else zeros[1], cells[0][10]
-                out = np.zeros((len(za), len(zb)), np.int64)
-                covered = 0
-                continue
-            sides = []
-            for which in (0, 1):
-                mine = [(c[6], c[7], c[8]) for c in cells if c[5] == which]
-                sides.append(tuple(np.array(mine, np.int64).reshape(-1, 3).T))
-            width = min(tile, terms - col_tile * tile)
-            out += tile_sums(sides[0], sides[0] if same else sides[1], za, zb, same, width, tile, leaf)
-            covered += width
-        # Tiles without a cell: zero at the root for all pairs.
-        every = min((done + stripe) * tile, terms) - done * tile
-        out += max(every - covered, 0) * np.abs(za[:, None] - zb[None, :])
-        g, h = np.nonzero(np.triu(np.ones(out.shape, bool), 1) if same else np.ones(out.shape, bool))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(g), pa.string()), pa.array(a * tile + g), pa.array(b * tile + h), pa.array(out[g, h])],
-            ["lang", "g", "h", "value"])
-
-
-def pair_sums(cells: DataFrame, groups: DataFrame, tile: int = TILE, leaf: int = LEAF, stripe: int = STRIPE) -> DataFrame:
+        code = batch.column("code").to_numpy()
+        edges = [0, *(np.flatnonzero(code[1:] != code[:-1]) + 1).tolist(), batch.num_rows] if len(code) else []
+        for at, end in zip(edges, edges[1:]):
+            if held is not None and code[at] != held:
+                yield pa.Table.from_batches(parts)
+                parts = []
+            held = code[at]
+            parts.append(batch.slice(at, end - at))
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
+_KEY = ["lang", "a", "b", "col_tile"]
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Key and rows of every tile."""
+    for run in _runs(batches):
+        keys = run.select(_KEY).group_by(_KEY).aggregate([]).to_pylist()
+        for key in keys:
+            mine = run
+            if len(keys) > 1:  # tiles with a hash in common
+                mine = run.filter(functools.reduce(pc.and_, (pc.equal(run[n], key[n]) for n in _KEY)))
+            yield tuple(key[n] for n in _KEY), mine
+
+
+def _walked(batches: Iterator[pa.RecordBatch], tile: int, leaf: int) -> Iterator[pa.RecordBatch]:
+    """What the tiles of a pair of row ranges add to it, a tile at a time; sums of some pairs of ranges are held."""
+    held: dict[tuple, np.ndarray] = {}
+
+    def left() -> Iterator[pa.RecordBatch]:
+        for (lang, a, b), out in held.items():
+            g, h = np.nonzero(np.triu(np.ones(out.shape, bool), 1) if a == b else np.ones(out.shape, bool))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(a * tile + g), pa.array(b * tile + h), pa.array(out[g, h])],
+                                             ["lang", "g", "h", "value"])
+        held.clear()
+    for (lang, a, b, at), rows in _tiles(batches):
+        heads = rows.filter(pc.is_valid(rows["zeros"]))
+        zeros = dict(zip(heads["side"].to_pylist(), heads["zeros"].to_pylist()))
+        same, terms = a == b, heads["terms"][0].as_py()
+        za = np.array(zeros[0], np.int64)
+        zb = za if same else np.array(zeros[1], np.int64)
+        apart = np.abs(za[:, None] - zb[None, :])
+        if at < 0:
+            found = terms * apart  # the whole matrix, as if it were one zero quadrant
+        else:
+            cells = rows.filter(pc.is_null(rows["zeros"]))
+            side, row, col, p = (cells[n].to_numpy().astype(np.int64) for n in ("side", "row", "col", "p"))
+            first, second = ((row[side == w], col[side == w], p[side == w]) for w in (0, 1))
+            width = min(tile, terms - at * tile)
+            found = tile_sums(first, first if same else second, za, zb, same, width, tile, leaf) - width * apart
+        held[lang, a, b] = held[lang, a, b] + found if (lang, a, b) in held else found
+        if len(held) >= 64:
+            yield from left()
+    yield from left()
+
+
+def pair_sums(cells: DataFrame, groups: DataFrame, tile: int = TILE, leaf: int = LEAF) -> DataFrame:
     """``lang, g, h, value`` for all g < h of a language.
 
     ``cells``: ``lang, g, t, p`` of the counts above zero; ``groups``: ``lang, g, z, terms`` with the share ``z`` of a count of
-    zero, both numbered from 0 within a language. A cell goes to every pair of row ranges that its own takes part in."""
-    ranges = groups.groupBy("lang", (F.floor(F.col("g") / tile)).alias("r")).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("g", "z"))), lambda s: F.coalesce(s["z"], F.lit(0).cast("bigint"))).alias("zeros"),  # up to ``tile``
-        F.max("terms").alias("terms"))
-    ranges = materialize(ranges)
+    zero, both numbered from 0 within a language. Every pair of row ranges is first priced as one zero quadrant; a tile of it
+    adds what it comes to beyond that. A cell goes to every pair of row ranges that its own takes part in."""
+    zero = F.lit(0).cast("bigint")
+    ranges = materialize(groups.groupBy("lang", F.floor(F.col("g") / tile).alias("r")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("g", "z"))), lambda s: F.coalesce(s["z"], zero)).alias("zeros"),  # up to ``tile``
+        F.max("terms").alias("terms")))
     count = ranges.groupBy("lang").agg((F.max("r") + 1).alias("ranges"))
 
     def paired(df: DataFrame) -> DataFrame:
         """Copies of the rows of range ``r`` for every pair it takes part in, as ``a`` (side 0) or ``b`` (side 1)."""
-        other = df.join(count, "lang").withColumn("o", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("ranges") - 1)))
+        other = df.join(count, "lang").withColumn("o", F.explode(F.sequence(zero, F.col("ranges") - 1)))
         return other.withColumns({"a": F.least("r", "o"), "b": F.greatest("r", "o"), "side": (F.col("r") > F.col("o")).cast("int")})
-    heads = paired(ranges).withColumn("stripe", F.explode(F.sequence(
-        F.lit(0).cast("bigint"), F.greatest(F.floor((F.col("terms") - 1) / (tile * stripe)), F.lit(0).cast("bigint")))))
     nil = F.lit(None).cast("bigint")
-    heads = heads.select(*_KEY, F.lit(-1).cast("bigint").alias("col_tile"), "side", nil.alias("row"), nil.alias("col"), nil.alias("p"),
-                         "zeros", "terms")
-    body = paired(cells.withColumn("r", F.floor(F.col("g") / tile)))
-    body = body.select("lang", "a", "b", F.floor(F.col("t") / (tile * stripe)).alias("stripe"), F.floor(F.col("t") / tile).alias("col_tile"),
-                       "side", (F.col("g") % tile).alias("row"), (F.col("t") % tile).alias("col"), "p",
-                       F.lit(None).cast("array<bigint>").alias("zeros"), nil.alias("terms"))
-    dealt = heads.union(body).repartition(*_KEY).sortWithinPartitions(*_KEY, "col_tile")
-    found = dealt.mapInArrow(lambda batches: _walk_stripes(batches, tile, leaf, stripe), _PAIR)
+    tiles = F.sequence(F.lit(-1).cast("bigint"), F.ceil(F.col("terms") / tile) - 1)
+    heads = paired(ranges.withColumn("col_tile", F.explode(tiles))).select(
+        *_KEY, "side", nil.alias("row"), nil.alias("col"), nil.alias("p"), "zeros", "terms")
+    body = paired(cells.withColumn("r", F.floor(F.col("g") / tile))).withColumn("col_tile", F.floor(F.col("t") / tile)).select(
+        *_KEY, "side", (F.col("g") % tile).alias("row"), (F.col("t") % tile).alias("col"), "p", F.lit(None).cast("array<bigint>").alias("zeros"), nil.alias("terms"))
+    # One number to sort by, which needs no comparison of rows.
+    dealt = heads.union(body).repartition(*_KEY).withColumn("code", F.xxhash64(*_KEY)).sortWithinPartitions("code")
+    found = dealt.mapInArrow(lambda batches: _walked(batches, tile, leaf), "lang string, g bigint, h bigint, value bigint")
     return found.groupBy("lang", "g", "h").agg(F.sum("value").cast("bigint").alias("value"))
 
 
@@ -218,21 +296,20 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     Null text, lang and source count as empty; every row is a document of its own, also one that repeats an id. A group
     without terms, and a language that keeps none (all values 0), have their pairs. A language with one source has none.
     Equal values rank by item. An empty table gives no rows."""
-    counts = materialize(term_counts(docs, text_col, lang_col, source_col).groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.sum("documents").alias("documents")))
-    words = counts.filter("term IS NOT NULL").groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("documents").alias("documents"))
+    rows = _clean(docs, text_col, lang_col, source_col)
+    words = lang_counts(rows).groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("documents").alias("documents"))
     kept = materialize(dense_index(words.filter(F.col("documents") >= least_documents), ["term"], within="lang", name="t"))
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("lang_n").alias("lang_total"))
-    found = materialize(counts.filter("term IS NOT NULL").select("lang", "source", "term", "n")
-                        .join(kept.select("lang", "term", "t", "lang_n"), ["lang", "term"]))
+    found = materialize(source_counts(rows, kept))
     totals = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = dense_index(counts.filter("term IS NULL").select("lang", "source"), ["source"], within="lang", name="g")
+    groups = dense_index(rows.select("lang", "source").distinct(), ["source"], within="lang", name="g")
     zero = F.lit(0).cast("bigint")
     groups = (groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").select(
         "lang", "source", "g", F.coalesce("total", zero).alias("total"), F.coalesce("terms", zero).alias("terms"),
         F.coalesce("lang_total", zero).alias("lang_total")).withColumn("none", zero))
     groups = materialize(groups.withColumn("z", share("none", "total", "terms")))
-    cells = materialize(found.join(groups, ["lang", "source"]).select(
+    cells = found.join(groups, ["lang", "source"]).join(kept.select("lang", "t", "term", "lang_n"), ["lang", "t"])
+    cells = materialize(cells.select(
         "lang", "source", "g", "term", "t", share("n", "total", "terms").alias("p"), share("lang_n", "lang_total", "terms").alias("q")))
 
     sums = materialize(pair_sums(cells.select("lang", "g", "t", "p"), groups.select("lang", "g", "z", "terms")))
