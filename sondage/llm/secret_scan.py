@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -205,7 +207,12 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 def scan_text(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:
     """Base spans, and all spans; a literal that a base span covers is not repeated."""
     base = base_spans(text)
-    extra = [(s, "literal", e) for s, e in assigned_literals(text) if not any(b <= s and e <= f for b, _, f in base)]
+    starts, reach = [b for b, _, _ in base], list(accumulate((e for _, _, e in base), max))
+
+    def covered(start: int, end: int) -> bool:
+        before = bisect_right(starts, start)
+        return before > 0 and reach[before - 1] >= end
+    extra = [(s, "literal", e) for s, e in assigned_literals(text) if not covered(s, e)]
     return base, sorted(base + extra, key=lambda s: (s[0], _ORDER[s[1]], s[2]))
 
 
