@@ -2,8 +2,8 @@
 
 The index is a table bucketed and sorted by the SHA-256 digest of the text. New rows are
 grouped by digest first (map-side, so a group that holds a third of all rows is only a
-counter per task), the groups are anti-joined with the index by a sort-merge join in which
-the index needs neither shuffle nor sort, and the digests that are new are appended.
+counter per task), one sort-merge join with the index, which needs neither shuffle nor sort for it,
+tells the groups that it knows from those that it does not (the anti-join), and these are appended.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.distribute import shared_folder
+from ..operators.distribute import materialize, shared_folder
 from .common import id_and_text
 
 FIELDS = "text_sha256 string, keep_id {id}, group_size bigint, batch string"
@@ -40,15 +40,21 @@ class DigestIndex:
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def append(self, groups: DataFrame, batch: str) -> None:
-        """Write the groups whose digest is not there yet. A batch that is run again adds nothing."""
-        known = self.table().select("text_sha256").hint("merge")
-        fresh = (groups.withColumn("batch", F.lit(batch)).join(known, "text_sha256", "left_anti")
-                 .select("text_sha256", "keep_id", "group_size", "batch"))
-        # One file per bucket and append, as the rows are dealt by the bucket's own hash.
-        (fresh.repartition(self.buckets, "text_sha256").sortWithinPartitions("text_sha256")
-         .write.mode("append").format("parquet").bucketBy(self.buckets, "text_sha256").sortBy("text_sha256")
-         .option("path", self.path).saveAsTable(self.name))
+    def meet(self, groups: DataFrame, batch: str) -> DataFrame:
+        """``text_sha256, keep_id, group_size, batch, fresh`` of every group: what the index knows of its digest, or what it
+        will once the group is appended. One sort-merge join, in which the index is read bucket by bucket, unshuffled."""
+        known = self.table().select("text_sha256", F.col("keep_id").alias("_keep"), F.col("batch").alias("_batch")).hint("merge")
+        fresh = F.col("_batch").isNull()
+        return groups.join(known, "text_sha256", "left").select(
+            "text_sha256", F.when(fresh, F.col("keep_id")).otherwise(F.col("_keep")).alias("keep_id"), "group_size",
+            F.coalesce("_batch", F.lit(batch)).alias("batch"), fresh.alias("fresh"))
+
+    def append(self, fresh: DataFrame) -> None:
+        """Write groups whose digest is not there yet (the anti-join side of ``meet``): one file per bucket and append, as the
+        rows are dealt by the bucket's own hash."""
+        (fresh.select("text_sha256", "keep_id", "group_size", "batch").repartition(self.buckets, "text_sha256")
+         .sortWithinPartitions("text_sha256").write.mode("append").format("parquet").bucketBy(self.buckets, "text_sha256")
+         .sortBy("text_sha256").option("path", self.path).saveAsTable(self.name))
         self.spark.catalog.refreshTable(self.name)
 
 
@@ -68,15 +74,10 @@ def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
         index = DigestIndex(spark, f"{shared_folder(spark)}/index", int(spark.conf.get("spark.sql.shuffle.partitions")), id_type=rows.schema["doc_id"].dataType.simpleString())
     batch = batch or uuid.uuid4().hex
     groups = rows.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    held = f"{shared_folder(spark)}/groups"
-    groups.write.parquet(held)
-    groups = spark.read.parquet(held)
-    index.append(groups, batch)
-    # Read as plain files: both sides are then shuffled, so that adaptive execution can split a digest with very many rows.
-    known = spark.read.schema(index.table().schema).parquet(index.path).select("text_sha256", "keep_id", "batch")
-    told = f"{shared_folder(spark)}/told"
-    (groups.select("text_sha256", "group_size").join(known, "text_sha256").write.parquet(told))
-    told = spark.read.parquet(told)
+    # Written before the append: a batch that is run again finds its own digests and adds nothing.
+    met = materialize(index.meet(groups, batch))
+    index.append(met.filter("fresh"))
+    told = met.select("text_sha256", "keep_id", "group_size", "batch")
     return (rows.join(told, "text_sha256")
             .select("doc_id", "keep_id", "group_size",
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("batch") == F.lit(batch))).alias("kept"),
