@@ -57,8 +57,8 @@ def test_index_is_kept_and_grows(spark, docs):
     before = {r["doc_id"]: r["kept"] for r in seen}
     repeat = digest_index.deduplicate(docs.filter("doc_id < 8"), again, batch="two").collect()  # a batch that ran half
     assert {r["doc_id"]: r["kept"] for r in repeat} == before and again.table().count() == size + 3
-    new = spark.range(10).select(F.sha2(F.col("id").cast("string"), 256).alias("text_sha256"))
-    plan = new.join(again.table().select("text_sha256").hint("merge"), "text_sha256", "left_anti")._jdf.queryExecution().toString()
+    new = spark.range(10).select(F.sha2(F.col("id").cast("string"), 256).alias("text_sha256"), F.col("id").alias("keep_id"), F.lit(1).alias("group_size"))
+    plan = again.meet(new, "three")._jdf.queryExecution().toString()
     assert "SelectedBucketsCount: 4 out of 4" in plan and "SortMergeJoin" in plan
     assert plan[plan.index("== Physical Plan"):].count("Exchange hashpartitioning") == 1  # the new rows alone are shuffled
 
@@ -91,6 +91,17 @@ def test_simhash(docs, none):
     assert kept.columns == docs.columns and 13 not in {r["doc_id"] for r in kept.collect()}
 
 
+def test_simhash_keeps_one_of_each_group(spark):
+    """Repeated and null ids: an id in two groups, two texts with one id in a group, groups without ids, repeated rows."""
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven eight nine", "rot gelb blau braun schwarz rosa lila")
+    rows = [(1, a), (1, a.upper()), (1, b), (2, b), (2, a + " "), (None, c), (None, c.upper()), (None, a), (3, b), (3, b), (None, None), (None, ""), (4, " ")]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, mark int").repartition(3)
+    kept = simhash.keep_one(df).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"], (r["text"] or "").lower().strip()) for r in kept) == sorted(
+        [(False, 1, a), (False, 1, b), (True, None, c), (False, 4, "")], key=str)
+    assert simhash.keep_one(df.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("paired", [1, 4, 256])
 def test_simhash_links_whatever_the_path(spark, paired):
     rng = random.Random(paired)

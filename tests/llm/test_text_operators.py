@@ -114,6 +114,26 @@ def test_language(spark, docs, none):
     assert kept.columns == docs.columns and not {3, 4, 5, 6} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_words_are_letters():
+    assert langid.words_of("m² ½ Ⅷ ٣ 12 x_y Ünï²cödé 日本 ①b") == ["m", "x", "y", "ünï", "cödé", "日本", "b"]
+    tagger = langid.Tagger(langid.fit(corpus(2, 30)))
+    assert tagger.tag(["²½Ⅷ".encode(), "² the river ½".encode()])[0] == ["und", "en"]
+
+
+def test_a_language_of_long_documents_only(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(corpus(1, 40)) if lang != "fr"]
+    rng = random.Random(4)
+    long = [(1000 + i, " ".join(rng.choice(LANGS["fr"].split()) for _ in range(6000)), "fr") for i in range(8)]
+    probe = [(2000 + i, " ".join(rng.choice(LANGS["fr"].split()) for _ in range(20)), None) for i in range(10)]
+    df = spark.createDataFrame(rows + long + probe, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(df).collect()}
+    assert all(len(t) > langid.TRAIN_CHARS for _, t, _ in long)
+    assert sum(got[2000 + i] == "fr" for i in range(10)) >= 9 and sum(got[i] == lang for i, _, lang in rows) > 0.95 * len(rows)
+    whole = " ".join(f"{i:05d}" for i in range(20_000))
+    parts = langid.spread_out(whole, 20_000)
+    assert 19_000 <= len(parts) <= 21_000 and parts.startswith("00000") and parts.endswith("19999")
+
+
 def test_code_switched_words():
     model = langid.fit(corpus(2, 80))
     tagger = langid.Tagger(model)
@@ -224,6 +244,17 @@ def test_secret_lexer_is_linear():
         assert time.time() - began < 10
 
 
+def test_many_assignments_are_scanned_in_linear_time():
+    text = "".join(f'api_key_{i} = "q7Xz{i:08x}LmT9"\n' for i in range(100_000))
+    began = time.time()
+    base, every = secret_scan.scan_text(text)
+    assert time.time() - began < 10 and len(base) + 100_000 >= len(every) >= len(base)
+    small = text[:4000]
+    base, every = secret_scan.scan_text(small)
+    literals = [(s, e) for s, e in secret_scan.assigned_literals(small) if not any(b <= s and e <= f for b, _, f in base)]
+    assert sorted((s, e) for s, k, e in every if k == "literal") == literals
+
+
 def test_language_model(spark, docs, none):
     rows = [(i, t) for i, (t, _) in enumerate(corpus(7, 150))] + [(9000, None), (9001, "unseen words only here"), (9002, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
@@ -239,6 +270,8 @@ def test_language_model(spark, docs, none):
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(line), sum(w in counts for w in line), total)
         assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in line))
     assert sum(r["score"] for r in got.values() if r["held_out"]) > sum(r["base_score"] for r in got.values() if r["held_out"])
+    again = {r["doc_id"]: r["score"] for r in lm.score(df.repartition(7), classes=24, known=30).collect()}
+    assert all(again[i] == pytest.approx(r["score"], rel=1e-4) for i, r in got.items())  # not a matter of layout
     messy = lm.score(docs).collect()
     assert len(messy) == len(TEXTS) and all(math.isfinite(r["score"]) and r["score"] < 0 for r in messy)
     assert lm.score(none).count() == 0
@@ -254,6 +287,40 @@ def test_language_model_is_normalised():
             assert np.allclose(direct[0], near[v] + far[u], atol=1e-5)
 
 
+def test_language_model_scores_are_those_of_its_network(spark):
+    """Every probability spelled out word by word; over all words and the end they sum to one."""
+    texts = [t for t, _ in corpus(8, 60)] + ["", "never seen before house"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = df.withColumn("held_out", F.col("doc_id") % 4 == 0)
+    lexicon = lm.learned_lexicon(lm.word_counts(rows.filter("NOT held_out")).cache(), classes=9, known=22, band=5)
+    encoded = lm.encoded_rows(rows, lexicon)
+    network, bands = lm.fit(encoded, lexicon, share_tokens=700)
+    assert len(lexicon.word_counts) > 10 and len(bands.starts) == -(-bands.h // 5) and np.abs(bands.t).max() > 0.1
+    model = lm.Model(network, bands, lexicon.head)
+    k, words = network.k, {w: c for w, c in lexicon.place.items()}
+
+    def class_log(u, v):
+        s = np.array([((network.c[0] * network.r[v] + network.c[1] * network.r[u]) * network.q[c]).sum() + network.b[c] for c in range(k)], float)
+        return s - np.log(np.exp(s).sum())
+
+    def word_log(v, i):
+        low = i // 5 * 5
+        s = {j: float((bands.a[v] * bands.t[j]).sum() + bands.b[j]) for j in range(low, min(low + 5, bands.h))}
+        return s[i] - np.log(sum(map(np.exp, s.values())))
+    for r in encoded.collect():
+        line = [words.get(w, (lm.REST, -1)) for w in texts[r["doc_id"]].encode().lower().split()] + [(lm.STOP, -1)]
+        before, total = [lm.STOP, lm.STOP], 0.0
+        for c, i in line:
+            total += class_log(*before)[c] + (word_log(before[1], i) if i >= 0 else 0.0)
+            before = [before[1], c]
+        got = model.log10(np.frombuffer(r["classes"], np.uint16).astype(np.int64), np.frombuffer(r["ids"], np.uint32).astype(np.int64))
+        assert got == pytest.approx(total / np.log(10), rel=1e-4, abs=1e-4)
+    for u, v in ((1, 1), (3, 5), (0, lexicon.head)):
+        own = np.exp(class_log(u, v))
+        every = own[lm.REST] + own[lm.STOP] + sum(own[c] * (np.exp(word_log(v, i)) if i >= 0 else 1.0) for c, i in words.values())
+        assert every == pytest.approx(1.0, rel=1e-5)
+
+
 def test_mixing_rates(spark):
     rng = np.random.default_rng(8)
     p = rng.dirichlet([0.4, 0.3, 0.2], 400)
@@ -294,6 +361,9 @@ def test_mixing(spark, docs, none):
     shares = np.array([[r["n_tokens"] * r["rate"] * r[f"p_{d}"] for d in mixing.DOMAINS] for r in got]).sum(axis=0)
     assert np.allclose(shares / shares.sum(), [0.8, 0.1, 0.1], atol=0.01)
     assert all(r["copies"] in (math.floor(r["rate"]), math.floor(r["rate"]) + 1) for r in got)
+    assert mixing.fit_rates(spark.createDataFrame([(5, [1.0, 0.0])], "n_tokens long, posterior array<double>"), {"a": 3.0, "b": 1.0}, ["a", "b"])[1]["missed"]
+    with pytest.warns(UserWarning, match="come to"):
+        mixing.mix(df, lab, {"clean": 5.0, "poor": 1.0, "toxic": 1.0}, relative=False, most=1.0)
     kept = {r["doc_id"] for r in mixing.keep_mixed(df, lab, {"clean": 1.03, "poor": 0.2, "toxic": 0.1}).collect()}
     assert sum(i % 3 == 0 for i in kept) >= 97 and sum(i % 3 == 1 for i in kept) < 50 and sum(i % 3 == 2 for i in kept) < 50
     messy = mixing.mix(docs, lab, {"clean": 0.8, "poor": 0.1, "toxic": 0.1})
@@ -367,6 +437,18 @@ def test_surrogates_stay_distinct(spark):
     assert not {(r["kind"], r["core"]) for r in got} & set(names)
 
 
+def test_domains_stay_distinct(spark):
+    """All one-letter domains: every surrogate is a domain of its own, none a real one, and the same for all of its addresses."""
+    mails = [("email", f"{who}@{c}.com") for c in "abcdefghijklmnopqrstuvwxyz" for who in ("ann", "bob")] + [("email", "ann@mail.a.org")]
+    got = {r["norm"]: r["core"] for r in pii.surrogates(spark.createDataFrame(mails, "kind string, norm string"), "k").collect()}
+    hosts = {}
+    for norm, core in got.items():
+        hosts.setdefault(norm.split("@")[1], set()).add(core.split("@")[1])
+    assert len(got) == len(mails) and all(len(h) == 1 for h in hosts.values())
+    made = [h.pop() for h in hosts.values()]
+    assert len(set(made)) == 27 and not set(made) & set(hosts) and all(m.endswith((".com", ".org")) for m in made)
+
+
 def test_check_digits(spark):
     row = spark.sql("SELECT '79927398713' AS luhn, 'GB82WEST12345698765432' AS iban")
     got = row.select(pii._luhn(row["luhn"]).alias("a"), pii._mod97(row["iban"]).alias("b")).first()
