@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from .common import batch_texts, field_type, held_out, id_and_text, map_batches, sample_per_class, share
 
 TRAIN_DOCS = 100          # at most so many labelled documents per language are fitted on,
-TRAIN_CHARS = 20_000      # none of them longer than this
+TRAIN_CHARS = 20_000      # none of them longer than this,
+LONG_DOCS = 10            # but so many longer ones, by pieces of them, where a language has no others
 LEXICON = 20_000
 BITS = 17
 SEQUENCE = 64
@@ -31,7 +32,19 @@ _CACHED = 400_000
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters, lowered. The pattern also takes numbers that are no digits (superscripts, fractions, Roman ones)."""
+    found = _WORD.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in ([run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
+
+
+def spread_out(text: str, most: int, piece: int = 400) -> str:
+    """Pieces at even distances over a whole long text, ``most`` characters in all."""
+    if len(text) <= most:
+        return text
+    count = max(most // piece, 1)
+    return " ".join(text[at:at + piece] for at in (i * (len(text) - piece) // max(count - 1, 1) for i in range(count)))
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -274,10 +287,19 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.col(lang_col).cast("string").alias("lang"), learn.alias("learn"))
     size = F.length("text")
-    fit_on = rows.filter(F.col("learn") & F.col("lang").isNotNull() & (size > 0) & (size <= most_chars))
-    chosen = sample_per_class(fit_on.select("doc_id", "lang", F.xxhash64("text").alias("mark")), "doc_id", "lang", per_language, "lang")
-    picked = fit_on.withColumn("mark", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "mark"], "left_semi")
-    found = picked.select("doc_id", "lang", "text").dropDuplicates().collect()
+    given = rows.filter(F.col("learn") & F.col("lang").isNotNull() & (size > 0))
+
+    def drawn(fit_on: DataFrame, most: int) -> DataFrame:
+        chosen = sample_per_class(fit_on.select("doc_id", "lang", F.xxhash64("text").alias("mark")), "doc_id", "lang", most, "lang")
+        picked = fit_on.withColumn("mark", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "mark"], "left_semi")
+        return picked.select("doc_id", "lang", "text").dropDuplicates()
+    found = drawn(given.filter(size <= most_chars), per_language).collect()
+    long = given.filter((size > most_chars) & ~F.col("lang").isin(sorted({r["lang"] for r in found})))
+    if long.limit(1).count():
+        def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+            parts = pa.array([spread_out(t.decode("utf-8", "replace"), most_chars) for t in batch_texts(batch)])
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), parts], ["doc_id", "lang", "text"])
+        found += map_batches(drawn(long, LONG_DOCS), cut, f"doc_id {field_type(rows, 'doc_id')}, lang string, text string").collect()
     return fit([(r["text"], r["lang"]) for r in sorted(found, key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"], r["text"]))])
 
 
