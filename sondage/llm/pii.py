@@ -59,7 +59,7 @@ PATTERNS = {
     "phone": r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
-    "person": rf"(?<!\p{{L}})(?:(?:{_TITLE_WORDS})\.? {_NAME}(?:[ -]{_NAME}){{0,2}}|(?:{_GIVEN_WORDS}) {_NAME}(?:-{_NAME})?)(?!\p{{L}})",
+    "person": rf"(?<!\p{{L}})(?:(?:{_TITLE_WORDS})\.? {_NAME}(?:[ -]{_NAME}){{0,2}}|(?:{_GIVEN_WORDS}) {_NAME}(?:-{_NAME})?)(?!\p{{L}}|[A-Za-z0-9._%+-]*+@\w)",
 }
 ANY = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS)
 NUMBERED = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS if k != "person")
@@ -175,8 +175,9 @@ def _tokens(match: Column, kind: Column) -> Column:
         F.array(F.struct(kind.alias("kind"), norm.alias("norm"), match.alias("raw"))))
 
 
-def candidate(key: str, kind: Column, norm: Column, draw: Column) -> Column:
-    """Surrogate of an entity in its normal form, a function of key, type, entity and number of the draw."""
+def candidate(key: str, kind: Column, norm: Column, draw: Column, host: Column | None = None) -> Column:
+    """Surrogate of an entity in its normal form, a function of key, type, entity and number of the draw. A mail address
+    is at the surrogate ``host`` of its domain; a domain keeps its last label."""
     seed = F.concat_ws(":", F.lit(key), kind, norm, draw.cast("string"))
     stream = F.concat(*(F.sha2(F.concat(seed, F.lit(f":{i}")).cast("binary"), 512) for i in range(3)))
 
@@ -207,17 +208,14 @@ def candidate(key: str, kind: Column, norm: Column, draw: Column) -> Column:
     ssn = F.concat(F.translate(F.substr(ssn, F.lit(1), F.lit(1)), "6789", "1234"), F.substr(ssn, F.lit(2)))
     ip = F.concat_ws(".", *((low + number(F.lit(i)) % (high - low + 1)).cast("string") for i, (low, high) in enumerate(
         ((11, 126), (0, 255), (0, 255), (1, 254)))))
-    domain = F.regexp_extract(norm, r"@(.*)(\.[^.]+)$", 1)
-    host_seed = F.sha2(F.concat_ws(":", F.lit(key), F.lit("host"), domain).cast("binary"), 512)
-    host = F.array_join(F.transform(_chars(domain), lambda c, i: F.when(c.rlike("[a-z]"), F.chr(
-        F.conv(F.substr(host_seed, F.pmod(i, F.lit(32)) * 4 + 1, F.lit(4)), 16, 10).cast("int") % 26 + 97)).otherwise(c)), "")
-    local = spelled(F.regexp_extract(norm, "^([^@]*)@", 1))
-    local = F.when(longer > 0, F.concat(local, F.array_join(F.transform(more, lambda n: F.chr(n % 26 + 97)), ""))).otherwise(local)
-    email = F.concat(local, F.lit("@"), host, F.regexp_extract(norm, r"(\.[^.]+)$", 1))
+    letters = F.when(longer > 0, F.array_join(F.transform(more, lambda n: F.chr(n % 26 + 97)), "")).otherwise("")
+    email = F.concat(spelled(F.regexp_extract(norm, "^([^@]*)@", 1)), letters, F.lit("@"),
+                     host if host is not None else F.regexp_extract(norm, "@(.*)$", 1))
+    domain = F.concat(spelled(F.regexp_extract(norm, r"^(.*)\.[^.]+$", 1)), letters, F.regexp_extract(norm, r"(\.[^.]+)$", 1))
     tail = spelled(F.substr(norm, F.lit(5)))
     bare = F.concat(F.substr(norm, F.lit(1), F.lit(2)), F.lit("00"), tail)
     iban = F.concat(F.substr(norm, F.lit(1), F.lit(2)), F.lpad((98 - _mod97(bare)).cast("string"), 2, "0"), tail)
-    out = (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", ssn)
+    out = (F.when(kind == "email", email).when(kind == "host", domain).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", ssn)
            .when(kind == "ip", ip).when(kind == "iban", iban))
     for script, syllables in SYLLABLES.items():
         for role in "mfxs":
@@ -246,17 +244,28 @@ def render(kind: Column, raw: Column, core: Column) -> Column:
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``kind, norm, core`` for distinct ``kind, norm``: drawn again until no two entities of a kind share a
-    surrogate and no surrogate is a real entity. Of several that draw alike the first by ``norm`` keeps it."""
+    surrogate and no surrogate is a real entity. Of several that draw alike the first by ``norm`` keeps it. The domains of
+    mail addresses are entities as well and drawn first, so that two domains stay two."""
     entities = materialize(entities.select("kind", "norm").distinct())
+    domain = F.when(F.col("kind") == "email", F.regexp_extract("norm", "@(.*)$", 1))
+    nothing = F.lit(None).cast("string").alias("host")
+    hosts = entities.select(F.lit("host").alias("kind"), domain.alias("norm"), nothing).filter("norm IS NOT NULL").distinct()
+    named = _settled(hosts, key).select(F.col("norm").alias("_domain"), F.col("core").alias("host"))
+    return _settled(entities.withColumn("_domain", domain).join(named, "_domain", "left").drop("_domain"), key)
+
+
+def _settled(entities: DataFrame, key: str) -> DataFrame:
+    """``kind, norm, core`` of distinct ``kind, norm, host``."""
+    entities = materialize(entities.select("kind", "norm", "host"))
     real = entities.select("kind", F.col("norm").alias("core"))
     settled, waiting = None, entities
     for draw in range(ROUNDS):
-        drawn = materialize(waiting.withColumn("core", candidate(key, F.col("kind"), F.col("norm"), F.lit(draw))))
+        drawn = materialize(waiting.withColumn("core", candidate(key, F.col("kind"), F.col("norm"), F.lit(draw), F.col("host"))))
         taken = real if settled is None else real.union(settled.select("kind", "core"))
         free = drawn.join(taken, ["kind", "core"], "left_anti")
         won = materialize(free.groupBy("kind", "core").agg(F.min("norm").alias("norm")).select("kind", "norm", "core"))
         settled = won if settled is None else settled.union(won)
-        waiting = drawn.select("kind", "norm").join(won.select("kind", "norm"), ["kind", "norm"], "left_anti")
+        waiting = drawn.select("kind", "norm", "host").join(won.select("kind", "norm"), ["kind", "norm"], "left_anti")
         waiting = materialize(waiting)
         if waiting.limit(1).count() == 0:
             return settled
