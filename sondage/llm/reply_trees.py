@@ -77,24 +77,25 @@ def message_digest(*parts: Column) -> Column:
 
 
 def turns(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-          text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Messages (``conv_id, msg, role, text``) and nodes (``conv_id, msg, node, parent, score``) of a table of turns.
+          text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Messages (``conv_id, msg, role, text``), nodes (``conv_id, node, parent, score``) and the message of each node
+    (``conv_id, msg, node``) of a table of turns.
 
     The order is by turn (null first), role and digest; equal rows follow each other. Nodes are numbered in this order."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role_col, text_col))
     rows = conversations.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"))
     rows = rows.withColumn("msg", message_digest(F.col("turn"), F.col("role"), F.col("text")))
-    keys = rows.groupBy("conv_id", "turn", "role", "msg").agg(F.count(F.lit(1)).alias("copies"))
-    each = keys.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).drop("copies")
-    order = dense_index(each, ["conv_id", "turn", "role", "msg", "copy"], name="node")
-    order = materialize(order.select("conv_id", "msg", "node"))
+    # Equal rows are told apart by where they were read, so that many of them can be dealt to several tasks.
+    each = rows.select("conv_id", "turn", "role", "msg", F.monotonically_increasing_id().alias("copy"))
+    order = materialize(dense_index(each, ["conv_id", "turn", "role", "msg", "copy"], name="node").select("conv_id", "msg", "node"))
     before = order.select(F.col("conv_id").alias("_conv"), F.col("node").alias("parent"))
-    nodes = order.join(before, (F.col("parent") == F.col("node") - 1) & F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
-    return rows.drop("turn"), nodes.select("conv_id", "msg", "node", "parent", F.lit(0.0).alias("score"))
+    links = order.select("conv_id", "node").join(
+        before, (F.col("parent") == F.col("node") - 1) & F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    return rows.drop("turn"), links.select("conv_id", "node", "parent", F.lit(0.0).alias("score")), order
 
 
 def replies(messages: DataFrame, conv_col: str = "conv_id", id_col: str = "msg_id", parent_col: str = "parent_id", role_col: str = "role",
-            text_col: str = "text", score_col: str = "score") -> tuple[DataFrame, DataFrame]:
+            text_col: str = "text", score_col: str = "score") -> tuple[DataFrame, DataFrame, DataFrame]:
     """The same of a table of messages that name the message they answer (by its id, within the conversation).
 
     A message whose parent is null or absent is a root. Rows that repeat an id are messages of their own; answers to
@@ -104,12 +105,11 @@ def replies(messages: DataFrame, conv_col: str = "conv_id", id_col: str = "msg_i
     rows = messages.select(F.col(conv_col).alias("conv_id"), F.col(id_col).alias("id"), F.col(parent_col).alias("up"),
                            role.alias("role"), text.alias("text"), score.alias("score"))
     rows = rows.withColumn("msg", message_digest(F.col("id"), F.col("up"), F.col("role"), F.col("text")))
-    keys = rows.groupBy("conv_id", "id", "up", "msg", "score").agg(F.count(F.lit(1)).alias("copies"))
-    each = keys.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).drop("copies")
+    each = rows.select("conv_id", "id", "up", "msg", "score", F.monotonically_increasing_id().alias("copy"))
     order = materialize(dense_index(each, ["conv_id", "id", "msg", "score", "copy"], name="node"))
     first = order.groupBy(F.col("conv_id").alias("_conv"), F.col("id").alias("_id")).agg(F.min("node").alias("parent"))
     nodes = order.join(materialize(first), F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("up") == F.col("_id")), "left")
-    return rows.select("conv_id", "msg", "role", "text"), nodes.select("conv_id", "msg", "node", "parent", "score")
+    return rows.select("conv_id", "msg", "role", "text"), nodes.select("conv_id", "node", "parent", "score"), order.select("conv_id", "msg", "node")
 
 
 def reaches(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -136,7 +136,7 @@ def reaches(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
 
 def branches(nodes: DataFrame, most: int | None = 1) -> DataFrame:
-    """``conv_id, msg, branch, seq``: the messages of the ``most`` best root-to-leaf paths of every conversation (None: of all),
+    """``node, branch, seq``: the messages of the ``most`` best root-to-leaf paths of every conversation (None: of all),
     branches from 0 by mean score, equal ones by leaf."""
     nodes = materialize(nodes)
     reached, links = reaches(nodes)
@@ -154,7 +154,7 @@ def branches(nodes: DataFrame, most: int | None = 1) -> DataFrame:
         above = path.filter(F.col("seq") >= hop).join(links[level], "node").select(
             F.col("top").alias("node"), "branch", (F.col("seq") - hop).alias("seq"))
         path = materialize(path.union(above))
-    return path.join(nodes.select("node", "conv_id", "msg"), "node").select("conv_id", "msg", "branch", "seq")
+    return path
 
 
 def _by_message(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,14 +192,14 @@ def chat(conversations: DataFrame, **names: str) -> DataFrame:
 
     Null roles and texts count as empty, a null conversation id is a conversation of its own, equal turns follow by role and
     digest, repeated rows follow each other. An empty table gives no rows."""
-    rows, nodes = turns(conversations, **names)
-    return pieces(rows, branches(nodes))
+    rows, nodes, messages = turns(conversations, **names)
+    return pieces(rows, branches(nodes).join(messages, "node"))
 
 
 def chat_trees(messages: DataFrame, most: int | None = 1, **names: str) -> DataFrame:
     """Formatted pieces of the ``most`` best branches of every reply tree; see ``replies`` for what a table may hold."""
-    rows, nodes = replies(messages, **names)
-    return pieces(rows, branches(nodes, most))
+    rows, nodes, named = replies(messages, **names)
+    return pieces(rows, branches(nodes, most).join(named, "node"))
 
 
 def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
