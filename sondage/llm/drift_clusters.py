@@ -59,7 +59,7 @@ def id_hash(seed: int = SEED) -> Column:
 def first_centroids(rows: DataFrame, k: int, seed: int = SEED) -> np.ndarray:
     """The vectors whose hashed ids are smallest (equal ids: by components), in this order."""
     best = rows.select(id_hash(seed).alias("h"), "x").orderBy("h", "x").limit(k).collect()
-    return np.array([r["x"] for r in best], np.int64).reshape(len(best), -1)
+    return np.array([r["x"] for r in best], np.int64) if best else np.zeros((0, 0), np.int64)
 
 
 def squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
