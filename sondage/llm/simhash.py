@@ -48,13 +48,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (bigint with the fingerprint's bits), one row per input row."""
-    rows = id_and_text(docs, id_col, text_col)
+    """``doc_id, mark, fp`` (bigint with the fingerprint's bits), one row per input row; ``mark`` is a hash of the text."""
+    rows = id_and_text(docs, id_col, text_col).withColumn("mark", text_mark("text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([fingerprint(t, shingle) for t in batch_texts(batch)], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "fp"])
-    return map_batches(rows, run, f"doc_id {field_type(rows, 'doc_id')}, fp bigint")
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(found)], ["doc_id", "mark", "fp"])
+    return map_batches(rows, run, f"doc_id {field_type(rows, 'doc_id')}, mark bigint, fp bigint")
+
+
+def text_mark(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def _flips(bits: int, most: int) -> list[tuple[int, int]]:
@@ -120,18 +124,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null and empty texts, and texts of white space only, have fingerprint zero and link like any
     other. Rows repeated with one id get a row each. A null id takes part; it is the component of
     a group only if all its ids are null. An empty table gives no rows."""
+    return _grouped(docs, id_col, text_col, shingle, distance, paired).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, distance: int = DISTANCE,
+             paired: int = PAIRED_AT_ONCE) -> DataFrame:
+    """``doc_id, mark, fp, component, component_id``; ``component`` names the group also where ids are null."""
     rows = materialize(fingerprints(docs, id_col, text_col, shingle))
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    comp = components(links(fps, distance, paired))
+    comp = components(links(fps.select("fp"), distance, paired))
     named = materialize(fps.join(comp.withColumnRenamed("v", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component")))
     smallest = materialize(named.groupBy("component").agg(F.min("first_id").alias("component_id")))
-    told = materialize(named.join(smallest, "component").select("fp", "component_id"))
-    return rows.join(told, "fp").select("doc_id", "fp", "component_id")
+    told = materialize(named.join(smallest, "component").select("fp", "component", "component_id"))
+    return rows.join(told, "fp").select("doc_id", "mark", "fp", "component", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their group (the smallest id of it), with all their columns."""
-    found = near_duplicates(docs, id_col, text_col)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep_id")).distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("_keep_id")), "left_semi").select(*docs.columns)
+    """One row of ``docs`` of each group, with all its columns: of those with the group's smallest id the one with the least
+    hash of its text; a row without an id only where no row has one. Rows repeated with one id and text stay once."""
+    found = materialize(_grouped(docs, id_col, text_col))
+    last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    stay = materialize(found.groupBy("component").agg(F.min(last).alias("m")).select(F.col("m.doc_id").alias("_keep_id"), F.col("m.mark").alias("_mark")))
+    keyed = docs.withColumn("_text_mark", text_mark(text_col))
+    kept = keyed.join(stay, keyed[id_col].eqNullSafe(F.col("_keep_id")) & (F.col("_text_mark") == F.col("_mark")), "left_semi")
+    again = found.join(stay, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("mark") == F.col("_mark")), "left_semi")
+    if again.groupBy("doc_id", "mark").count().filter("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([id_col, "_text_mark"])
+    return kept.select(*docs.columns)
