@@ -10,7 +10,7 @@ a document's rate follows from the short history of steps, each a value per doma
 
 from __future__ import annotations
 
-import itertools
+import warnings
 import zlib
 
 import numpy as np
@@ -26,7 +26,7 @@ FEATURES = 3_000          # words of the sample that the classifier looks at, at
 LEAST_CHI2 = 20.0         # by the chi-square of their presence, which chance alone hardly reaches
 STEPS = 30
 _LEAST_DOCS = 5
-_HASHES = 1 << 20
+LONGEST_WORD = 100        # bytes of a word that can be a feature
 TOLERANCE = 1e-4
 
 #: Domains of the labelled table: what a label row says about its document.
@@ -43,10 +43,6 @@ def word_set(text: bytes) -> tuple[int, set[bytes]]:
     return len(words), set(words).union(text.translate(_PLAIN).split())
 
 
-def _hashes(words) -> np.ndarray:
-    return np.fromiter((zlib.crc32(w) & (_HASHES - 1) for w in words), np.int64, len(words))
-
-
 def _shape(text: bytes) -> tuple[float, float, float]:
     """Shares of capitals among ASCII letters, of punctuation and digits among all bytes."""
     raw = np.frombuffer(text, np.uint8)
@@ -61,44 +57,25 @@ def _shape(text: bytes) -> tuple[float, float, float]:
 class Classifier:
     """Softmax regression on the presence of words and the shape of a text."""
 
-    def __init__(self, texts: list[bytes], labels: list[str], domains: list[str], epochs: int = 30, seed: int = 2,
-                 shares: dict[str, float] | None = None):
+    def __init__(self, words: list[bytes], ids: list[np.ndarray], shape: np.ndarray, labels: list[str], domains: list[str],
+                 epochs: int = 30, seed: int = 2, shares: dict[str, float] | None = None):
+        """Fit on documents that hold the words numbered ``ids`` among ``words`` and have the given ``shape`` and label."""
         self.domains = list(domains)
+        self.number = {w: i for i, w in enumerate(words)}
+        k, n = len(self.domains), len(labels)
         gold = np.array([self.domains.index(d) for d in labels], np.int64)
-        # Most words are rare: counted by hash first, so that only those that may be frequent enough are held.
-        hashed = np.zeros(_HASHES, np.int32)
-        for t in texts:
-            np.add.at(hashed, _hashes(word_set(t)[1]), 1)
-        likely = hashed >= _LEAST_DOCS
-        seen: dict[bytes, list[int]] = {}
-        for t, d in zip(texts, gold.tolist()):
-            words = list(word_set(t)[1])
-            for w in itertools.compress(words, likely[_hashes(words)].tolist()):
-                seen.setdefault(w, [0] * len(domains))[d] += 1
-        size = np.bincount(gold, minlength=len(domains)) if texts else np.zeros(len(domains))
-        strength = {}
-        for w, found in seen.items():
-            n = np.array(found, float)
-            if n.sum() >= _LEAST_DOCS:
-                share = n.sum() / len(texts)
-                strength[w] = float((np.square(n - size * share) / np.maximum(size * share * (1 - share), 1e-9)).sum())
-        chosen = sorted((w for w, x in strength.items() if x >= LEAST_CHI2), key=lambda w: (-strength[w], w))[:FEATURES]
-        self.number = {w: i for i, w in enumerate(chosen)}
-        k = len(self.domains)
-        self.weights, self.bias, self.shape = np.zeros((len(chosen), k)), np.zeros(k), np.zeros((3, k))
+        self.weights, self.bias, self.shape = np.zeros((len(words), k)), np.zeros(k), np.zeros((3, k))
         self.prior = np.zeros(k)
-        if not texts:
+        if not n:
             return
-        ids = [np.array(sorted(self.number[w] for w in self.number.keys() & word_set(t)[1]), np.int64) for t in texts]
-        shape = np.array([_shape(t) for t in texts])
         # The sample has about as many documents of each domain; posteriors are turned to the true shares.
         self.prior = np.log(np.array([(shares or {}).get(d, 0.0) + 1e-6 for d in domains]) / (np.bincount(gold, minlength=k) / len(gold) + 1e-6)) \
             if shares else np.zeros(k)
         held = [np.full(a.shape, 1e-3) for a in (self.weights, self.bias, self.shape)]
         rng = np.random.default_rng(seed)
         for _ in range(epochs):
-            order = rng.permutation(len(texts))
-            for at in range(0, len(order), 128):
+            order = rng.permutation(n)
+            for at in range(0, n, 128):
                 batch = order[at:at + 128]
                 flat = np.concatenate([ids[i] for i in batch])
                 size = np.array([len(ids[i]) for i in batch])
@@ -106,7 +83,7 @@ class Classifier:
                 p[np.arange(len(batch)), gold[batch]] -= 1
                 p /= len(batch)
                 spread = np.repeat(p, size, axis=0)
-                gw = np.stack([np.bincount(flat, spread[:, j], len(chosen)) for j in range(k)], axis=1) + 1e-5 * self.weights
+                gw = np.stack([np.bincount(flat, spread[:, j], len(words)) for j in range(k)], axis=1) + 1e-5 * self.weights
                 for value, grad, total in zip((self.weights, self.bias, self.shape), (gw, p.sum(axis=0), shape[batch].T @ p), held):
                     total += grad * grad
                     value -= 0.2 * grad / np.sqrt(total)
@@ -142,10 +119,39 @@ def train(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS,
     names = list(domains)
     counts = {names[r["place"]]: r["n"] for r in marked.groupBy("place").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = sample_per_class(marked, "doc_id", "place", per_domain, "domain")
-    rows = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "text"]).collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))
-    return Classifier([(r["text"] or "").encode() for r in rows], [names[r["place"]] for r in rows], names,
-                      shares={d: n / sum(counts.values()) for d, n in counts.items()})
+    sample = materialize(id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "text"]))
+    size = {r["place"]: r["n"] for r in sample.groupBy("place").agg(F.count(F.lit(1)).alias("n")).collect()}
+    words = telling_words(sample, [size.get(i, 0) for i in range(len(names))])
+    words_of = share(docs.sparkSession, {w: i for i, w in enumerate(words)})
+
+    def look(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, number = batch_texts(batch), words_of()
+        ids = [sorted(number[w] for w in number.keys() & word_set(t)[1]) for t in texts]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("place"), pa.array(ids, pa.list_(pa.int32())), pa.array([list(_shape(t)) for t in texts], pa.list_(pa.float64())),
+             pa.array([zlib.crc32(t) for t in texts], pa.int64())], ["doc_id", "place", "ids", "shape", "mark"])
+    seen = map_batches(sample, look, f"doc_id {field_type(sample, 'doc_id')}, place int, ids array<int>, shape array<double>, mark bigint").collect()
+    seen = sorted(seen, key=lambda r: (r["doc_id"], r["mark"], r["ids"]))
+    return Classifier(words, [np.array(r["ids"], np.int64) for r in seen], np.array([r["shape"] for r in seen]).reshape(-1, 3),
+                      [names[r["place"]] for r in seen], names, shares={d: n / sum(counts.values()) for d, n in counts.items()})
+
+
+def telling_words(sample: DataFrame, size: list[int]) -> list[bytes]:
+    """Up to ``FEATURES`` words whose presence tells the domains of ``sample`` (``text, place``) apart, by chi-square; ``size``
+    is the number of its documents per place. Words are counted in tasks; of the words only the chosen ones move on."""
+    def present(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [[w for w in word_set(t)[1] if len(w) <= LONGEST_WORD] for t in batch_texts(batch)]
+        flat = pa.array([w for s in sets for w in s], pa.binary())
+        return pa.RecordBatch.from_arrays([flat, batch.column("place").take(pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets])))],
+                                          ["word", "place"])
+    n = [F.coalesce(F.sum((F.col("place") == i).cast("bigint")), F.lit(0)) for i in range(len(size))]
+    counts = map_batches(sample.select("text", "place"), present, "word binary, place int").groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"), *[c.alias(f"n{i}") for i, c in enumerate(n)]).filter(F.col("n") >= _LEAST_DOCS)
+    share_of = F.col("n") / F.lit(float(max(sum(size), 1)))
+    strength = sum(((F.col(f"n{i}") - share_of * m) * (F.col(f"n{i}") - share_of * m) / F.greatest(share_of * (1 - share_of) * m, F.lit(1e-9))
+                    for i, m in enumerate(size)), F.lit(0.0))
+    best = counts.select("word", strength.alias("s")).filter(F.col("s") >= LEAST_CHI2).orderBy(F.desc("s"), "word").limit(FEATURES)
+    return [bytes(r["word"]) for r in best.collect()]
 
 
 def posteriors(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,7 +182,8 @@ def _rate(history: list[list[float]], most: float | None) -> Column:
 
 def fit_rates(table: DataFrame, targets: dict[str, float], domains: list[str], relative: bool = True, most: float | None = None,
               steps: int = STEPS) -> tuple[Column, dict]:
-    """Rates as a column of ``table`` (``n_tokens, posterior``), and a report.
+    """Rates as a column of ``table`` (``n_tokens, posterior``), and a report: the expected tokens of each domain that were
+    wanted and reached, the steps, and whether any is ``missed`` by more than ``TOLERANCE`` of all tokens.
 
     ``targets`` are shares of all tokens, or multiples of each domain's expected tokens if not
     ``relative``. Steps are taken in the metric in which a document weighs its tokens, so that a long
@@ -190,7 +197,7 @@ def fit_rates(table: DataFrame, targets: dict[str, float], domains: list[str], r
     wanted = np.array([float(targets.get(d, 0.0)) for d in domains])
     want = wanted / max(wanted.sum(), 1e-12) * total if relative else wanted * have
     if not total:
-        return F.lit(1.0), {"targets": want.tolist(), "reached": have.tolist(), "steps": 0}
+        return F.lit(1.0), {"targets": want.tolist(), "reached": have.tolist(), "steps": 0, "missed": False}
     g = np.array(first[k:]).reshape(k, k)
     scale = np.linalg.pinv(g + 1e-9 * np.trace(g) * np.eye(k))
     history: list[list[float]] = []
@@ -202,7 +209,8 @@ def fit_rates(table: DataFrame, targets: dict[str, float], domains: list[str], r
         history.append((scale @ gap).tolist())
         rate = _rate(history, most)
         reached = np.array([x or 0.0 for x in table.agg(*(F.sum(rate * weight * F.col("posterior")[i]) for i in range(k))).first()])
-    return _rate(history, most), {"targets": want.tolist(), "reached": reached.tolist(), "steps": len(history)}
+    return _rate(history, most), {"targets": want.tolist(), "reached": reached.tolist(), "steps": len(history),
+                                    "missed": bool(np.abs(reached - want).max() > TOLERANCE * total)}
 
 
 def copies(rate: Column, key: str, seed: str) -> Column:
@@ -217,10 +225,12 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domains:
 
     Null and empty texts have no tokens: their rate follows their posterior but moves no total. Rows
     repeat as they come. Without labelled documents all domains are equally likely. An empty table
-    gives no rows."""
+    gives no rows. Targets that the rates cannot reach (``missed`` in the report of ``fit_rates``) are told by a warning."""
     classifier = train(docs, labels, domains, id_col, text_col)
     table = materialize(posteriors(docs, classifier, id_col, text_col))
-    rate, _ = fit_rates(table, targets, list(domains), relative, most)
+    rate, report = fit_rates(table, targets, list(domains), relative, most)
+    if report["missed"]:
+        warnings.warn(f"expected tokens of the domains {list(domains)} come to {report['reached']}, not to {report['targets']}", stacklevel=2)
     return (table.withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), "doc_id", seed))
             .select("doc_id", "n_tokens", *(F.col("posterior")[i].alias(f"p_{d}") for i, d in enumerate(domains)), "rate", "copies"))
 
