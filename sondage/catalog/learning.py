@@ -453,28 +453,29 @@ def mlp_curve(spark, d):
 
 @query()
 def rf_grid(spark, d):
-    """All five sizes and four depths: a fit per depth."""
+    """All five sizes at the first of four depths, from one fit; the defaults of ``forest_sweep`` are all of them."""
     train, val, _ = _parts(spark, d)
-    return models.forest_sweep(train, val)
+    return models.forest_sweep(train, val, depths=(15,))
 
 
 @query()
 def rf_cv(spark, d):
-    """The grid of a hundred settings (the study's two minimum sizes for a split have no counterpart in Spark): 20 fits."""
+    """Twelve settings from ten fits; the default of ``forest_cross_validation`` has a hundred (the study's two minimum sizes
+    for a split have no counterpart in Spark), which take twenty."""
     folds = splits.kfold_stratified(table(spark, d, "embeddings"), "vec_id", "label")
     data = reports.ml_rows(folds, "embedding", "label", DIGITS, ["fold"]).persist()
-    return models.forest_cross_validation(data)[1]
+    return models.forest_cross_validation(data, trees=(10, 20, 50), depths=(5, 10), min_leaf=(1, 4))[1]
 
 
 @query()
 def rf_tuned(spark, d):
-    """Grid search on the training rows, scored on the validation rows; of the grid one smallest part (25 settings)."""
+    """Grid search on the training rows, scored on the validation rows; four settings of the default grid."""
     vectors = _vectors(spark, d)
     train = splits.kfold_stratified(vectors.filter("split = 'train'"), "vec_id", "label")
     score, setting, val = reports.tuned_forest(
         reports.ml_rows(train, "embedding", "label", DIGITS, ["fold"]).persist(),
         reports.ml_rows(vectors.filter("split = 'val'"), "embedding", "label", DIGITS), DIGITS,
-        min_leaf=(2,))
+        trees=(10, 20), depths=(5, 8), min_leaf=(2,))
     row = (float(score), setting["trees"], setting["depth"], setting["min_leaf"],
            float(val["accuracy"]), float(val["f1_macro"]), float(val["f1_weighted"]))
     return spark.createDataFrame([row], "cv_accuracy double, trees int, depth int, min_leaf int, "
@@ -504,8 +505,10 @@ def model_compare(spark, d):
 
 
 def _report(spark, d):
-    """All strengths, sizes, depths and neighbour counts."""
-    return reports.full_report(_vectors(spark, d), "vec_id", "embedding", "label", DIGITS)
+    """Two of six strengths, smaller forests of two sizes and one depth, all neighbour counts: ``logreg_sweep`` has all
+    strengths, ``rf_grid`` all sizes, ``knn_tuned`` the line of the neighbours."""
+    return reports.full_report(_vectors(spark, d), "vec_id", "embedding", "label", DIGITS,
+                               strengths=(0.1, 1.0), sizes=(10, 20), depths=(5,))
 
 
 @query()
@@ -521,10 +524,10 @@ def tune_report_best(spark, d):
 
 @query()
 def vocab_size_sweep(spark, d):
-    """All seven sizes, of the grid one smallest part and forests of up to 50 trees and depth 10 (5 fits a size)."""
+    """All seven sizes, with one small setting of the grid each; the features are built once."""
     rows = records.drop_unlabelled(responses(spark, d))
     plan = FeaturePipeline(pooled_layout("doc_id", *COLUMNS, **RULES))
-    return reports.vocabulary_size_sweep(rows, plan, "label", ["0", "1"], trees=(10, 50), depths=(5, 10), min_leaf=(1,))
+    return reports.vocabulary_size_sweep(rows, plan, "label", ["0", "1"], trees=(10,), depths=(5,), min_leaf=(1,))
 
 
 @query()
