@@ -296,7 +296,8 @@ def test_language_model_scores_are_those_of_its_network(spark):
     encoded = lm.encoded_rows(rows, lexicon)
     network, bands = lm.fit(encoded, lexicon, share_tokens=700)
     assert len(lexicon.word_counts) > 10 and len(bands.starts) == -(-bands.h // 5) and np.abs(bands.t).max() > 0.1
-    model = lm.Model(network, bands, lexicon.head)
+    model = lm.Model(network, bands, lexicon)
+    shares = [sum(lexicon.word_counts[i:i + 5]) / sum(lexicon.word_counts) for i in range(0, bands.h, 5)]
     k, words = network.k, {w: c for w, c in lexicon.place.items()}
 
     def class_log(u, v):
@@ -306,7 +307,7 @@ def test_language_model_scores_are_those_of_its_network(spark):
     def word_log(v, i):
         low = i // 5 * 5
         s = {j: float((bands.a[v] * bands.t[j]).sum() + bands.b[j]) for j in range(low, min(low + 5, bands.h))}
-        return s[i] - np.log(sum(map(np.exp, s.values())))
+        return np.log(shares[i // 5]) + s[i] - np.log(sum(map(np.exp, s.values())))
     for r in encoded.collect():
         line = [words.get(w, (lm.REST, -1)) for w in texts[r["doc_id"]].encode().lower().split()] + [(lm.STOP, -1)]
         before, total = [lm.STOP, lm.STOP], 0.0
