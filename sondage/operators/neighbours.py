@@ -30,7 +30,9 @@ from ..functions.text import let
 from .distribute import BROADCAST_BYTES, materialize
 
 PIVOTS = 64
-BLOCK_ROWS = 1 << 16
+BLOCK_ROWS = 1 << 14
+TILE_ROWS = 1 << 12
+ASKED_ROWS = 1 << 12
 RINGS = 64
 MAX_BLOCKS = 1 << 17
 _PAIRS_AT_ONCE = 1 << 16
@@ -41,36 +43,60 @@ def _matrix(values: Sequence, dim: int) -> np.ndarray:
     return np.concatenate([np.asarray(v, dtype=np.float64) for v in values]).reshape(-1, dim)
 
 
+def _lengths(x: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", x, x)
+
+
 def _distances(q: np.ndarray, r: np.ndarray) -> np.ndarray:
     """Squared distances by one matrix product (rounding error: see ``_slack``)."""
-    return (q * q).sum(1)[:, None] + (r * r).sum(1)[None, :] - 2.0 * (q @ r.T)
+    near = q @ r.T
+    near *= -2.0
+    near += _lengths(q)[:, None]
+    near += _lengths(r)[None, :]
+    return near
 
 
 def _slack(q: np.ndarray, r: np.ndarray) -> np.ndarray:
-    size = (q * q).sum(1) + (r * r).sum(1).max()
+    size = _lengths(q) + _lengths(r).max()
     return 8.0 * (q.shape[1] + 4) * np.finfo(np.float64).eps * size
 
 
-def _top(q: np.ndarray, r: np.ndarray, ids: np.ndarray, k: int):
+def _ordered(rows: np.ndarray, cols: np.ndarray, exact: np.ndarray, ids: np.ndarray, k: int):
+    """The ``k`` first of each row by distance and id."""
+    order = np.lexsort((ids[cols], exact, rows))
+    rows, cols, exact = rows[order], cols[order], exact[order]
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+    return rows[keep], cols[keep], exact[keep]
+
+
+def _top(q: np.ndarray, r: np.ndarray, ids: np.ndarray, k: int, tile: int = TILE_ROWS):
     """Row of ``q``, row of ``r`` and exact distance of the ``k`` nearest, in order.
 
-    The matrix product only picks candidates, with a margin above its rounding
-    error; their distances are then taken from the differences.
+    The references are taken ``tile`` rows at a time, so that memory does not grow with their number. The matrix
+    product only picks candidates, with a margin above its rounding error, among those no further than the ``k``
+    nearest of the tiles before; their distances are then taken from the differences.
     """
-    near = _distances(q, r)
-    k = min(k, r.shape[0])
-    kth = np.partition(near, k - 1, axis=1)[:, k - 1]
-    rows, cols = np.nonzero(near <= (kth + 2.0 * _slack(q, r))[:, None])
-    exact = np.empty(len(rows))
-    for at in range(0, len(rows), _PAIRS_AT_ONCE):
-        part = slice(at, at + _PAIRS_AT_ONCE)
-        diff = q[rows[part]] - r[cols[part]]
-        exact[part] = (diff * diff).sum(axis=1)
-    order = np.lexsort((ids[cols], exact, rows))
-    rows, cols, exact = rows[order], cols[order], exact[order]
-    rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    keep = rank < k
-    return rows[keep], cols[keep], np.sqrt(exact[keep])
+    slack = 2.0 * _slack(q, r)
+    bound = np.full(len(q), np.inf)
+    found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    for start in range(0, len(r), tile):
+        part = r[start:start + tile]
+        near = _distances(q, part)
+        hit = near <= (bound + slack)[:, None]
+        most = min(k, len(part))
+        if np.count_nonzero(hit) > 4 * most * len(q):
+            hit &= near <= (np.partition(near, most - 1, axis=1)[:, most - 1] + slack)[:, None]
+        rows, cols = np.nonzero(hit)
+        exact = np.empty(len(rows))
+        for at in range(0, len(rows), _PAIRS_AT_ONCE):
+            some = slice(at, at + _PAIRS_AT_ONCE)
+            diff = q[rows[some]] - part[cols[some]]
+            exact[some] = (diff * diff).sum(axis=1)
+        found = _ordered(*(np.concatenate(two) for two in zip(found, (rows, cols + start, exact))), ids, k)
+        ends = np.searchsorted(found[0], np.arange(1, len(q) + 1))
+        full = np.diff(ends, prepend=0) == k
+        bound[full] = found[2][ends[full] - 1]
+    return found[0], found[1], np.sqrt(found[2])
 
 
 def _answers(query_ids, q, r, ref_ids, labels, k: int, step: int = 256):
@@ -127,7 +153,7 @@ def _assign(df: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
 
 
 def _groups(refs: DataFrame, n_rows: int, group_rows: int) -> DataFrame:
-    """References in groups of about ``group_rows`` rows, one row each. A cell is cut into rings by the
+    """References with the ``block``, of about ``group_rows`` rows, that each is in. A cell is cut into rings by the
     distance to its pivot, so that few groups lie in a query's reach; rows that share a ring's distance by
     chance of rounding are cut by hash."""
     per_group = max(group_rows, -(-n_rows // MAX_BLOCKS))
@@ -140,12 +166,18 @@ def _groups(refs: DataFrame, n_rows: int, group_rows: int) -> DataFrame:
     sizes = ringed.groupBy("cell", "ring").agg(F.count(F.lit(1)).alias("size"))  # at most RINGS rows per pivot
     salted = ringed.join(F.broadcast(sizes), ["cell", "ring"]).withColumn(
         "salt", F.pmod(F.xxhash64("ref_id"), F.ceil(F.col("size") / F.lit(2 * per_group))).cast("int"))
-    packed = salted.groupBy("cell", "ring", "salt").agg(
-        F.collect_list(F.struct("vec", "ref_id", "label")).alias("m"), F.min("gap").alias("inner"),
-        F.max("gap").alias("outer"), F.count(F.lit(1)).alias("n"))
-    return packed.select(
-        F.concat_ws("-", "cell", "ring", "salt").alias("block"), "cell", "inner", "outer", "n",
-        F.flatten("m.vec").alias("vecs"), F.col("m.ref_id").alias("ref_id"), F.col("m.label").alias("label"))
+    return salted.withColumn("block", F.concat_ws("-", "cell", "ring", "salt"))
+
+
+def _packed(rows: DataFrame, key: str, others: Sequence[str], vecs: str, at_once: int) -> DataFrame:
+    """The rows ``key, vec, *others`` of a key side by side, at most about ``at_once`` in each row of the result.
+
+    Rows are written and moved singly and meet after the shuffle: a table of such wide rows would be read in
+    batches that no task holds."""
+    sizes = materialize(rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / at_once).alias("parts")))
+    marked = rows.hint("merge").join(sizes, key).withColumn("part", F.pmod(F.xxhash64(others[0]), F.col("parts")))
+    return marked.groupBy(key, "part").agg(F.collect_list(F.struct("vec", *others)).alias("m")).select(
+        key, F.flatten("m.vec").alias(vecs), *[F.col(f"m.{c}").alias(c) for c in others])
 
 
 class _Reach:
@@ -175,13 +207,6 @@ class _Reach:
         return possible
 
 
-def _cells(hits: np.ndarray, names: np.ndarray, ids: np.ndarray, q: np.ndarray):
-    """One row per group with the queries it is compared with."""
-    for g in np.flatnonzero(hits.any(axis=0)):
-        hit = hits[:, g]
-        yield pd.DataFrame({"block": [names[g]], "query_id": [ids[hit]], "qvecs": [q[hit].ravel()]})
-
-
 def _search_groups(queries: DataFrame, refs: DataFrame, k: int, dim: int, n_refs: int, n_pivots: int,
                    group_rows: int) -> tuple[DataFrame, DataFrame]:
     """The neighbours, and the further (queries, group) cells that were compared."""
@@ -190,22 +215,19 @@ def _search_groups(queries: DataFrame, refs: DataFrame, k: int, dim: int, n_refs
     pivots = _matrix([p["vec"] for p in chosen], dim)
     groups = materialize(_groups(_assign(refs, pivots, dim), n_refs, group_rows))
     # At most MAX_BLOCKS + n_pivots x RINGS rows of five numbers.
-    stats = groups.select("block", "cell", "inner", "outer", "n").orderBy("block").toPandas()
+    stats = groups.groupBy("block", "cell").agg(F.min("gap").alias("inner"), F.max("gap").alias("outer"), F.count(F.lit(1)).alias("n"))
+    stats = stats.select("block", "cell", "inner", "outer", "n").orderBy("block").toPandas()
     shared = context.broadcast((pivots, stats))
     qt, rt, lt = _schemas(queries, refs)
-    tables = groups.select("block", "vecs", "ref_id", "label")
+    asked_type = T.StructType([queries.schema["query_id"], queries.schema["vec"], T.StructField("block", T.ArrayType(T.StringType()))])
 
     def at_home(batches):
         reach = _Reach(*shared.value, k)
         for batch in batches:
             for at in range(0, len(batch), reach.at_once):
                 part = batch.iloc[at:at + reach.at_once]
-                rows = _matrix(part["vec"], dim)
-                home = reach.home(rows)
-                for g in np.unique(home):
-                    hit = home == g
-                    yield pd.DataFrame({"block": [reach.names[g]], "query_id": [part["query_id"].to_numpy()[hit]],
-                                        "qvecs": [rows[hit].ravel()]})
+                home = reach.home(_matrix(part["vec"], dim))
+                yield part.assign(block=[[name] for name in reach.names[home]])
 
     def search(batches):
         for batch in batches:
@@ -215,11 +237,13 @@ def _search_groups(queries: DataFrame, refs: DataFrame, k: int, dim: int, n_refs
                                       np.asarray(row.ref_id), np.asarray(row.label), k):
                     yield found.assign(block=row.block)
 
-    def compare(cells: DataFrame) -> DataFrame:
-        return cells.join(tables, "block").mapInPandas(
+    def compare(asked: DataFrame) -> DataFrame:
+        single = asked.select("query_id", "vec", F.explode("block").alias("block"))
+        tables = _packed(groups, "block", ("ref_id", "label"), "vecs", n_refs)  # a group is one row
+        # By shuffle: what the queries come to is not known from the size of their table.
+        return _packed(single, "block", ("query_id",), "qvecs", ASKED_ROWS).hint("merge").join(tables, "block").mapInPandas(
             search, f"query_id {qt}, ref_id array<{rt}>, dist array<double>, label array<{lt}>, block string")
-    pair_type = f"block string, query_id array<{qt}>, qvecs array<double>"
-    first = materialize(compare(queries.select("query_id", "vec").mapInPandas(at_home, pair_type)))
+    first = materialize(compare(materialize(queries.select("query_id", "vec").mapInPandas(at_home, asked_type))))
     # The true k-th distance at home bounds the search elsewhere; a home of fewer rows bounds nothing.
     radius = first.select("query_id", "block", F.when(F.size("dist") >= k, F.get("dist", F.lit(k - 1)))
                           .otherwise(F.lit(float("inf"))).alias("radius"))
@@ -233,15 +257,15 @@ def _search_groups(queries: DataFrame, refs: DataFrame, k: int, dim: int, n_refs
                 part = batch.iloc[at:at + reach.at_once]
                 rows = _matrix(part["vec"], dim)
                 hits = reach.rest(rows, part["block"].map(place).to_numpy(), part["radius"].to_numpy())
-                yield from _cells(hits, reach.names, part["query_id"].to_numpy(), rows)
-    further = materialize(waiting.mapInPandas(elsewhere, pair_type))
+                yield part[["query_id", "vec"]].assign(block=[list(reach.names[hit]) for hit in hits])
+    further = materialize(waiting.mapInPandas(elsewhere, asked_type))
     found = first.drop("block").unionByName(compare(further).drop("block"))
     single = found.select("query_id", F.explode(F.arrays_zip("ref_id", "dist", "label")).alias("x"))
     best = Window.partitionBy("query_id").orderBy("x.dist", "x.ref_id")
     nearest_of = (single.withColumn("rk", F.row_number().over(best)).filter(F.col("rk") <= k)
                   .groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rk", "x"))).alias("s"))
                   .select("query_id", F.col("s.x").alias("neighbours")))
-    return nearest_of, further.select("block", F.size("query_id").alias("queries"))
+    return nearest_of, further.select(F.explode("block").alias("block")).groupBy("block").agg(F.count(F.lit(1)).alias("queries"))
 
 
 def _without_spare_copies(refs: DataFrame, k: int) -> DataFrame:
@@ -320,30 +344,29 @@ def nearest_approximate(queries: DataFrame, refs: DataFrame, k: int, *, query_id
     bits = min(max(int(np.ceil(np.log2(max(size["n"] / bucket_rows, 1)))), 1), 62)
     shared = q.sparkSession.sparkContext.broadcast(_Planes(mean, tables, bits, seed))
     qt, rt, lt = _schemas(q, r)
+    first = np.arange(tables, dtype=np.int64) << bits  # a bucket is its table's number before its code
 
     def fill(batches):
         for batch in batches:
             if len(batch):
                 codes, _ = shared.value.codes(_matrix(batch["vec"], dim))
-                yield batch.assign(bucket=[[f"{t}-{c}" for t, c in enumerate(row)] for row in codes.tolist()])
-    spread = r.mapInPandas(fill, T.StructType([*r.schema.fields, T.StructField("bucket", T.ArrayType(T.StringType()))]))
-    spread = materialize(spread.withColumn("bucket", F.explode("bucket")))
-    sizes = materialize(spread.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("parts")))
-    salted = spread.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("ref_id"), F.col("parts")))
-    packed = salted.groupBy("bucket", "part").agg(F.collect_list(F.struct("vec", "ref_id", "label")).alias("m")).select(
-        "bucket", F.flatten("m.vec").alias("vecs"), F.col("m.ref_id").alias("ref_id"), F.col("m.label").alias("label"))
+                yield batch.assign(bucket=list(codes + first))
 
     def ask(batches):
         for batch in batches:
             if len(batch):
-                rows, ids = _matrix(batch["vec"], dim), batch["query_id"].to_numpy()
-                codes, gaps = shared.value.codes(rows)
-                for t in range(tables):
-                    wanted = _probes(codes[:, t], gaps[:, t], probes)
-                    for c in np.unique(wanted):
-                        hit = (wanted == c).any(axis=1)
-                        yield pd.DataFrame({"bucket": [f"{t}-{c}"], "query_id": [ids[hit]], "qvecs": [rows[hit].ravel()]})
-    asked = q.select("query_id", "vec").mapInPandas(ask, f"bucket string, query_id array<{qt}>, qvecs array<double>")
+                codes, gaps = shared.value.codes(_matrix(batch["vec"], dim))
+                wanted = [_probes(codes[:, t], gaps[:, t], probes) + first[t] for t in range(tables)]
+                yield batch.assign(bucket=list(np.concatenate(wanted, axis=1)))
+
+    def placed(rows: DataFrame, fn) -> DataFrame:
+        buckets = T.StructField("bucket", T.ArrayType(T.LongType()))
+        return materialize(rows.mapInPandas(fn, T.StructType([*rows.schema.fields, buckets])))
+
+    def packed(rows: DataFrame, others: Sequence[str], vecs: str, at_once: int) -> DataFrame:
+        return _packed(rows.select("vec", *others, F.explode(F.array_distinct("bucket")).alias("bucket")), "bucket", others, vecs, at_once)
+    held = packed(placed(r, fill), ("ref_id", "label"), "vecs", block_rows)
+    asked = packed(placed(q, ask), ("query_id",), "qvecs", ASKED_ROWS)
 
     def search(batches):
         for batch in batches:
@@ -351,7 +374,8 @@ def nearest_approximate(queries: DataFrame, refs: DataFrame, k: int, *, query_id
                 own = np.asarray(row.qvecs, dtype=np.float64).reshape(-1, dim)
                 yield from _answers(np.asarray(row.query_id), own, np.asarray(row.vecs, dtype=np.float64).reshape(-1, dim),
                                     np.asarray(row.ref_id), np.asarray(row.label), k)
-    found = asked.join(packed, "bucket").mapInPandas(
+    # By shuffle: a query has a copy for every bucket it probes, which the size of its table does not tell.
+    found = asked.hint("merge").join(held, "bucket").mapInPandas(
         search, f"query_id {qt}, ref_id array<{rt}>, dist array<double>, label array<{lt}>")
     single = found.select("query_id", F.explode(F.arrays_zip("ref_id", "dist", "label")).alias("x"))
     # A reference comes from several tables, always at the same distance.

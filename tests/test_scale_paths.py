@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -261,3 +263,31 @@ def test_cells_of_the_neighbour_search(spark):
         _, cells = neighbours._search_groups(df, refs, 3, 8, 2000, 20, 100)
         groups = 2000 / 50 + 20  # rings of at most about twice the wanted number
         assert cells.agg(F.sum("queries")).first()[0] <= most * 2000 * groups
+
+
+def test_memory_of_a_search_does_not_grow_with_the_references():
+    """In tiles; the distances of 256 queries to all of these references would take 400 MB."""
+    rng = np.random.default_rng(6)
+    q, r = rng.normal(size=(256, 4)), rng.normal(size=(200_000, 4))
+    r[150_000:150_050] = q[0]
+    ids = rng.permutation(len(r))
+    tracemalloc.start()
+    rows, cols, dist = neighbours._top(q, r, ids, 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    for i in (0, 1, 255):
+        want = brute(q[i:i + 1], r, ids, 7)[0]
+        assert [ids[c] for c in cols[rows == i]] == [j for _, j in want]
+        assert np.allclose(dist[rows == i], [d for d, _ in want])
+
+
+def test_searches_do_not_send_copies_of_queries_through_the_driver(spark):
+    """Queries are copied for every group or bucket that they see, which the size of their table does not tell."""
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(rng.normal(size=(400, 6)))], "id long, v array<double>, y int")
+    names = {"query_id": "id", "ref_id": "id", "vec": "v", "label": "y"}
+    for found, key in ((neighbours.nearest_approximate(df, df, 3, **names, bucket_rows=32), "bucket"),
+                       (neighbours.nearest(df, df, 3, **names, limit_bytes=0, n_pivots=5, block_rows=40), "block")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert f"SortMergeJoin [{key}" in plan and f"BroadcastHashJoin [{key}" not in plan
