@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sondage.operators import bayes, features as feats, models, neighbours, splits, terms as tt
-from sondage.operators import distribute
+from sondage.operators import distribute, vectors
 from sondage.operators.distribute import dense_index, hash_cutoffs, hash_order, lookup_join, materialize
 
 
@@ -291,3 +291,17 @@ def test_searches_do_not_send_copies_of_queries_through_the_driver(spark):
                        (neighbours.nearest(df, df, 3, **names, limit_bytes=0, n_pivots=5, block_rows=40), "block")):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert f"SortMergeJoin [{key}" in plan and f"BroadcastHashJoin [{key}" not in plan
+
+
+@pytest.mark.parametrize("limit", [1, 300, 1 << 30])
+def test_average_vectors_beyond_a_broadcast(spark, limit):
+    """Frequent words by broadcast, the others by shuffle, give the same means; a vector moves once per row and word."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{min(int(x), 29)}" for x in rng.zipf(1.3, 40)) for _ in range(60)] + ["none known", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id long, t string")
+    vecs = {f"w{i}": [float(i), 0.5 * i, -1.0 * i] for i in range(1, 25)}
+    words = spark.createDataFrame(list(vecs.items()), "word string, vec array<float>")
+    got = {r["row_id"]: r["vec"] for r in vectors.average_vectors(tt.term_table(df, "row_id", ["t"]), words, 3, limit_bytes=limit).collect()}
+    want = {i: np.mean([vecs[w] for w in (t or "").split() if w in vecs], axis=0) for i, t in enumerate(texts)
+            if any(w in vecs for w in (t or "").split())}
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
