@@ -25,6 +25,7 @@ from . import forest as forests, metrics
 from .distribute import materialize, shared_folder
 
 MOST_DEPTH = 30
+GROWN_AT_ONCE = 500_000  # nodes that the trees of one fit may come to; the driver holds them until its votes are counted
 LAYER_BYTES = 64 * 1024 * 1024
 COLUMNS = {"featuresCol": "features", "labelCol": "label_idx"}
 
@@ -86,6 +87,24 @@ def forest_sweep(train: DataFrame, val: DataFrame, sizes: Sequence[int] = FOREST
     return _rows(train, out, "position int, trees int, depth int, train_accuracy double, val_accuracy double")
 
 
+def forest_accuracy(train: DataFrame, val: DataFrame, trees: int, depth: int, min_leaf: int = 1, seed: int = 42,
+                    at_once: int = GROWN_AT_ONCE) -> float:
+    """Accuracy of a forest of ``trees`` trees. Trees of many rows are grown over several fits, with a seed each, and
+    their class shares added up, so that the driver never holds more than ``at_once`` nodes (or one tree)."""
+    most = 2 * train.count() if depth > 20 else min(2 * train.count(), 2 << depth)
+    each = max(1, min(trees, at_once // max(most, 1)))
+    if each == trees:
+        return accuracy(forest(trees, depth, min_leaf, seed).fit(train), val)
+    rows = val.select("label_idx", "features", F.lit(None).cast("array<double>").alias("votes"))
+    for i, start in enumerate(range(0, trees, each)):
+        model = forest(min(each, trees - start), depth, min_leaf, seed + i).fit(train)
+        voted = model.transform(rows).withColumn("raw", vector_to_array("rawPrediction"))
+        added = F.when(F.col("votes").isNull(), F.col("raw")).otherwise(F.zip_with("votes", "raw", lambda a, b: a + b))
+        rows = materialize(voted.select("label_idx", "features", added.alias("votes")))
+    first = (F.array_position("votes", F.array_max("votes")) - 1).cast("double")
+    return metrics.accuracy_of(rows.withColumn("prediction", first), "label_idx", "prediction")
+
+
 def node_table(model: RandomForestClassificationModel) -> DataFrame:
     """Nodes of a fitted forest, written and read as its export does."""
     spark = SparkSession.active()

@@ -44,7 +44,7 @@ def compare_defaults(rows: DataFrame, row_id: str, vec: str, label: str, classes
 
     found = models.compare({
         "KNN": neighbours_accuracy,
-        "Random Forest": lambda t, v: models.accuracy(models.forest(trees, depth, 1).fit(t), v),
+        "Random Forest": lambda t, v: models.forest_accuracy(t, v, trees, depth),
         "Naive Bayes": lambda t, v: models.accuracy(models.gaussian_bayes().fit(t), v),
     }, data.filter("split = 'train'"), data.filter("split = 'val'"))
     data.unpersist()

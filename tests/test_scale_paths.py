@@ -6,6 +6,7 @@ import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from sondage.operators import bayes, features as feats, models, neighbours, splits, terms as tt
@@ -305,3 +306,13 @@ def test_average_vectors_beyond_a_broadcast(spark, limit):
     want = {i: np.mean([vecs[w] for w in (t or "").split() if w in vecs], axis=0) for i, t in enumerate(texts)
             if any(w in vecs for w in (t or "").split())}
     assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
+
+
+def test_a_forest_grown_over_several_fits(spark):
+    """The driver holds the trees of one fit at a time; the votes of all of them count."""
+    rng = np.random.default_rng(9)
+    rows = [(float(i % 3), Vectors.dense(rng.normal(size=4) + i % 3 * 2)) for i in range(300)]
+    data = spark.createDataFrame(rows, ["label_idx", "features"])
+    parts = [models.forest_accuracy(data, data, 6, 30, at_once=n) for n in (1, 1300, 10_000)]
+    assert all(p > 0.95 for p in parts)
+    assert parts[2] == models.accuracy(models.forest(6, 30, 1).fit(data), data)
