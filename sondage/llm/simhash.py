@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.distribute import materialize
+from ..operators.distribute import materialize, table_bytes
 from .common import ascii_words, batch_texts, field_type, id_and_text, map_batches
 from .graph import components
 
@@ -28,6 +28,7 @@ SEED = 42
 # Pairing costs half of this many comparisons a row at most, spelling out up to 529 rows a row.
 PAIRED_AT_ONCE = 256
 _CHUNK = 50_000
+GONE_BYTES = 16 * 1024 * 1024
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -140,15 +141,20 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE
     return rows.join(told, "fp").select("doc_id", "mark", "fp", "component", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gone_bytes: int = GONE_BYTES) -> DataFrame:
     """One row of ``docs`` of each group, with all its columns: of those with the group's smallest id the one with the least
-    hash of its text; a row without an id only where no row has one. Rows repeated with one id and text stay once."""
+    hash of its text; a row without an id only where no row has one. Rows repeated with one id and text stay once.
+
+    The texts stay where they are if the ids and hashes of the rows that go are within ``gone_bytes``."""
     found = materialize(_grouped(docs, id_col, text_col))
     last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     stay = materialize(found.groupBy("component").agg(F.min(last).alias("m")).select(F.col("m.doc_id").alias("_keep_id"), F.col("m.mark").alias("_mark")))
     keyed = docs.withColumn("_text_mark", text_mark(text_col))
-    kept = keyed.join(stay, keyed[id_col].eqNullSafe(F.col("_keep_id")) & (F.col("_text_mark") == F.col("_mark")), "left_semi")
-    again = found.join(stay, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("mark") == F.col("_mark")), "left_semi")
+    staying = F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("mark") == F.col("_mark"))
+    gone = materialize(found.join(stay, staying, "left_anti").select(F.col("doc_id").alias("_keep_id"), F.col("mark").alias("_mark")).distinct())
+    match = keyed[id_col].eqNullSafe(F.col("_keep_id")) & (F.col("_text_mark") == F.col("_mark"))
+    kept = keyed.join(F.broadcast(gone), match, "left_anti") if table_bytes(gone) <= gone_bytes else keyed.join(stay, match, "left_semi")
+    again = found.join(stay, staying, "left_semi")
     if again.groupBy("doc_id", "mark").count().filter("count > 1").limit(1).count():
         kept = kept.dropDuplicates([id_col, "_text_mark"])
     return kept.select(*docs.columns)

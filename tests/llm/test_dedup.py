@@ -193,3 +193,14 @@ def test_reachable_needs_no_cube():
         d = ((x[:, None] - q.coarse[None, :]) ** 2).sum(axis=2)
         apart = np.sqrt(((q.coarse[own][:, None] - q.coarse[None]) ** 2).sum(axis=2))
         assert (near == (d - d[np.arange(len(x)), own][:, None] <= 2 * (0.37 + vectors_pq._SLACK) * apart + vectors_pq._SLACK)).all()
+
+
+def test_simhash_keep_one_leaves_texts_in_place(spark):
+    """The few rows that go are broadcast, so that no text moves; beyond a limit the texts are joined, with the same result."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    rows = [(i, " ".join(random.Random(i % 40).sample(words, 8))) for i in range(60)] + [(None, "x y z w"), (7, "x y z w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    near, far = simhash.keep_one(df), simhash.keep_one(df, gone_bytes=0)
+    assert sorted(near.collect(), key=str) == sorted(far.collect(), key=str) and near.count() < len(rows)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "SortMergeJoin" not in plan
