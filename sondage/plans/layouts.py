@@ -50,7 +50,8 @@ class DocumentModel:
 
 def document_features(docs: DataFrame, row_id: str, text: str, vocabulary: DataFrame,
                       stop: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    terms = tt.term_table(docs, row_id, [text], stop=stop, min_len=2, keep=keep)
+    terms = (tt.unfolded(docs.withColumnRenamed(row_id, "row_id"), keep) if tt.CELLS in docs.columns else
+             tt.term_table(docs, row_id, [text], stop=stop, min_len=2, keep=keep))
     return tt.term_weights(terms, vocabulary, tf="sublinear", norm="l2")
 
 
@@ -62,15 +63,16 @@ def document_layout(df: DataFrame, row_id: str, label: str = "label", max_featur
     Vocabulary and IDF are fitted on all rows, before the split.
     """
     stop = english_stop_words() if stop is None else stop
-    docs = records.one_document(df, label, keep=[row_id])
-    counts = tt.count_terms(tt.term_table(docs, row_id, ["text"], stop=stop, min_len=2))
+    # Read, joined and tokenised once; everything below reads this table.
+    cells = tt.term_cells(["text"], tt.cell_words(stop, min_len=2)).alias(tt.CELLS)
+    docs = materialize(records.one_document(df, label, keep=[row_id]).select(F.col(row_id).alias("row_id"), label, cells))
+    counts = tt.count_terms(tt.unfolded(docs))
     vocabulary = tt.document_vocabulary(counts, min_df, max_features)
     vocabulary = materialize(tt.add_idf(vocabulary, docs.count()))
     classes = records.label_classes(docs, label)
-    rows = splits.split_stratified(docs.select(F.col(row_id).alias("row_id"), label), "row_id", label,
-                                   test_size, seed)
+    rows = splits.split_stratified(docs.select("row_id", label), "row_id", label, test_size, seed)
     rows = records.encode_label(rows, classes, label)
-    features = document_features(docs, row_id, "text", vocabulary, stop).select("row_id", "idx", "value")
+    features = document_features(docs, "row_id", "text", vocabulary, stop).select("row_id", "idx", "value")
     scales = None
     if scale:
         train = rows.filter(F.col("split") == "train").select("row_id")

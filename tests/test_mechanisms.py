@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sondage.operators import distribute, forest as forests, models, neighbours, terms as tt
 from sondage.operators.distribute import materialize
+from sondage.plans import layouts
 from sondage.plans.pipeline import FeaturePipeline, pooled_layout, prepared
 from sondage.sources import survey
 
@@ -167,7 +168,125 @@ def test_grid_from_few_fits(spark, vectors):
     fits = []
     learner = models.forest
 
-    def test_first_seen_words_of_odd_rows(spark):
+    def counted(*args, **kwargs):
+        fits.append(args)
+        return learner(*args, **kwargs)
+    models.forest = counted
+    try:
+        model, table = models.forest_cross_validation(vectors, n_folds=3, trees=(3, 6), depths=(4, 2), min_leaf=(1, 5))
+    finally:
+        models.forest = learner
+    rows = table.orderBy("position").collect()
+    assert len(rows) == 8 and len(fits) == 2 * 3 + 1
+    assert [(r["depth"], r["min_leaf"], r["trees"]) for r in rows[:3]] == [(4, 1, 3), (4, 1, 6), (4, 5, 3)]
+    best = max(rows, key=lambda r: (r["accuracy"], -r["position"]))
+    assert model.getNumTrees == best["trees"] and all(0.3 < r["accuracy"] <= 1 for r in rows)
+
+
+def test_sparse_rows_walk_like_dense_ones(spark):
+    rng = np.random.default_rng(6)
+    x = rng.poisson(0.3, size=(120, 40)).astype(float) * rng.choice([1.0, -2.0, 0.5], size=(120, 40))
+    dense = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(500, [0.0] * 40)], "row_id long, x array<double>")
+    long = spark.createDataFrame([(i, j, float(x[i, j])) for i in range(120) for j in range(40) if x[i, j]] + [(0, 10**9, 5.0)],
+                                 "row_id long, idx long, value double")
+    nodes = []
+    for t in range(6):
+        f = [int(a) for a in rng.choice(40, 3, replace=False)]
+        nodes += [(t, 0, 1, 2, f[0], 0.0, [1.0, 1.0]), (t, 1, -1, -1, -2, -2.0, [3.0, float(t)]), (t, 2, 3, 4, f[1], 0.7, [1.0, 1.0]),
+                  (t, 3, -1, -1, -2, -2.0, [1.0, 2.0]), (t, 4, -1, -1, -2, -2.0, [0.0, 2.0])]
+    nodes = spark.createDataFrame(nodes, "tree_id int, node_id int, left int, right int, feature int, threshold double, value array<double>")
+    want = {r["row_id"]: (r["probability"], r["prediction"]) for r in forests.score_forest(dense, nodes, ["a", "b"], "x").collect()}
+    scored = forests.score_sparse(dense.select("row_id"), long, nodes, ["a", "b"], nodes_per_pass=12)
+    got = {r["row_id"]: (r["probability"], r["prediction"]) for r in scored.collect()}
+    assert got.keys() == want.keys() and len(got) == 121
+    assert all(got[i][1] == want[i][1] and got[i][0] == pytest.approx(want[i][0]) for i in want)
+    assert "vector" not in optimized(scored).lower()
+    stump = nodes.filter("tree_id = 0 AND node_id = 1").withColumn("node_id", F.lit(0))  # a tree that is one leaf asks nothing
+    assert {r["prediction"] for r in forests.score_sparse(dense.select("row_id"), long, stump, ["a", "b"]).collect()} == {"a"}
+
+
+# --- layers and vocabularies ---------------------------------------------------------------
+
+def test_layers_repeat_a_perceptron(spark, vectors):
+    model = models.perceptron(8, 3, (5,), 20).fit(vectors)
+    layers = models.layer_table(model, vectors)
+    got = models.score_layers(vectors, layers, "x", "sigmoid").orderBy("row_id").collect()
+    want = model.transform(vectors).orderBy("row_id").collect()
+    assert [r["prediction"] for r in got] == [int(r["prediction"]) for r in want]
+    assert np.allclose([r["probability"] for r in got], [r["probability"].toArray() for r in want])
+    one = models.score_layers(spark.createDataFrame([(None,), ([1.0, -1.0],)], "x array<double>"),
+                              spark.createDataFrame([(1, [[1.0, 0.0], [0.0, 1.0]], [0.0, 0.0]), (2, [[1.0, 2.0], [5.0, 0.0]], [0.0, 0.5])],
+                                                    "layer int, w array<array<double>>, b array<double>"), "x").collect()
+    assert one[0]["prediction"] is None and one[1]["probability"] == pytest.approx([1 / (1 + np.e ** 1.5), 1 - 1 / (1 + np.e ** 1.5)])
+    with pytest.raises(ValueError, match="tanh"):
+        models.score_layers(vectors, layers, "x", "tanh")
+
+
+def test_a_smaller_vocabulary_is_a_prefix(spark, survey_rows):
+    def layout(size):
+        return pooled_layout("row_id", ["text_1", "text_6"], ["rating_2", "rating_4"], ["multi_3"], dict_len=size)
+    large = FeaturePipeline(layout(12)).fit(survey_rows)
+    features = materialize(large.transform(survey_rows))
+    for size in (3, 7, 12, 500):
+        cut, width = large.with_vocabulary_of(size, features)
+        alone = FeaturePipeline(layout(min(size, 12))).fit(survey_rows)
+        assert width == alone.width
+        assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, alone.transform(survey_rows).collect()))
+
+
+# --- approximate neighbours ------------------------------------------------------------------
+
+def test_recall_of_the_approximate_search(spark):
+    """On clustered vectors a query sees few references; on the given vectors, which hardly cluster, more."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 24)) * 3
+    x = centres[rng.integers(0, 60, 3000)] + rng.normal(size=(3000, 24)) * 0.7
+    x[:50] = x[0]  # copies
+    df = materialize(spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(x)], "id long, v array<double>, y int"))
+    names = {"query_id": "id", "ref_id": "id", "vec": "v", "label": "y"}
+    given = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), F.col("label").alias("y"))
+    for rows, setting in ((df, {"tables": 8, "probes": 4, "bucket_rows": 64, "block_rows": 40}), (materialize(given), {"tables": 12, "probes": 8, "bucket_rows": 16})):
+        queries = rows.filter("id % 5 = 0")
+        want = {r["query_id"]: {n["ref_id"]: n["dist"] for n in r["neighbours"]} for r in neighbours.nearest(queries, rows, 10, **names).collect()}
+        got = {r["query_id"]: [(n["ref_id"], n["dist"]) for n in r["neighbours"]]
+               for r in neighbours.nearest_approximate(queries, rows, 10, **names, **setting).collect()}
+        assert got.keys() == want.keys()
+        hits = sum(len({i for i, _ in got[q]} & want[q].keys()) for q in want)
+        assert hits >= 0.9 * 10 * len(want)
+        for q, found in got.items():
+            assert len(found) <= 10 and len({i for i, _ in found}) == len(found) and [d for _, d in found] == sorted(d for _, d in found)
+            assert all(d == pytest.approx(want[q][i]) for i, d in found if i in want[q])
+
+
+def test_an_approximate_search_without_a_hit(spark):
+    refs = spark.createDataFrame([(i, [float(i), 0.0], "a") for i in range(8)], "id long, v array<double>, y string")
+    far = spark.createDataFrame([(99, [3.0, 0.0])], "id long, v array<double>")
+    got = neighbours.nearest_approximate(far, refs, 3, query_id="id", ref_id="id", vec="v", label="y", tables=1, probes=1, bucket_rows=1).collect()
+    assert len(got) == 1 and got[0]["neighbours"] is not None
+
+
+# --- texts are read once ------------------------------------------------------------------
+
+def counted(spark, df, column: str):
+    """``df`` whose ``column`` counts how often it is computed."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def through(x):
+        calls.add(1)
+        return x
+    return df.withColumn(column, through.asNondeterministic()(column)), calls
+
+
+def test_document_layout_reads_texts_once(spark, survey_rows):
+    rows, calls = counted(spark, survey_rows, "text_1")
+    features, _, model = layouts.document_layout(rows, "row_id", min_df=3, scale=True)
+    assert features.count() > 0 and model.scales.count() > 0
+    assert calls.value == 90
+
+
+def test_first_seen_words_of_odd_rows(spark):
     """Against a count in plain Python, with ids that repeat or are null; only the cells where a tied word comes first are read."""
     rng = random.Random(5)
     words = [f"w{i}" for i in range(40)]
