@@ -8,10 +8,10 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import features as feats, forest as forests, models, records
+from ..operators import features as feats, forest as forests, models, records, terms as tt
 from ..operators.distribute import materialize
 from ..sources import artifacts, survey
-from .pipeline import FeatureConfig, FeatureModel, FeaturePipeline
+from .pipeline import FeatureConfig, FeatureModel, FeaturePipeline, prepared
 
 
 def train_forest(rows: DataFrame, config: FeatureConfig, label: str, model_dir: str, *, trees: int = 150,
@@ -19,7 +19,7 @@ def train_forest(rows: DataFrame, config: FeatureConfig, label: str, model_dir:
                  ) -> tuple[FeatureModel, RandomForestClassificationModel, list[str]]:
     """Fit layout and forest on ``rows`` and save both under ``model_dir``."""
     spark = rows.sparkSession
-    rows = records.drop_unlabelled(rows, label)
+    rows = prepared(records.drop_unlabelled(rows, label), config, [c for c in (label,) if c != config.row_id])
     classes = records.label_classes(rows, label)
     layout = FeaturePipeline(config).fit(rows)
     coded = records.encode_label(rows, classes, label).select(
@@ -34,7 +34,8 @@ def train_forest(rows: DataFrame, config: FeatureConfig, label: str, model_dir:
 
 
 def predict_rows(rows: DataFrame, layout: FeatureModel, nodes: DataFrame, classes: Sequence[str]) -> DataFrame:
-    """``row_id, prediction`` of every row; the features stay sparse."""
+    """``row_id, prediction`` of every row; the features stay sparse. The rows are read and tokenised once."""
+    rows = rows if tt.CELLS in rows.columns else prepared(rows, layout.config)
     ids = rows.select(F.col(layout.config.row_id).alias("row_id"))
     return forests.score_sparse(ids, layout.transform(rows), nodes, classes).select("row_id", "prediction")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sondage.operators import distribute, forest as forests, models, neighbours, terms as tt
 from sondage.operators.distribute import materialize
-from sondage.plans import layouts
+from sondage.plans import layouts, predict
 from sondage.plans.pipeline import FeaturePipeline, pooled_layout, prepared
 from sondage.sources import survey
 
@@ -286,6 +286,16 @@ def test_document_layout_reads_texts_once(spark, survey_rows):
     assert calls.value == 90
 
 
+def test_batch_prediction_reads_texts_once(spark, survey_rows, tmp_path):
+    config = pooled_layout("row_id", ["text_1", "text_6"], ["rating_2"], ["multi_3"], dict_len=20)
+    rows, calls = counted(spark, survey_rows, "text_1")
+    model, _, classes = predict.train_forest(rows, config, "label", str(tmp_path / "m"), trees=3, depth=3)
+    assert calls.value == 90
+    nodes = spark.read.parquet(str(tmp_path / "m/nodes"))
+    assert predict.predict_rows(rows, model, nodes, classes).count() == 90
+    assert calls.value == 180
+
+
 def test_first_seen_words_of_odd_rows(spark):
     """Against a count in plain Python, with ids that repeat or are null; only the cells where a tied word comes first are read."""
     rng = random.Random(5)
