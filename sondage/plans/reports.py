@@ -166,8 +166,8 @@ def vocabulary_size_sweep(train: DataFrame, plan: FeaturePipeline, label: str, c
                           sizes: Sequence[int] = VOCABULARY_SIZES, **grid) -> DataFrame:
     """Best cross-validated forest per vocabulary size.
 
-    A vocabulary is ordered by rank, so that every size is a prefix of the largest: the words are counted and the features
-    built once, for the largest size, and cut by index for the others. Returns one row per size, best accuracy first
+    A vocabulary is ordered by rank, so that every size is a prefix of the largest: the words are counted, and the features
+    built and brought together by row once, for the largest size, and cut inside the rows for the others. Returns one row per size, best accuracy first
     reached is the choice (``metrics.best_setting``).
     """
     row_id = plan.config.row_id
@@ -177,14 +177,16 @@ def vocabulary_size_sweep(train: DataFrame, plan: FeaturePipeline, label: str, c
     folds = splits.kfold_stratified(train.select(row_id, label), row_id, label, seed=42)
     folds = records.encode_label(folds, classes, label).select(
         F.col(row_id).alias("row_id"), "fold", F.col("label_idx").cast("double").alias("label_idx")).persist()
+    packed = feats.packed_cells(features, folds).persist()
     out = []
     for i, size in enumerate(sizes):
-        cut, width = model.with_vocabulary_of(size, features)
-        data = feats.sparse_vectors(cut, width, folds).persist()
+        cells, width = model.cells_of(size, F.col("cells"))
+        data = feats.cell_vectors(packed, width, cells).persist()
         _, table = models.forest_cross_validation(data, **grid)
         best = metrics.best_setting(table, "accuracy", "position").first()
         out.append((i, size, best["trees"], best["depth"], best["min_leaf"], best["accuracy"]))
         data.unpersist()
+    packed.unpersist()
     folds.unpersist()
     return train.sparkSession.createDataFrame(
         out, "position int, dict_len int, trees int, depth int, min_leaf int, accuracy double")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from sondage.operators import distribute, forest as forests, models, neighbours, terms as tt
+from sondage.operators import distribute, features as feats, forest as forests, models, neighbours, terms as tt
 from sondage.operators.distribute import materialize
 from sondage.plans import layouts, predict
 from sondage.plans.pipeline import FeaturePipeline, pooled_layout, prepared
@@ -234,6 +234,21 @@ def test_a_smaller_vocabulary_is_a_prefix(spark, survey_rows):
         assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, alone.transform(survey_rows).collect()))
 
 
+def test_sizes_are_cut_inside_the_rows(spark, survey_rows):
+    """The sweep brings the features of a row together once; the vectors of every size are those of the cut features."""
+    config = pooled_layout("row_id", ["text_1", "text_6"], ["rating_2", "rating_4"], ["multi_3"], dict_len=12)
+    model = FeaturePipeline(config).fit(survey_rows)
+    features, rows = materialize(model.transform(survey_rows)), survey_rows.select("row_id")
+    packed = feats.packed_cells(features, rows)
+    for size in (3, 7, 12, 500):
+        cut, width = model.with_vocabulary_of(size, features)
+        cells, same = model.cells_of(size, F.col("cells"))
+        assert same == width
+        got, wanted = ({r["row_id"]: r["features"] for r in df.collect()} for df in
+                       (feats.cell_vectors(packed, width, cells), feats.sparse_vectors(cut, width, rows)))
+        assert got == wanted
+
+
 # --- approximate neighbours ------------------------------------------------------------------
 
 def test_recall_of_the_approximate_search(spark):
