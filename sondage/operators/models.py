@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import CV_DEPTHS, CV_MIN_LEAF, CV_TREES, FOREST_DEPTHS, FOREST_SIZES, RIDGE_STRENGTHS
 from . import forest as forests, metrics
-from .distribute import materialize, shared_folder
+from .distribute import checkpoint_folder, materialize, shared_folder
 
 MOST_DEPTH = 30
 GROWN_AT_ONCE = 500_000  # nodes that the trees of one fit may come to; the driver holds them until its votes are counted
@@ -40,11 +40,17 @@ def gaussian_bayes() -> NaiveBayes:
 
 def forest(trees: int = 150, depth: int = 10, min_leaf: int = 2, seed: int = 42) -> RandomForestClassifier:
     """Spark has no minimum size for splitting a node, only one for the parts, and grows trees to depth
-    30 at most; a larger depth is an error rather than a silently smaller forest."""
+    30 at most; a larger depth is an error rather than a silently smaller forest.
+
+    The node that a row has reached in each tree is kept with the row, so that the grown trees are not sent to every task of
+    every step and rows do not walk them again from the root; the forest is the same."""
     if depth > MOST_DEPTH:
         raise ValueError(f"depth {depth} is over {MOST_DEPTH}, the most that Spark's trees can have")
+    spark = SparkSession.getActiveSession()
+    if spark is not None and (spark.sparkContext.master.startswith("local") or spark.conf.get("spark.checkpoint.dir", None)):
+        checkpoint_folder(spark)  # every tenth step is written there
     return RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
-                                  seed=seed, **COLUMNS)
+                                  seed=seed, cacheNodeIds=True, **COLUMNS)
 
 
 def ridge_logistic(strength: float, n_rows: int, max_iter: int = 200) -> LogisticRegression:

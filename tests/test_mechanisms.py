@@ -164,6 +164,14 @@ def test_trees_cut_at_a_depth(spark, vectors):
         assert r["predictions"] == [vote(r["x"], s, d) for d in (0, 2, 9) for s in (2, 5)]
 
 
+def test_rows_keep_their_node(spark, vectors):
+    """Trees are not walked from the root at every step of a fit; the forest is that of a fit that does so."""
+    learner = models.forest(4, 6, 1, 3)
+    assert learner.getCacheNodeIds()
+    trees = [learner.copy({learner.cacheNodeIds: kept}).fit(vectors).toDebugString.split("\n")[1:] for kept in (True, False)]
+    assert trees[0] == trees[1]
+
+
 def test_grid_from_few_fits(spark, vectors):
     fits = []
     learner = models.forest
