@@ -19,10 +19,12 @@ def train_forest(rows: DataFrame, config: FeatureConfig, label: str, model_dir:
                  ) -> tuple[FeatureModel, RandomForestClassificationModel, list[str]]:
     """Fit layout and forest on ``rows`` and save both under ``model_dir``."""
     spark = rows.sparkSession
-    rows = prepared(records.drop_unlabelled(rows, label), config, [c for c in (label,) if c != config.row_id])
-    classes = records.label_classes(rows, label)
+    labelled = records.drop_unlabelled(rows, label)
+    rows = prepared(labelled, config)
+    classes = records.label_classes(labelled, label)
     layout = FeaturePipeline(config).fit(rows)
-    coded = records.encode_label(rows, classes, label).select(
+    # Labels come from the given rows: the forest draws its samples by their order.
+    coded = records.encode_label(labelled, classes, label).select(
         F.col(config.row_id).alias("row_id"), F.col("label_idx").cast("double").alias("label_idx"))
     data = feats.sparse_vectors(layout.transform(rows), layout.width, coded)
     model = models.forest(trees, depth, min_leaf, seed).fit(data)
