@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import CV_DEPTHS, CV_MIN_LEAF, CV_TREES, FOREST_DEPTHS, FOREST_SIZES, RIDGE_STRENGTHS
-from . import forest as forests, metrics
+from . import forest as forests, grove, metrics
 from .distribute import checkpoint_folder, materialize, shared_folder
 
 MOST_DEPTH = 30
-GROWN_AT_ONCE = 500_000  # nodes that the trees of one fit may come to; the driver holds them until its votes are counted
+GROWN_AT_ONCE = 500_000  # nodes that the trees of a fit, or of all fits of a grid, may come to with Spark's learner; the driver holds them
 LAYER_BYTES = 64 * 1024 * 1024
 COLUMNS = {"featuresCol": "features", "labelCol": "label_idx"}
 
@@ -79,12 +79,27 @@ def ridge_sweep(train: DataFrame, val: DataFrame, strengths: Sequence[float] = R
     return _rows(train, out, "position int, strength double, val_accuracy double")
 
 
+def most_nodes(n_rows: int, trees: int, depth: int) -> int:
+    """Bound of the nodes of a forest over so many rows."""
+    return trees * (2 * n_rows if depth > 20 else min(2 * n_rows, 2 << depth))
+
+
 def forest_sweep(train: DataFrame, val: DataFrame, sizes: Sequence[int] = FOREST_SIZES,
                  depths: Sequence[int] = FOREST_DEPTHS, seed: int = 311) -> DataFrame:
     """Train and validation accuracy per (trees, depth).
 
     One forest of the largest size is grown per depth; the smaller ones are its first trees, and one walk through
-    all of them scores every size."""
+    all of them scores every size. Where the trees may come to more than ``GROWN_AT_ONCE`` nodes they are grown in tasks, to the
+    largest depth (``grove``): up to a smaller depth they are the trees of that depth."""
+    n = train.count()
+    if len(set(depths)) * most_nodes(n, max(sizes), max(depths)) > GROWN_AT_ONCE and grove.fits(train, n + val.count()):
+        learner = forest(max(sizes), max(depths), 1, seed)
+        parts = [rows.select("label_idx", "features", F.lit(i).alias("part")) for i, rows in enumerate((train, val))]
+        table = grove.held(parts[0].union(parts[1]), grove.thresholds(train, n))
+        job = grove.Growth(0, (0,), (0, 1), learner.getNumTrees(), learner.getMaxDepth(), learner.getMinInstancesPerNode(), seed)
+        found = grove.grown_accuracies(train.sparkSession, [table], [job], sizes, sorted(set(depths)))
+        out = [(i, s, d, found[0, 0, s, d], found[0, 1, s, d]) for i, (s, d) in enumerate(product(sizes, depths))]
+        return _rows(train, out, "position int, trees int, depth int, train_accuracy double, val_accuracy double")
     scores = {}
     for d in dict.fromkeys(depths):
         nodes = node_table(forest(max(sizes), d, 1, seed).fit(train))
@@ -95,12 +110,20 @@ def forest_sweep(train: DataFrame, val: DataFrame, sizes: Sequence[int] = FOREST
 
 def forest_accuracy(train: DataFrame, val: DataFrame, trees: int, depth: int, min_leaf: int = 1, seed: int = 42,
                     at_once: int = GROWN_AT_ONCE) -> float:
-    """Accuracy of a forest of ``trees`` trees. Trees of many rows are grown over several fits, with a seed each, and
-    their class shares added up, so that the driver never holds more than ``at_once`` nodes (or one tree)."""
-    most = 2 * train.count() if depth > 20 else min(2 * train.count(), 2 << depth)
+    """Accuracy of a forest of ``trees`` trees. If they may come to more than ``at_once`` nodes they are grown in tasks
+    (``grove``), of more rows than the workers can hold over several fits, with a seed each, whose class shares are added up:
+    the driver never holds more than ``at_once`` nodes (or one tree)."""
+    n = train.count()
+    most = most_nodes(n, 1, depth)
     each = max(1, min(trees, at_once // max(most, 1)))
     if each == trees:
         return accuracy(forest(trees, depth, min_leaf, seed).fit(train), val)
+    if grove.fits(train, n + val.count()):
+        forest(trees, depth, min_leaf, seed)
+        parts = [rows.select("label_idx", "features", F.lit(i).alias("part")) for i, rows in enumerate((train, val))]
+        table = grove.held(parts[0].union(parts[1]), grove.thresholds(train, n))
+        job = grove.Growth(0, (0,), (1,), trees, depth, min_leaf, seed)
+        return grove.grown_accuracies(train.sparkSession, [table], [job], [trees], [depth])[0, 1, trees, depth]
     rows = val.select("label_idx", "features", F.lit(None).cast("array<double>").alias("votes"))
     for i, start in enumerate(range(0, trees, each)):
         model = forest(min(each, trees - start), depth, min_leaf, seed + i).fit(train)
@@ -132,12 +155,14 @@ def prefix_accuracies(rows: DataFrame, nodes: DataFrame, sizes: Sequence[int], d
 def forest_cross_validation(rows: DataFrame, fold: str = "fold", n_folds: int = 5,
                             trees: Sequence[int] = CV_TREES, depths: Sequence[int] = CV_DEPTHS,
                             min_leaf: Sequence[int] = CV_MIN_LEAF, seed: int = 42,
-                            parallelism: int = 4) -> tuple[Model, DataFrame]:
+                            parallelism: int = 4) -> tuple[Model | grove.GrownForest, DataFrame]:
     """Mean accuracy over the given folds per setting, and the best one refitted (the first on ties).
 
     A fold and a smallest part take one fit, of the most trees and the largest depth: smaller forests are its first trees,
     shallower ones its trees cut at a depth, as a node keeps the class weights that a leaf in its place would have. So a
-    grid of 5 sizes, 5 depths and 4 smallest parts takes 20 fits over 5 folds, ``parallelism`` at a time."""
+    grid of 5 sizes, 5 depths and 4 smallest parts takes 20 fits over 5 folds, ``parallelism`` at a time. Where the trees of all
+    fits may come to more than ``GROWN_AT_ONCE`` nodes they are grown in tasks (``grove``), and the best forest, if it may too,
+    is grown when it predicts."""
     by_depth = sorted(set(depths))
 
     def one(task: tuple[int, int]) -> tuple[tuple[int, int], list[float]]:
@@ -145,17 +170,44 @@ def forest_cross_validation(rows: DataFrame, fold: str = "fold", n_folds: int =
         nodes = node_table(forest(max(trees), by_depth[-1], leaf, seed).fit(rows.filter(F.col(fold) != k)))
         return task, prefix_accuracies(rows.filter(F.col(fold) == k), nodes, trees, by_depth)
     tasks = [(leaf, k) for leaf in dict.fromkeys(min_leaf) for k in range(n_folds)]
-    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        found = dict(pool.map(inheritable_thread_target(rows.sparkSession)(one), tasks))
+    n_rows = rows.count()
+    in_tasks = len(tasks) * most_nodes(n_rows, max(trees), by_depth[-1]) > GROWN_AT_ONCE and n_folds < 256 and grove.fits(rows, n_rows, n_folds)
+    if in_tasks:
+        found = _grown_folds(rows, fold, n_folds, trees, by_depth, tasks, seed)
+    else:
+        with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+            found = dict(pool.map(inheritable_thread_target(rows.sparkSession)(one), tasks))
     out = []
     for i, (d, leaf, n) in enumerate(product(depths, min_leaf, trees)):
         at = by_depth.index(d) * len(trees) + list(trees).index(n)
         out.append((i, n, d, leaf, sum(found[leaf, k][at] for k in range(n_folds)) / n_folds))
     best = max(out, key=lambda r: (r[-1], -r[0]))
-    model = forest(best[1], best[2], best[3], seed).fit(rows)
+    learner = forest(best[1], best[2], best[3], seed)
+    grown = in_tasks and most_nodes(n_rows, best[1], best[2]) > GROWN_AT_ONCE and grove.fits(rows, n_rows)
+    model = grove.GrownForest(rows, best[1], best[2], best[3], seed) if grown else learner.fit(rows)
     return model, _rows(rows, out, "position int, trees int, depth int, min_leaf int, accuracy double")
 
 
+def _grown_folds(rows: DataFrame, fold: str, n_folds: int, trees: Sequence[int], depths: Sequence[int],
+                 tasks: Sequence[tuple[int, int]], seed: int) -> dict[tuple[int, int], list[float]]:
+    """Accuracy on its fold of every smallest part and fold, depth by depth and within one by size; a fold has thresholds of its own."""
+    # Rows outside the folds always train; those without a fold never do.
+    known = rows.filter(F.col(fold).isNotNull()).select(
+        "label_idx", "features", fold, F.when(F.col(fold).between(0, n_folds - 1), F.col(fold)).otherwise(n_folds).alias("part")).persist()
+    tables = []
+    for k in range(n_folds):
+        train = known.filter(F.col("part") != k)
+        tables.append(grove.held(known, grove.thresholds(train, train.count())))
+    jobs = []
+    for leaf, k in tasks:
+        learner = forest(max(trees), depths[-1], leaf, seed)
+        others = tuple(p for p in range(n_folds + 1) if p != k)
+        jobs.append(grove.Growth(k, others, (k,), learner.getNumTrees(), learner.getMaxDepth(), learner.getMinInstancesPerNode(), seed))
+    found = grove.grown_accuracies(rows.sparkSession, tables, jobs, trees, depths)
+    known.unpersist()
+    return {task: [found[i, task[1], n, d] for d in depths for n in trees] for i, task in enumerate(tasks)}
+
+
 def learning_curve(train: DataFrame, val: DataFrame, n_features: int, n_classes: int,
                    hidden: Sequence[int] = (256, 128), epochs: int = 25, seed: int = 311) -> DataFrame:
     """Accuracy after each warm-started step of the perceptron."""
