@@ -453,9 +453,9 @@ def mlp_curve(spark, d):
 
 @query()
 def rf_grid(spark, d):
-    """All five sizes at the first of four depths, from one fit; the defaults of ``forest_sweep`` are all of them."""
+    """All five sizes at all four depths."""
     train, val, _ = _parts(spark, d)
-    return models.forest_sweep(train, val, depths=(15,))
+    return models.forest_sweep(train, val)
 
 
 @query()

@@ -124,3 +124,25 @@ def test_a_large_forest_is_grown_in_tasks(spark, noisy, monkeypatch):
     whole = models.forest_accuracy(train, val, 40, 30)
     monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda *a: pytest.fail("fitted by Spark's learner"))
     assert models.forest_accuracy(train, val, 40, 30, at_once=1000) == pytest.approx(whole, abs=0.04)
+
+
+class Seen(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name,place,function,grid", [
+    ("rf_grid", models, "forest_sweep", {"sizes": FOREST_SIZES, "depths": FOREST_DEPTHS})])
+def test_queries_run_whole_grids(spark, monkeypatch, tmp_path, name, place, function, grid):
+    """The queries left out most of their settings."""
+    spark.range(60).select(F.col("id").alias("vec_id"), (F.col("id") % 10).cast("int").alias("label"),
+                           F.array(F.rand(1), F.rand(2)).cast("array<float>").alias("embedding")).write.parquet(str(tmp_path / "embeddings.parquet"))
+    real = getattr(place, function)
+
+    def seen(*args, **kwargs):
+        bound = inspect.signature(real).bind(*args, **kwargs)
+        bound.apply_defaults()
+        raise Seen({k: bound.arguments[k] for k in grid})
+    monkeypatch.setattr(place, function, seen)
+    with pytest.raises(Seen) as found:
+        getattr(learning, name)(spark, str(tmp_path))
+    assert found.value.args[0] == grid
