@@ -132,7 +132,8 @@ class Seen(Exception):
 
 @pytest.mark.parametrize("name,place,function,grid", [
     ("rf_grid", models, "forest_sweep", {"sizes": FOREST_SIZES, "depths": FOREST_DEPTHS}),
-    ("rf_cv", models, "forest_cross_validation", {"trees": CV_TREES, "depths": CV_DEPTHS, "min_leaf": CV_MIN_LEAF, "n_folds": 5})])
+    ("rf_cv", models, "forest_cross_validation", {"trees": CV_TREES, "depths": CV_DEPTHS, "min_leaf": CV_MIN_LEAF, "n_folds": 5}),
+    ("rf_tuned", reports.models, "forest_cross_validation", {"trees": CV_TREES, "depths": CV_DEPTHS, "min_leaf": CV_MIN_LEAF, "n_folds": 5})])
 def test_queries_run_whole_grids(spark, monkeypatch, tmp_path, name, place, function, grid):
     """The queries left out most of their settings."""
     spark.range(60).select(F.col("id").alias("vec_id"), (F.col("id") % 10).cast("int").alias("label"),
