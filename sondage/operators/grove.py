@@ -28,7 +28,7 @@ from .distribute import materialize
 HELD_BYTES = 256 * 1024 * 1024  # of binned rows, which every Python worker holds
 MAX_BINS = 32
 CANDIDATE_ROWS = 10_000  # Spark's number of rows that thresholds are found on
-CELLS_AT_ONCE = 2_000_000  # values of rows at tried features that are sorted together
+CELLS_AT_ONCE = 500_000  # values of rows at tried features that are sorted together
 BLOCK_ROWS = 1024
 
 
