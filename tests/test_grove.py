@@ -148,3 +148,17 @@ def test_queries_run_whole_grids(spark, monkeypatch, tmp_path, name, place, func
     with pytest.raises(Seen) as found:
         getattr(learning, name)(spark, str(tmp_path))
     assert found.value.args[0] == grid
+
+
+def test_many_rows_are_not_broadcast(spark, monkeypatch):
+    """The driver ran out of memory on the keys of a large table in a small file."""
+    from compare import SF_DIR
+    from sondage.catalog import layouts
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+    want = rows(layouts.responses(spark, SF_DIR))
+    monkeypatch.setattr(layouts, "BROADCAST_ROWS", 10)
+    got = layouts.responses(spark, SF_DIR)
+    assert "Broadcast" not in got.select("doc_id", "label")._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == want
